@@ -23,6 +23,7 @@ from shelfmill.functions.text import first_non_blank, squeeze_ws
 from shelfmill.functions.urls import let
 from shelfmill.operators.page_builder import parse_batch
 from shelfmill.schemas import DEFAULT_SELECTORS, PARSED_PAGE
+from shelfmill.session import spread
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     """
     parse = F.arrow_udf(parse_batch, PARSED_PAGE).asNondeterministic()
     others = [c for c in pages.columns if c not in ("els", "texts")]
-    return pages.withColumn("_parsed", parse(F.col("html"))).select(
+    return spread(pages).withColumn("_parsed", parse(F.col("html"))).select(
         *others, F.col("_parsed.els").alias("els"), F.col("_parsed.texts").alias("texts")
     )
 

@@ -84,15 +84,18 @@ def page_cards(selectors: dict[str, str], base: str = "url") -> Column:
 
 def finish_cards(raw: DataFrame) -> DataFrame:
     """Clean the raw strings of exploded cards (columns of ``page_cards``)."""
-    return raw.select(
+    links = F.transform(
+        F.array(clean_image_url("image"), F.col("href")), lambda u: resolve_url(u, F.col("base"))
+    )
+    return raw.withColumn("_links", links).select(
         "page_id",
         "page_num",
         card_seq(F.col("page_num"), F.col("pos")).alias("seq"),
         F.coalesce("title", F.lit("")).alias("title"),
         F.coalesce(clean_price("price"), F.lit(DEFAULT_PRICE)).alias("price"),
-        resolve_url(clean_image_url("image"), "base").alias("image"),
+        F.get("_links", F.lit(0)).alias("image"),
         F.coalesce("descr", F.lit("")).alias("descr"),
-        resolve_url("href", "base").alias("url"),
+        F.get("_links", F.lit(1)).alias("url"),
     )
 
 

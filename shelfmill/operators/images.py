@@ -35,11 +35,13 @@ def usable_images(
     min_width: int = MIN_IMAGE_WIDTH,
     attr_order: list[str] = IMAGE_ATTRS,
     cdn_host: str = CDN_HOST,
+    fallback_attrs: Column | None = None,
 ) -> Column:
     """Distinct absolute image URLs, first seen first.
 
     ``image_attrs`` is an array of attribute maps in document order. The noise
-    and width filters see the URL before it is made absolute.
+    and width filters see the URL before it is made absolute. If nothing is
+    left, the image with ``fallback_attrs`` is taken without filters.
     """
     found = F.transform(
         image_attrs,
@@ -54,8 +56,13 @@ def usable_images(
         & ~is_image_noise(i.src, noise_words)
         & is_wide_enough(i.width, min_width),
     )
-    urls = F.transform(kept, lambda i: resolve_url(i.src, base_url))
-    return F.array_distinct(F.filter(urls, lambda u: u != ""))
+    sources = F.transform(kept, lambda i: i.src)
+    if fallback_attrs is not None:
+        spare = F.filter(
+            F.array(image_candidate(fallback_attrs, attr_order, cdn_host)), lambda u: u != ""
+        )
+        sources = let(sources, lambda u: F.when(F.size(u) > 0, u).otherwise(spare))
+    return F.array_distinct(F.transform(sources, lambda u: resolve_url(u, base_url)))
 
 
 def page_images(
@@ -64,23 +71,14 @@ def page_images(
     base_url: Column | str = "url",
     **options,
 ) -> Column:
-    """Image list of a page; an empty list falls back to the main image,
-    which is not filtered."""
+    """Image list of a page; an empty list falls back to the main image."""
     base = F.col(base_url) if isinstance(base_url, str) else base_url
-    candidate_options = {k: v for k, v in options.items() if k in ("attr_order", "cdn_host")}
-    listed = usable_images(
+    return usable_images(
         F.transform(all_matches(selectors["extra_imgs"], els), lambda e: e.attrs),
         base,
+        fallback_attrs=first_match(selectors["main_img"], els).attrs,
         **options,
     )
-    main = let(
-        first_match(selectors["main_img"], els).attrs,
-        lambda a: let(
-            image_candidate(a, **candidate_options), lambda url: resolve_url(url, base)
-        ),
-    )
-    fallback = F.filter(F.array(main), lambda u: u.isNotNull() & (u != ""))
-    return let(listed, lambda urls: F.when(F.size(urls) > 0, urls).otherwise(fallback))
 
 
 def main_image(images: Column) -> Column:

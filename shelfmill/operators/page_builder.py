@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import re
 import sys
-from html.parser import HTMLParser
+from array import array
+from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
@@ -36,139 +38,180 @@ CLOSES_SIBLING = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 PARAGRAPH_FENCE = {"button", "table", "td", "th", "caption", "object"}
+NO_FENCE: set[str] = set()
+RAW_TEXT_TAGS = {"script", "style"}
+FOREIGN_TAGS = {"svg", "math"}
+
+# A comment or declaration, a closing tag, or an opening tag with attributes.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*(?:>|\Z)
+      | </([a-zA-Z][^\s/>]*)[^>]*>
+      | <([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>""",
+    re.VERBOSE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(
+    r"""([^\s/=>"'][^\s/=>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?"""
+)
 
 
-class _PageBuilder(HTMLParser):
-    """Collects element positions of one page; no tree objects are kept."""
-
-    def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list] = []
-        self.texts: list[str] = []
-        self._open: list[int] = []
-        self._hidden = 0
-        self._line_starts = [0] + [m.end() for m in re.finditer("\n", html)]
-        self._end = len(html)
-        self.feed(html)
-        self.close()
-        self._close_from(0, self._end)
-
-    def _offset(self) -> int:
-        line, column = self.getpos()
-        return self._line_starts[line - 1] + column
-
-    def _close_from(self, depth: int, at: int) -> None:
-        for node in reversed(self._open[depth:]):
-            row = self.rows[node]
-            row[2] = len(self.rows) - 1
-            if row[4] in BLOCK_TAGS and not self._hidden:
-                self.texts.append("\n")
-            if row[4] in HIDDEN_TAGS:
-                self._hidden -= 1
-            row[7] = len(self.texts)
-            row[9] = max(at, row[8])
-        del self._open[depth:]
-
-    def _close_open(self, tags: set[str], fence: set[str], at: int) -> None:
-        for depth in range(len(self._open) - 1, -1, -1):
-            tag = self.rows[self._open[depth]][4]
-            if tag in tags:
-                self._close_from(depth, at)
-                return
-            if tag in fence:
-                return
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        at = self._offset()
-        if tag in CLOSES_PARAGRAPH:
-            self._close_open({"p"}, PARAGRAPH_FENCE, at)
-        if tag in CLOSES_SIBLING:
-            self._close_open(*CLOSES_SIBLING[tag], at)
-        if (tag in BLOCK_TAGS or tag == "br") and not self._hidden:
-            self.texts.append("\n")
-        first_wins = {}
-        for name, value in attrs:
-            first_wins.setdefault(name, value or "")
-        node, inner = len(self.rows), at + len(self.get_starttag_text())
-        parent = self._open[-1] if self._open else -1
-        n_texts = len(self.texts)
-        self.rows.append(
-            [node, parent, node, list(self._open), tag, first_wins,
-             n_texts, n_texts, inner, inner]
-        )
-        if tag not in VOID_TAGS:
-            self._open.append(node)
+class PageBatch:
+    """Element and text columns of a batch of pages, filled page by page.
+
+    Everything is appended to flat columns, which become Arrow arrays without
+    a per-element conversion. No tree objects are kept.
+    """
+
+    INTS = ("parent", "last", "text_from", "text_to", "html_from", "html_to")
+
+    def __init__(self):
+        self.ints = {name: array("i") for name in self.INTS}
+        self.nodes, self.ancestors, self.ancestor_ends = array("i"), array("i"), array("i")
+        self.tags, self.keys, self.values, self.attr_ends = [], [], [], array("i")
+        self.texts = []
+        self.page_ends, self.text_ends, self.missing = array("i"), array("i"), []
+
+    def add(self, html: str | None) -> None:
+        columns = [*self.ints.values(), self.nodes, self.ancestors, self.ancestor_ends,
+                   self.tags, self.keys, self.values, self.attr_ends, self.texts]
+        sizes = [len(c) for c in columns]
+        failed = html is None
+        if not failed:
+            try:
+                self._read(html)
+            except Exception:  # one unreadable page becomes a reject, not a failed job
+                failed = True
+                for column, size in zip(columns, sizes):
+                    del column[size:]
+        self.missing.append(failed)
+        self.page_ends.append(len(self.tags))
+        self.text_ends.append(len(self.texts))
+
+    def _read(self, html: str) -> None:
+        first, first_text = len(self.tags), len(self.texts)
+        tags, texts, keys, values = self.tags, self.texts, self.keys, self.values
+        parent, last = self.ints["parent"], self.ints["last"]
+        text_from, text_to = self.ints["text_from"], self.ints["text_to"]
+        html_from, html_to = self.ints["html_from"], self.ints["html_to"]
+        open_nodes, open_tags = array("i"), []
+        hidden = 0
+
+        def close(depth: int, at: int) -> None:
+            nonlocal hidden
+            newest = len(tags) - first - 1
+            while len(open_nodes) > depth:
+                node, tag = open_nodes.pop(), open_tags.pop()
+                if tag in HIDDEN_TAGS:
+                    hidden -= 1
+                elif tag in BLOCK_TAGS and not hidden:
+                    texts.append("\n")
+                row = first + node
+                last[row] = newest
+                text_to[row] = len(texts) - first_text
+                html_to[row] = max(at, html_from[row])
+
+        def close_nearest(wanted: set[str], fence: set[str], at: int) -> None:
+            for depth in range(len(open_tags) - 1, -1, -1):
+                if open_tags[depth] in wanted:
+                    close(depth, at)
+                    return
+                if open_tags[depth] in fence:
+                    return
+
+        at, end = 0, len(html)
+        while at < end:
+            start, token = html.find("<", at), None
+            while start >= 0 and not (token := _TOKEN.match(html, start)):
+                start = html.find("<", start + 1)
+            start = start if token else end
+            if start > at and not hidden:
+                data = html[at:start]
+                texts.append(unescape(data) if "&" in data else data)
+            if not token:
+                break
+            at = token.end()
+            closing, opening, attrs = token.groups()
+            if closing:
+                close_nearest({closing.lower()}, NO_FENCE, start)
+            if not opening:
+                continue
+            tag = opening.lower()
+            if tag in CLOSES_PARAGRAPH:
+                close_nearest({"p"}, PARAGRAPH_FENCE, start)
+            elif tag in CLOSES_SIBLING:
+                close_nearest(*CLOSES_SIBLING[tag], start)
+            if not hidden and (tag in BLOCK_TAGS or tag == "br"):
+                texts.append("\n")
+            node, n_texts = len(tags) - first, len(texts) - first_text
+            self.nodes.append(node)
+            parent.append(open_nodes[-1] if open_nodes else -1)
+            last.append(node)
+            text_from.append(n_texts)
+            text_to.append(n_texts)
+            html_from.append(at)
+            html_to.append(at)
+            self.ancestors.extend(open_nodes)
+            self.ancestor_ends.append(len(self.ancestors))
+            tags.append(tag)
+            if attrs:
+                own = {}
+                for name, double, single, bare in _ATTRIBUTE.findall(attrs):
+                    value = double or single or bare
+                    own.setdefault(name.lower(), unescape(value) if "&" in value else value)
+                keys.extend(own)
+                values.extend(own.values())
+            self.attr_ends.append(len(keys))
+            if tag in VOID_TAGS:
+                continue
+            if attrs.endswith("/") and (tag in FOREIGN_TAGS or not FOREIGN_TAGS.isdisjoint(open_tags)):
+                continue
+            open_nodes.append(node)
+            open_tags.append(tag)
             if tag in HIDDEN_TAGS:
-                self._hidden += 1
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-        foreign = any(self.rows[n][4] in ("svg", "math") for n in self._open)
-        if foreign and tag not in VOID_TAGS:
-            self._close_from(len(self._open) - 1, self._offset())
-
-    def handle_endtag(self, tag: str) -> None:
-        self._close_open({tag}, set(), self._offset())
-
-    def handle_data(self, data: str) -> None:
-        if not self._hidden:
-            self.texts.append(data)
-
-
-def _offsets(lists: list) -> pa.Array:
-    ends, total = [0], 0
-    for items in lists:
-        total += len(items)
-        ends.append(total)
-    return pa.array(ends, pa.int32())
-
-
-def _arrow_pages(parsed: list) -> pa.Array:
-    """Lay the parsed pages of a batch out as Arrow arrays, column by column."""
-    rows_per_page = [p.rows if p else [] for p in parsed]
-    texts_per_page = [p.texts if p else [] for p in parsed]
-    rows = [row for page in rows_per_page for row in page]
-    ints = {
-        name: pa.array([row[i] for row in rows], pa.int32())
-        for name, i in [("node", 0), ("parent", 1), ("last", 2), ("text_from", 6),
-                        ("text_to", 7), ("html_from", 8), ("html_to", 9)]
-    }
-    ancestors = pa.ListArray.from_arrays(
-        _offsets([row[3] for row in rows]),
-        pa.array([a for row in rows for a in row[3]], pa.int32()),
-    )
-    attrs = pa.MapArray.from_arrays(
-        _offsets([row[5] for row in rows]),
-        pa.array([k for row in rows for k in row[5]], pa.string()),
-        pa.array([v for row in rows for v in row[5].values()], pa.string()),
-    )
-    tags = pa.array([row[4] for row in rows], pa.string())
-    elements = pa.StructArray.from_arrays(
-        [ints["node"], ints["parent"], ints["last"], ancestors, tags, attrs,
-         ints["text_from"], ints["text_to"], ints["html_from"], ints["html_to"]],
-        ["node", "parent", "last", "ancestors", "tag", "attrs",
-         "text_from", "text_to", "html_from", "html_to"],
-    )
-    texts = pa.array([t for page in texts_per_page for t in page], pa.string())
-    return pa.StructArray.from_arrays(
-        [pa.ListArray.from_arrays(_offsets(rows_per_page), elements),
-         pa.ListArray.from_arrays(_offsets(texts_per_page), texts)],
-        ["els", "texts"],
-        mask=pa.array([p is None for p in parsed]),
-    )
-
-
-def _parse_one(html: str | None) -> _PageBuilder | None:
-    if html is None:
-        return None
-    try:
-        return _PageBuilder(html)
-    except Exception:  # one unreadable page becomes a reject, not a failed job
-        return None
+                hidden += 1
+            if tag in RAW_TEXT_TAGS:
+                # The content is no markup: jump to the closing tag.
+                closing_tag = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(html, at)
+                at = closing_tag.start() if closing_tag else end
+        close(0, end)
+
+    def to_arrow(self) -> pa.Array:
+        def int_column(values: array) -> pa.Array:
+            return pa.array(np.frombuffer(values, np.int32) if values else [], pa.int32())
+
+        def ends(values: array) -> pa.Array:
+            return int_column(array("i", [0]) + values)
+
+        columns = {
+            "node": int_column(self.nodes),
+            "parent": int_column(self.ints["parent"]),
+            "last": int_column(self.ints["last"]),
+            "ancestors": pa.ListArray.from_arrays(
+                ends(self.ancestor_ends), int_column(self.ancestors)
+            ),
+            "tag": pa.array(self.tags, pa.string()),
+            "attrs": pa.MapArray.from_arrays(
+                ends(self.attr_ends),
+                pa.array(self.keys, pa.string()),
+                pa.array(self.values, pa.string()),
+            ),
+            **{name: int_column(self.ints[name]) for name in self.INTS[2:]},
+        }
+        elements = pa.StructArray.from_arrays(list(columns.values()), list(columns))
+        return pa.StructArray.from_arrays(
+            [
+                pa.ListArray.from_arrays(ends(self.page_ends), elements),
+                pa.ListArray.from_arrays(ends(self.text_ends), pa.array(self.texts, pa.string())),
+            ],
+            ["els", "texts"],
+            mask=pa.array(self.missing, pa.bool_()),
+        )
 
 
 def parse_batch(html: pa.Array) -> pa.Array:
-    return _arrow_pages([_parse_one(h) for h in html.to_pylist()])
+    batch = PageBatch()
+    for page in html:
+        batch.add(page.as_py())
+    return batch.to_arrow()
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

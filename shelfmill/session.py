@@ -19,6 +19,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
+# Default size of one scan task.
+SPLIT_BYTES = 128 << 20
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
@@ -59,3 +62,16 @@ def scatter_slot(key: Column, row_id: Column, slots: int = 1024) -> Column:
     return F.when(key.isNull(), 1 + F.pmod(F.xxhash64(row_id), F.lit(slots))).otherwise(
         F.lit(0).cast("bigint")
     )
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before costly work per row.
+
+    Few files mean few tasks. An input that already has a task per core, as
+    any large one does, is returned as it is and never shuffled here.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if estimate >= cores * SPLIT_BYTES else df.repartition(cores)
