@@ -19,6 +19,8 @@ _PARTS = (
     r"(?s)\A(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?"
     r"((?:[^?#]*/)?[^;/?#]*)(;[^?#]*)?(\?[^#]*)?(#.*)?\z"
 )
+_SCHEME, _AUTHORITY, _PATH, _PARAMS, _QUERY, _FRAGMENT = range(6)
+_MARK = "\x01"
 _HIERARCHICAL = ["", "http", "https", "ftp", "sftp", "file"]
 
 
@@ -32,16 +34,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _split_url(url: Column) -> Column:
+    """The six parts of a URL, by one pass of the pattern."""
     # Browsers and RFC parsers ignore leading controls and inner tab/newline.
-    tidy = F.regexp_replace(url, r"\A[\x00-\x20]+|[\t\r\n]", "")
-    return F.struct(
-        *[
-            F.regexp_extract(tidy, _PARTS, i).alias(name)
-            for i, name in enumerate(
-                ["scheme", "authority", "path", "params", "query", "fragment"], 1
-            )
-        ]
-    )
+    tidy = F.regexp_replace(url, rf"\A[\x00-\x20]+|[\t\r\n{_MARK}]", "")
+    marked = F.regexp_replace(tidy, _PARTS, _MARK.join(f"${i}" for i in range(1, 7)))
+    return F.split(marked, _MARK)
 
 
 def _dot_free(segments: Column) -> Column:
@@ -77,26 +74,31 @@ def _merged_path(href_path: Column, base_path: Column) -> Column:
     return let(segments, _dot_free)
 
 
+def _unless_bare(part: Column, mark: str) -> Column:
+    return F.when(part == mark, F.lit("")).otherwise(part)
+
+
 def _join_parts(h: Column, b: Column) -> Column:
-    has_path = (h.path != "") | (h.params != "")
-    some = lambda part, mark: F.when(part == mark, F.lit("")).otherwise(part)
-    path = F.when(has_path, _merged_path(h.path, b.path)).otherwise(b.path)
-    rooted = F.when(
-        (b.authority != "") & (path != "") & ~path.startswith("/"),
-        F.concat(F.lit("/"), path),
-    ).otherwise(path)
-    params = F.when(has_path, some(h.params, ";")).otherwise(some(b.params, ";"))
-    own_query = some(h["query"], "?")
-    query = F.when(~has_path & (own_query == ""), some(b["query"], "?")).otherwise(
-        own_query
-    )
-    scheme = F.when(b.scheme != "", F.concat(F.lower(b.scheme), F.lit(":"))).otherwise("")
-    own_authority = F.concat(
-        scheme, h.authority, h.path, params, own_query, some(h.fragment, "#")
-    )
-    return F.when(h.authority != "", own_authority).otherwise(
-        F.concat(scheme, b.authority, rooted, params, query, some(h.fragment, "#"))
+    """Reference parts ``h`` combined with base parts ``b``."""
+    base_path, own_path = b[_PATH], h[_PATH]
+    has_path = (own_path != "") | (h[_PARAMS] != "")
+    path = F.when(has_path, _merged_path(own_path, base_path)).otherwise(base_path)
+    # After an authority a path starts with a slash.
+    unrooted = F.when(b[_AUTHORITY] != "", r"\A(?=[^/])").otherwise(r"\A(?!)")
+    path = F.regexp_replace(path, unrooted, F.lit("/"))
+    params = _unless_bare(F.when(has_path, h[_PARAMS]).otherwise(b[_PARAMS]), ";")
+    own_query = _unless_bare(h[_QUERY], "?")
+    query = F.when(has_path | (own_query != ""), own_query).otherwise(
+        _unless_bare(b[_QUERY], "?")
     )
+    scheme = F.when(
+        b[_SCHEME] != "", F.concat(F.lower(b[_SCHEME]), F.lit(":"))
+    ).otherwise("")
+    rest = F.when(
+        h[_AUTHORITY] != "",
+        F.concat(h[_AUTHORITY], own_path, _unless_bare(h[_PARAMS], ";"), own_query),
+    ).otherwise(F.concat(b[_AUTHORITY], path, params, query))
+    return F.concat(scheme, rest, _unless_bare(h[_FRAGMENT], "#"))
 
 
 def resolve_url(href: Column | str, base: Column | str) -> Column:
@@ -104,8 +106,9 @@ def resolve_url(href: Column | str, base: Column | str) -> Column:
     h, b = as_col(href), F.coalesce(as_col(base), F.lit(""))
 
     def joined(p: Column) -> Column:
-        same_scheme = (p.h.scheme == "") | (F.lower(p.h.scheme) == F.lower(p.b.scheme))
-        known = F.lower(p.b.scheme).isin(_HIERARCHICAL)
+        own, its = F.lower(p.h[_SCHEME]), F.lower(p.b[_SCHEME])
+        same_scheme = (own == "") | (own == its)
+        known = its.isin(_HIERARCHICAL)
         return F.when(same_scheme & known, _join_parts(p.h, p.b)).otherwise(h)
 
     relative = let(

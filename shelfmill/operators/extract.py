@@ -32,6 +32,7 @@ from shelfmill.schemas import (
     LINK_ATTRS,
     PAGE_COLUMNS,
 )
+from shelfmill.session import per_session
 
 # A card's sequence number is its page's walk position and its place on the
 # page in one long: 2^42 pages of up to 2^21 cards.
@@ -58,7 +59,8 @@ def card_seq(page_position: Column, place: Column) -> Column:
     ).otherwise(F.raise_error(F.lit("page number or card count outside the sequence range")))
 
 
-def page_cards(selectors: dict[str, str], base: str = "url") -> Column:
+@per_session
+def page_cards(selectors: dict[str, str]) -> Column:
     """Array of the cards of a parsed page, in document order."""
     els = F.col("els")
 
@@ -82,21 +84,27 @@ def page_cards(selectors: dict[str, str], base: str = "url") -> Column:
     return F.transform(all_matches(selectors["card"]), in_scope)
 
 
-def finish_cards(raw: DataFrame) -> DataFrame:
-    """Clean the raw strings of exploded cards (columns of ``page_cards``)."""
+@per_session
+def _card_columns() -> tuple[Column, list[Column]]:
     links = F.transform(
         F.array(clean_image_url("image"), F.col("href")), lambda u: resolve_url(u, F.col("base"))
     )
-    return raw.withColumn("_links", links).select(
-        "page_id",
-        "page_num",
+    return links, [
+        F.col("page_id"),
+        F.col("page_num"),
         card_seq(F.col("page_num"), F.col("pos")).alias("seq"),
         F.coalesce("title", F.lit("")).alias("title"),
         F.coalesce(clean_price("price"), F.lit(DEFAULT_PRICE)).alias("price"),
         F.get("_links", F.lit(0)).alias("image"),
         F.coalesce("descr", F.lit("")).alias("descr"),
         F.get("_links", F.lit(1)).alias("url"),
-    )
+    ]
+
+
+def finish_cards(raw: DataFrame) -> DataFrame:
+    """Clean the raw strings of exploded cards (columns of ``page_cards``)."""
+    links, columns = _card_columns()
+    return raw.withColumn("_links", links).select(*columns)
 
 
 def cards(pages: DataFrame, selectors: dict[str, str] | None = None) -> DataFrame:
@@ -112,6 +120,30 @@ def cards(pages: DataFrame, selectors: dict[str, str] | None = None) -> DataFram
     return finish_cards(explode_records(found, "cards", "page_id", "page_num", "base"))
 
 
+@per_session
+def _product_columns(
+    selectors: dict[str, str], strict: bool, has_globals: bool, image_options: dict
+) -> tuple[list[Column], list[Column]]:
+    """Columns of the two steps of ``product_pages``."""
+    window_json = F.col("window_json") if has_globals else None
+    price = element_text(first_match(selectors["price"]))
+    first = [
+        F.coalesce(element_text(first_match(selectors["title"])), F.lit("")).alias("title"),
+        F.coalesce(clean_price(price), F.lit(DEFAULT_PRICE)).alias("price"),
+        inner_html(first_match(selectors["desc"])).alias("desc_html"),
+        page_images(selectors, **image_options).alias("images"),
+    ]
+    second = [
+        F.col("title"),
+        F.col("price"),
+        F.coalesce(strip_tags("desc_html"), F.lit("")).alias("raw_desc"),
+        main_image(F.col("images")).alias("main_image"),
+        extra_images(F.col("images")).alias("extra_images"),
+        page_variants(selectors, F.col("price"), window_json, strict).alias("variants"),
+    ]
+    return first, second
+
+
 def product_pages(
     pages: DataFrame,
     selectors: dict[str, str] | None = None,
@@ -120,24 +152,8 @@ def product_pages(
 ) -> DataFrame:
     """Product record of each page: title, price, raw_desc, images, variants."""
     sels = selectors or build_selectors()
-    parsed = _parsed(pages)
-    window_json = F.col("window_json") if "window_json" in parsed.columns else None
+    parsed = _parsed(pages).where(F.col("els").isNotNull())
     carried = [c for c in PAGE_COLUMNS if c in parsed.columns and c not in ("html", "window_json")]
-    price = first_match(sels["price"])
-    staged = parsed.select(
-        *carried,
-        *[c for c in ("html", "els", "texts", "window_json") if c in parsed.columns],
-        F.coalesce(element_text(first_match(sels["title"])), F.lit("")).alias("title"),
-        F.coalesce(clean_price(element_text(price)), F.lit(DEFAULT_PRICE)).alias("price"),
-        inner_html(first_match(sels["desc"])).alias("desc_html"),
-        page_images(sels, **image_options).alias("images"),
-    )
-    return staged.where(F.col("els").isNotNull()).select(
-        *carried,
-        "title",
-        "price",
-        F.coalesce(strip_tags("desc_html"), F.lit("")).alias("raw_desc"),
-        main_image(F.col("images")).alias("main_image"),
-        extra_images(F.col("images")).alias("extra_images"),
-        page_variants(sels, F.col("price"), window_json, strict).alias("variants"),
-    )
+    source = [c for c in ("html", "els", "texts", "window_json") if c in parsed.columns]
+    first, second = _product_columns(sels, strict, "window_json" in source, image_options)
+    return parsed.select(*carried, *source, *first).select(*carried, *second)

@@ -123,8 +123,9 @@ def follow_links(links: DataFrame, seeds: DataFrame, max_doublings: int = 40) ->
     ``jump`` leads 2^k steps ahead, so a chain of n pages takes log2(n) rounds
     instead of n. Rows per seed never exceed the chain itself.
     """
-    jump = cut_lineage(links.where(F.col("next_url").isNotNull()).select("url", "next_url"))
     known = links.select("url").distinct()
+    inner = links.join(known.select(F.col("url").alias("next_url")), "next_url", "left_semi")
+    jump = cut_lineage(inner.select("url", "next_url"))
     walk = cut_lineage(
         seeds.select(F.col("seed"), F.col("seed").alias("url"))
         .distinct()
@@ -133,13 +134,8 @@ def follow_links(links: DataFrame, seeds: DataFrame, max_doublings: int = 40) ->
     )
     size = walk.count()
     for k in range(max_doublings):
-        ahead = (
-            walk.join(jump, "url")
-            .select(
-                "seed", F.col("next_url").alias("url"), (F.col("position") + (1 << k)).alias("position")
-            )
-            .join(known, "url", "left_semi")
-            .select("seed", "url", "position")
+        ahead = walk.join(jump, "url").select(
+            "seed", F.col("next_url").alias("url"), (F.col("position") + (1 << k)).alias("position")
         )
         walk = cut_lineage(
             walk.unionByName(ahead).groupBy("seed", "url").agg(F.min("position").alias("position"))

@@ -560,7 +560,8 @@ def _part_crawl(spark, sf_dir) -> DataFrame:
         ).alias("html"),
     )
     stored = products.where(F.col("p_size") > 3).select("page_id", "url", "html")
-    return lists.unionByName(stored)
+    # A stored crawl has many files; this one is built from a single small file.
+    return lists.unionByName(stored).repartition(spark.sparkContext.defaultParallelism)
 
 
 def _part_catalogue(spark, sf_dir):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
+from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,3 +78,22 @@ def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df if estimate >= cores * SPLIT_BYTES else df.repartition(cores)
+
+
+def per_session(build: Callable) -> Callable:
+    """Keep the columns that ``build`` returns for the life of the session.
+
+    Large expressions take thousands of calls to the JVM to build. Arguments
+    must be plain values; micro-batches and repeated jobs reuse the columns.
+    """
+    kept: dict[tuple, object] = {}
+
+    @functools.wraps(build)
+    def cached(*args, **kwargs):
+        context = SparkContext.getOrCreate()
+        key = (context.applicationId, repr(args), repr(sorted(kwargs.items())))
+        if key not in kept:
+            kept[key] = build(*args, **kwargs)
+        return kept[key]
+
+    return cached
