@@ -174,4 +174,5 @@ def srcset_best(srcset: Column | str) -> Column:
             .otherwise(best)
         )
 
-    return F.aggregate(entries, start, step, lambda best: best.url)
+    best = F.aggregate(entries, start, step, lambda best: best.url)
+    return F.when(F.coalesce(as_col(srcset), F.lit("")) == "", F.lit("")).otherwise(best)

@@ -14,6 +14,7 @@ any shuffle; ``elements`` explodes them to a flat table where one is wanted.
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -117,16 +118,11 @@ def _simple_test(e: Column, test: dict) -> Column:
     )
 
 
-def _all_of(tests: list[Column]) -> Column:
-    out = tests[0]
-    for t in tests[1:]:
-        out = out & t
-    return out
-
-
 def _chain_matches(chain: list, e: Column, els: Column) -> Column:
     combinator, tests = chain[-1]
-    here = _all_of([_simple_test(e, t) for t in tests])
+    here = functools.reduce(
+        lambda one, other: one & other, [_simple_test(e, t) for t in tests]
+    )
     if len(chain) == 1:
         return here
     rest = chain[:-1]
@@ -137,18 +133,33 @@ def _chain_matches(chain: list, e: Column, els: Column) -> Column:
     )
 
 
+def _substring_test(chain: list) -> tuple[str, str] | None:
+    """(attribute, value) of an alternative that is one ``[a*='v']`` test."""
+    tests = chain[0][1]
+    if len(chain) == 1 and len(tests) == 1 and tests[0]["op"] == "*=" and tests[0]["value"]:
+        return tests[0]["attr"].lower(), tests[0]["value"]
+    return None
+
+
 def matches(selector: str, e: Column, els: Column) -> Column:
     """Predicate: element ``e`` of the page elements ``els`` fits the selector.
 
     Supported: tag, ``.class``, ``#id``, ``[a]``, ``[a='v']``, ``[a*='v']``,
     ``:not([a*='v'])``, compounds, descendant, child ``>`` and comma lists.
-    Anything else raises ``ValueError``.
+    Anything else raises ``ValueError``. The predicate may be null for an
+    element that does not fit, which filters treat as false.
     """
-    out = None
+    # Substring alternatives on one attribute share one lookup and one pattern.
+    shared: dict[str, list[str]] = {}
+    tests = []
     for chain in _read_selector(selector):
-        one = F.coalesce(_chain_matches(chain, e, els), F.lit(False))
-        out = one if out is None else out | one
-    return out
+        simple = _substring_test(chain)
+        if simple:
+            shared.setdefault(simple[0], []).append(re.escape(simple[1]))
+        else:
+            tests.append(_chain_matches(chain, e, els))
+    tests += [e.attrs[name].rlike("|".join(values)) for name, values in shared.items()]
+    return functools.reduce(lambda one, other: one | other, tests)
 
 
 def all_matches(selector: str, els: Column | str = "els", within: Column | None = None) -> Column:

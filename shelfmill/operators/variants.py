@@ -28,7 +28,8 @@ from shelfmill.schemas import (
 
 _PRODUCT = "options array<string>, variants array<string>"
 _FORM = "array<string>"
-_ATTRIBUTES = "map<string,string>"
+# One parse per JSON object; nested values stay JSON text.
+_OBJECT = "map<string,string>"
 
 
 def _text(value: Column | str) -> Column:
@@ -43,13 +44,11 @@ def make_variant(base_price: Column, **fields: Column | str) -> Column:
     return F.struct(*[values[name].alias(name) for name in VARIANT_FIELDS])
 
 
-def _json_price(variant_json: Column, field: str, base_price: Column) -> Column:
-    """Price field of a JSON object; an absent field counts as the base price."""
-    present = F.array_contains(F.json_object_keys(variant_json), field)
-    raw = F.when(
-        F.coalesce(present, F.lit(False)),
-        F.get_json_object(variant_json, f"$.{field}"),
-    ).otherwise(base_price)
+def _json_price(fields: Column, name: str, base_price: Column) -> Column:
+    """Price among the fields of a JSON object; an absent field counts as the
+    base price, a null is no price."""
+    present = F.coalesce(F.map_contains_key(fields, name), F.lit(False))
+    raw = F.when(present, fields[name]).otherwise(base_price)
     return normalize_price(raw, base_price)
 
 
@@ -92,15 +91,13 @@ def product_json_variants(
     """
     first_joined = 4 if strict else 3
 
-    def one_variant(names: Column, v: Column) -> Column:
-        value = lambda axis: _text(F.get_json_object(v, f"$.option{axis}"))
+    def one_variant(names: Column, fields: Column) -> Column:
+        value = lambda axis: _text(fields[f"option{axis}"])
         joined_names = F.slice(names, first_joined, F.size(names) - (first_joined - 1))
         joined_values = F.transform(
             joined_names,
             lambda _n, i: _text(
-                F.from_json(v, _ATTRIBUTES)[
-                    F.concat(F.lit("option"), (i + first_joined).cast("string"))
-                ]
+                fields[F.concat(F.lit("option"), (i + first_joined).cast("string"))]
             ),
         )
         overflow = F.size(names) > 3
@@ -116,14 +113,17 @@ def product_json_variants(
             opt3_value=F.when(overflow, _labelled(joined_names, joined_values)).otherwise(
                 value(3)
             ),
-            sku=F.get_json_object(v, "$.sku"),
-            price=_json_price(v, "price", base_price),
+            sku=fields["sku"],
+            price=_json_price(fields, "price", base_price),
         )
 
     def all_variants(product: Column) -> Column:
         return let(
             _product_options(product),
-            lambda names: F.transform(product.variants, lambda v: one_variant(names, v)),
+            lambda names: F.transform(
+                F.transform(product.variants, lambda v: F.from_json(v, _OBJECT)),
+                lambda fields: one_variant(names, fields),
+            ),
         )
 
     return let(F.from_json(product_json, _PRODUCT), all_variants)
@@ -133,9 +133,9 @@ def variation_form_variants(form_json: Column, base_price: Column) -> Column:
     """Variants of a variation form: attributes one and two keep their axis,
     later attributes are joined under ``Options``."""
 
-    def one_variant(v: Column) -> Column:
+    def one_variant(fields: Column) -> Column:
         entries = F.transform(
-            F.map_entries(F.from_json(F.get_json_object(v, "$.attributes"), _ATTRIBUTES)),
+            F.map_entries(F.from_json(fields["attributes"], _OBJECT)),
             lambda e: F.struct(
                 attribute_label(e.key).alias("name"), _text(e.value).alias("value")
             ),
@@ -157,13 +157,14 @@ def variation_form_variants(form_json: Column, base_price: Column) -> Column:
                 opt2_value=axis(2).value,
                 opt3_name=F.when(n > 2, F.lit(OVERFLOW_OPTION_NAME)),
                 opt3_value=F.when(n > 2, joined),
-                sku=F.get_json_object(v, "$.sku"),
-                price=_json_price(v, "display_price", base_price),
+                sku=fields["sku"],
+                price=_json_price(fields, "display_price", base_price),
             )
 
         return let(entries, build)
 
-    return F.transform(F.from_json(form_json, _FORM), one_variant)
+    objects = F.transform(F.from_json(form_json, _FORM), lambda v: F.from_json(v, _OBJECT))
+    return F.transform(objects, one_variant)
 
 
 def option_variants(values: Column, base_price: Column) -> Column:

@@ -19,7 +19,7 @@ from shelfmill.operators import rows as product_rows
 from shelfmill.operators import running, stats, variants
 from shelfmill.plans.catalogue import CatalogueJob, build_catalogue
 from shelfmill.schemas import DEFAULT_PRICE, VARIANT_FIELDS
-from shelfmill.session import cut_lineage, ensure_checkpoint_dir, tune
+from shelfmill.session import cut_lineage, ensure_checkpoint_dir, spread, tune
 from shelfmill.sinks.files import write_import, write_review
 from shelfmill.sources.tables import exported_handles, read_export, read_pages, stream_pages
 from shelfmill.streaming.export import start_export, start_handle_export
@@ -39,6 +39,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
+def _spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for costly work per row, over all cores."""
+    return spread(_table(spark, sf_dir, name).select(*columns))
+
+
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_pages(spark, posixpath.join(sf_dir, "pages.parquet"))
 
@@ -310,7 +315,7 @@ def clean_prices(spark, sf_dir):
 
 @query
 def normalized_prices(spark, sf_dir):
-    orders = _table(spark, sf_dir, "orders")
+    orders = _spread(spark, sf_dir, "orders", "o_orderkey", "o_totalprice", "o_orderpriority", "o_custkey")
     return orders.select(
         "o_orderkey",
         prices.normalize_price(_str("o_totalprice"), F.lit("9.99")).alias("price"),
@@ -350,7 +355,7 @@ def cdn_urls(spark, sf_dir):
 
 @query
 def srcset_best(spark, sf_dir):
-    part = _table(spark, sf_dir, "part")
+    part = _spread(spark, sf_dir, "part", "p_partkey", "p_size")
     srcset = _cat(
         "/s/", _str("p_partkey"), ".jpg ", _str("p_size"), "w, /m/", _str("p_partkey"), ".jpg 25w,/d.jpg 2x"
     )
@@ -365,7 +370,7 @@ def srcset_best(spark, sf_dir):
 @query
 def image_filter(spark, sf_dir):
     """Noise, width and duplicate rules on lists of image attributes."""
-    part = _table(spark, sf_dir, "part")
+    part = _spread(spark, sf_dir, "part", "p_partkey", "p_size")
     key = _str("p_partkey")
 
     def attrs(src: Column, width: Column | None = None) -> Column:
@@ -389,14 +394,14 @@ def image_filter(spark, sf_dir):
 
 @query
 def fallback_html(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select(
+    return _spread(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", text.fallback_html("text").alias("body_html")
     )
 
 
 @query
 def fence_cleanup(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select(
+    return _spread(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id",
         text.clean_response(_cat("\n```html\n", F.col("text"), "\n```\n")).alias("fenced"),
         text.clean_response("text").alias("plain"),
@@ -406,7 +411,7 @@ def fence_cleanup(spark, sf_dir):
 @query
 def document_handles(spark, sf_dir):
     """Whole texts as titles: handle and visible text."""
-    return _table(spark, sf_dir, "documents").select(
+    return _spread(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", text.slugify("text").alias("handle"), text.squeeze_ws("text").alias("squeezed")
     )
 
@@ -425,7 +430,7 @@ def formatted_descriptions(spark, sf_dir):
     def shout(batch):
         return [None if " und " in t else "```html\n<p>" + str(len(t)) + "</p>\n```" for t in batch]
 
-    docs = _table(spark, sf_dir, "documents").withColumn("seq", F.col("doc_id"))
+    docs = _spread(spark, sf_dir, "documents", "doc_id", "text").withColumn("seq", F.col("doc_id"))
     done = formatter.format_descriptions(docs, shout, text="text", instructions="")
     return done.select("doc_id", "body_html", "used_ai")
 
@@ -794,7 +799,7 @@ def variant_priority(spark, sf_dir):
 @query
 def option_overflow(spark, sf_dir):
     """Five option axes: axes three to five joined, with and without axis three."""
-    part = _table(spark, sf_dir, "part")
+    part = _spread(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
     doc = _cat(
         '{"options":["Size","Brand",{"name":"Type"},{"label":"Key"},null],"variants":[{"option1":"',
         _str("p_size"), '","option2":"', F.col("p_brand"), '","option3":"', F.col("p_type"),
@@ -816,7 +821,7 @@ def option_overflow(spark, sf_dir):
 @query
 def json_variants(spark, sf_dir):
     """Product records built around the JSON of events."""
-    events = _table(spark, sf_dir, "events")
+    events = _spread(spark, sf_dir, "events", "event_id", "event_type", "props")
     doc = _cat(
         '{"options":[{"name":"Kind"}],"variants":[{"option1":"', F.col("event_type"),
         '","sku":null,"price":', F.get_json_object("props", "$.k"), "},", F.col("props"), "]}",
@@ -832,7 +837,7 @@ def json_variants(spark, sf_dir):
 @query
 def form_variants(spark, sf_dir):
     """Variation forms with none, two or four attributes."""
-    part = _table(spark, sf_dir, "part")
+    part = _spread(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
     two = _cat('"attribute_pa_shoe-size":"', _str("p_size"), '","attribute_brand":"', F.col("p_brand"), '"')
     four = _cat(two, ',"attribute_type":"', F.col("p_type"), '","attribute_pa_3d":"', _str("p_partkey"), '"')
     attrs = F.when(F.col("p_size") <= 10, "").when(F.col("p_size") <= 30, two).otherwise(four)
@@ -847,7 +852,7 @@ def form_variants(spark, sf_dir):
 @query
 def dom_options(spark, sf_dir):
     """Option values from event kinds: placeholders and repeats dropped."""
-    events = _table(spark, sf_dir, "events")
+    events = _spread(spark, sf_dir, "events", "event_id", "event_type", "props")
     kind = F.col("event_type")
     values = F.array(
         F.lit("Select"), kind, F.initcap(kind), F.lit(""), kind, F.lit("please select"),
@@ -1016,7 +1021,7 @@ def run_failures(spark, sf_dir):
 
 @query
 def batch_stats(spark, sf_dir):
-    rows = _table(spark, sf_dir, "documents").select(
+    rows = _spread(spark, sf_dir, "documents", "source", "text").select(
         F.col("source").alias("batch"), text.slugify("text").alias("Handle")
     )
     return stats.batch_stats(rows, "batch")
