@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmill.functions.text import clean_response, fallback_html, is_blank, prompt
-from shelfmill.session import scatter_slot
+from shelfmill.session import scatter_key
 
 # Default instructions put before a description; callers may pass their own.
 INSTRUCTIONS = (
@@ -65,16 +65,17 @@ def format_descriptions(
     fallback = fallback_html(F.coalesce(text, F.lit("")))
     if fn is None:
         return products.withColumn("body_html", fallback).withColumn("used_ai", F.lit(False))
-    keyed = products.withColumn("_key", F.when(~is_blank(text), F.sha2(F.col(text), 256)))
-    keyed = keyed.withColumn("_slot", scatter_slot(F.col("_key"), F.col(row_id)))
+    key = F.when(~is_blank(text), F.sha2(F.col(text), 256))
     answers = (
-        keyed.where(F.col("_key").isNotNull())
+        products.select(key.alias("_key"), F.col(text).alias("_text"))
+        .where(F.col("_key").isNotNull())
         .groupBy("_key")
-        .agg(F.any_value(text).alias("_text"))
+        .agg(F.any_value("_text").alias("_text"))
         .withColumn("_answer", _ask(fn)(prompt("_text", instructions)))
-        .select("_key", F.lit(0).cast("bigint").alias("_slot"), "_answer")
+        .select("_key", "_answer")
     )
-    return keyed.join(answers, ["_key", "_slot"], "left").select(
+    keyed = products.withColumn("_key", scatter_key(key, F.col(row_id)))
+    return keyed.join(answers, "_key", "left").select(
         *[c for c in products.columns if c not in ("body_html", "used_ai")],
         F.coalesce(clean_response("_answer"), fallback).alias("body_html"),
         F.col("_answer").isNotNull().alias("used_ai"),

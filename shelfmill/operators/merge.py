@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfmill.functions.text import blank_to_null, first_non_blank, slugify
 from shelfmill.operators.variants import default_variants
 from shelfmill.schemas import DEFAULT_PRICE, DEFAULT_TITLE, VARIANT
-from shelfmill.session import scatter_slot
+from shelfmill.session import scatter_key
 
 PRODUCT_FIELDS = ["title", "price", "raw_desc", "main_image", "extra_images", "variants"]
 
@@ -43,18 +43,15 @@ def merge_cards(cards: DataFrame, products: DataFrame | None) -> DataFrame:
         ])
         failed = F.lit(None).cast("string")
     else:
-        # Cards without a link cannot match; a second key spreads them out.
-        left = cards.withColumn("_link", blank_to_null("url")).withColumn(
-            "_slot", scatter_slot(F.col("_link"), F.col("seq"))
-        )
+        # Cards without a link cannot match; their keys spread them out.
+        left = cards.withColumn("_link", scatter_key(blank_to_null("url"), F.col("seq")))
         right = products.select(
             F.col("url").alias("_link"),
             F.col("url").alias("_hit"),
-            F.lit(0).cast("bigint").alias("_slot"),
             *[F.col(name).alias(f"_{name}") for name in PRODUCT_FIELDS],
         )
-        held = left.join(right, ["_link", "_slot"], "left")
-        failed = F.when(F.col("_hit").isNull(), F.col("_link"))
+        held = left.join(right, "_link", "left")
+        failed = F.when(F.col("_hit").isNull(), blank_to_null("url"))
     own = [c for c in ("page_id", "page_num") if c in cards.columns]
     merged = held.select(
         *own,

@@ -196,8 +196,10 @@ def build_catalogue(
         candidates = wanted_pages(pages, new)
         products = one_per_url(product_pages(candidates, sels, job.strict_axes))
     merged = merge_cards(new, products).withColumn("n_rows", n_rows())
+    if job.limit is not None or formatter is not None:
+        merged = cut_lineage(merged)  # read more than once below
     if job.limit is not None:
-        merged = limit_products(cut_lineage(merged), job.limit, job.limit_unit)
+        merged = limit_products(merged, job.limit, job.limit_unit)
     final = cut_lineage(format_descriptions(merged, formatter))
     limit = job.limit if job.limit is not None else 0
     return CatalogueResult(

@@ -57,14 +57,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scatter_slot(key: Column, row_id: Column, slots: int = 1024) -> Column:
-    """Second join key that spreads rows without a key over many tasks.
+def scatter_key(key: Column, row_id: Column, slots: int = 1024) -> Column:
+    """Join key that spreads rows without a key over many tasks.
 
-    Rows that can match get slot 0; the other join side uses slot 0 as well.
+    A missing key becomes one of ``slots`` strings that start with a zero
+    character and so match no real key. (A second join column with a literal
+    on the other side would not do: the optimizer turns it into a filter.)
     """
-    return F.when(key.isNull(), 1 + F.pmod(F.xxhash64(row_id), F.lit(slots))).otherwise(
-        F.lit(0).cast("bigint")
-    )
+    slot = F.pmod(F.xxhash64(row_id), F.lit(slots)).cast("string")
+    return F.coalesce(key, F.concat(F.lit("\0"), slot))
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Joins, de-duplication, running totals, walks, statistics: against brute force."""
 
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,24 @@ def test_page_patterns(spark):
     assert sorted((r.page_id, r.page_num) for r in got) == [(1, 3), (2, 4)]
 
 
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@contextmanager
+def settings(spark, changed):
+    saved = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 CARD = "seq bigint, title string, price string, image string, descr string, url string"
 PRODUCT = (
     "url string, title string, price string, raw_desc string, main_image string, "
@@ -265,3 +284,39 @@ def test_only_one_python_stage_and_pruned_scan(spark):
         pages.select("page_id", "url").where(F.col("url").startswith("https://")).select("page_id")
     )
     assert "StringStartsWith" in links and "html" not in links.split("ReadSchema")[1]
+
+
+def test_cards_without_a_link_are_spread(spark):
+    cards = spark.range(20_000).select(
+        F.col("id").alias("seq"), F.lit("t").alias("title"), F.lit("1").alias("price"),
+        F.lit("").alias("image"), F.lit("").alias("descr"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("u"), F.col("id"))).otherwise("").alias("url"),
+    )
+    products = spark.createDataFrame([("u1", "Page", "2", "", "", [], [])], PRODUCT)
+    # Adaptive coalescing would hide the spread of this small input.
+    with settings(spark, {**NO_BROADCAST, "spark.sql.adaptive.enabled": "false"}):
+        merged = merge.merge_cards(cards, products)
+        per_task = merged.groupBy(F.spark_partition_id()).count().collect()
+    assert merged.where("failed_url is null").count() == 20_000 // 3 + 2
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) < 20_000 / 8 * 1.5
+
+
+def test_a_hot_link_is_split(spark):
+    """A product page linked by most cards does not end up in one task."""
+    cards = spark.range(60_000).select(
+        F.col("id").alias("seq"), F.lit("t" * 200).alias("title"), F.lit("1").alias("price"),
+        F.lit("").alias("image"), F.lit("").alias("descr"),
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("url"),
+    ).repartition(16)
+    products = spark.createDataFrame([("hot", "", "2", "", "", [], [])], PRODUCT)
+    changed = {
+        **NO_BROADCAST,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with settings(spark, changed):
+        merged = merge.merge_cards(cards, products)
+        assert merged.where("price = '2'").count() == 40_000
+        merged.collect()
+        assert "skew=true" in plan_text(merged)
