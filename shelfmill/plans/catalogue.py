@@ -40,8 +40,10 @@ from shelfmill.sinks.files import (
 )
 from shelfmill.sources.tables import exported_handles
 
-# Wanted product URLs up to this many are broadcast to skip other pages early.
-WANTED_BOUND = 500_000
+# A set of wanted product URLs within both bounds is broadcast to skip other
+# pages early.
+WANTED_URLS = 500_000
+WANTED_CHARS = 50_000_000
 
 
 @dataclass(frozen=True)
@@ -76,18 +78,28 @@ class CatalogueResult:
 
 
 def _page_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> DataFrame:
-    """What the walk needs of each catalogue page, parsed once and stored."""
+    """What the walk needs of each catalogue page, parsed once and stored.
+
+    A page that failed to load or to parse contributes no cards.
+    """
     parsed = parse_pages(pages)
-    carried = [c for c in ("page_num", "status", "fetched_at") if c in parsed.columns]
+    status = F.lower("status") if "status" in parsed.columns else F.lit(None).cast("string")
+    parsed = parsed.withColumn(
+        "status",
+        F.coalesce(status, F.when(F.col("els").isNull(), "error").otherwise("ok")),
+    )
+    carried = [c for c in ("page_num", "fetched_at") if c in parsed.columns]
     link = next_link(job.next_selector) if job.next_selector else F.lit(None).cast("string")
+    loaded = F.col("status") == "ok"
     return cut_lineage(
         parsed.select(
             "page_id",
             F.col("url").alias("base"),
+            "status",
             *carried,
             link.alias("next_url"),
-            F.size(all_matches(sels["card"])).alias("n_cards"),
-            page_cards(sels).alias("cards"),
+            F.when(loaded, F.size(all_matches(sels["card"]))).otherwise(0).alias("n_cards"),
+            F.when(loaded, page_cards(sels)).alias("cards"),
         )
     )
 
@@ -151,26 +163,35 @@ def accepted_cards(
     if not job.url_pattern:
         return new
     per_page = new.groupBy("page_num").agg(F.count("*").alias("n_new"))
-    status = [c for c in ("status",) if c in facts.columns]
     visited = end_of_catalogue(
-        facts.select("page_num", "n_cards", *status).join(per_page, "page_num", "left")
+        facts.select("page_num", "n_cards", "status").join(per_page, "page_num", "left")
     )
     last = visited.agg(F.max("page_num").alias("last"))
     return new.where(F.col("page_num") <= last.scalar())
 
 
-def wanted_pages(pages: DataFrame, cards: DataFrame, bound: int = WANTED_BOUND) -> DataFrame:
+def wanted_pages(
+    pages: DataFrame,
+    cards: DataFrame,
+    max_urls: int = WANTED_URLS,
+    max_chars: int = WANTED_CHARS,
+) -> DataFrame:
     """Product pages worth parsing.
 
-    Few wanted URLs are broadcast, so other pages are dropped before parsing.
-    With more than ``bound`` all pages are parsed: their records are small,
-    while a shuffle of the HTML itself would not be.
+    The linked URLs are measured first. A small set is broadcast, so other
+    pages are dropped before parsing. Beyond the bounds all pages are parsed:
+    their records are small, while a shuffle of the HTML would not be.
     """
     ok = pages
     if "status" in pages.columns:
         ok = pages.where(F.lower(F.coalesce("status", F.lit("ok"))) == "ok")
     wanted = cards.where(F.col("url") != "").select("url").distinct()
-    if wanted.limit(bound + 1).count() > bound:
+    size = (
+        wanted.limit(max_urls + 1)
+        .agg(F.count("*").alias("urls"), F.sum(F.length("url")).alias("chars"))
+        .first()
+    )
+    if size.urls > max_urls or (size.chars or 0) > max_chars:
         return ok
     return ok.join(F.broadcast(wanted), "url", "left_semi")
 

@@ -20,7 +20,7 @@ from shelfmill.operators import running, stats, variants
 from shelfmill.plans.catalogue import CatalogueJob, build_catalogue
 from shelfmill.schemas import DEFAULT_PRICE, VARIANT_FIELDS
 from shelfmill.session import cut_lineage, ensure_checkpoint_dir, spread, tune
-from shelfmill.sinks.files import write_import, write_review
+from shelfmill.sinks.files import append_to_export, write_import, write_review
 from shelfmill.sources.tables import exported_handles, read_export, read_pages, stream_pages
 from shelfmill.streaming.export import start_export, start_handle_export
 
@@ -259,6 +259,22 @@ def resume_from_export(spark, sf_dir):
     return dedup.first_per_handle(new).select("page_id", "handle")
 
 
+@query
+def appended_export(spark, sf_dir):
+    """Rows of two languages appended to an export of the others."""
+    rows = cut_lineage(
+        _import_rows(spark, sf_dir).withColumn(
+            "lang", F.regexp_extract("Source URL", r"^https?://[^/]+/([a-z]+)/", 1)
+        )
+    )
+    is_new = F.col("lang").isin("fr", "es")
+    path = _scratch(spark)
+    write_import(rows.where(~is_new), path)
+    prior = read_export(spark, path).na.fill("")
+    both = append_to_export(prior, rows.where(is_new))
+    return both.select("Handle", "Title", "Variant Price")
+
+
 @query
 def stream_export(spark, sf_dir):
     """Handles of a streamed page table, exported once each."""

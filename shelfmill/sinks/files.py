@@ -11,6 +11,10 @@ from shelfmill.operators.rows import ORDER, import_columns, review_rows
 from shelfmill.schemas import REVIEW_SUFFIX
 from shelfmill.sources.tables import BOM
 
+# Part files stay small enough for one task to read back, since quoted line
+# breaks make a CSV file indivisible.
+ROWS_PER_FILE = 1_000_000
+
 _CSV = {
     "header": True,
     "escape": '"',
@@ -57,7 +61,7 @@ def write_import(
     mode: str = "overwrite",
     profile: str = "full",
     files: int | None = None,
-    rows_per_file: int | None = None,
+    rows_per_file: int | None = ROWS_PER_FILE,
 ) -> None:
     """Import CSV: UTF-8 with byte order mark, source link left out.
 
@@ -73,7 +77,7 @@ def write_review(
     mode: str = "overwrite",
     profile: str = "full",
     files: int | None = None,
-    rows_per_file: int | None = None,
+    rows_per_file: int | None = ROWS_PER_FILE,
 ) -> None:
     """Review CSV with readable labels and link formulas."""
     ordered = in_export_order(rows, files)

@@ -36,15 +36,17 @@ def stream_pages(
 ) -> DataFrame:
     """Page table that grows by files, as a stream.
 
-    Hive-style schema evolution is not guessed: the columns are read once from
-    the files present at start.
+    The columns are those of the files present at start; an empty folder is
+    taken to get every known page column.
     """
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    schema = reader.parquet(path).schema
-    known = T.StructType([f for f in schema.fields if f.name in PAGE_COLUMNS])
-    stream = spark.readStream.schema(known).option("maxFilesPerTrigger", max_files)
-    if glob:
-        stream = stream.option("pathGlobFilter", glob)
+    options = {"pathGlobFilter": glob} if glob else {}
+    known = page_schema()
+    try:
+        present = spark.read.options(**options).parquet(path).schema
+        known = T.StructType([f for f in present.fields if f.name in PAGE_COLUMNS])
+    except AnalysisException:
+        pass
+    stream = spark.readStream.schema(known).options(maxFilesPerTrigger=max_files, **options)
     return conform_pages(stream.parquet(path))
 
 

@@ -156,6 +156,53 @@ def test_catalogue_ends_at_a_page_without_new_products(spark):
     assert sorted(r.title for r in build_catalogue(pages, job).products.collect()) == ["Ant", "Bee"]
 
 
+def test_pages_that_failed_to_load(spark):
+    """An error page is skipped, a timed-out page ends the catalogue."""
+    rows = [
+        (0, f"{SHOP}/page/1/", list_page(["Ant"]), "ok"),
+        (1, f"{SHOP}/page/2/", list_page(["Bad"]), "error"),
+        (2, f"{SHOP}/page/3/", None, None),
+        (3, f"{SHOP}/page/4/", list_page(["Bee"]), None),
+        (4, f"{SHOP}/page/5/", list_page(["Cat"]), "timeout"),
+        (5, f"{SHOP}/page/6/", list_page(["Dog"]), "ok"),
+        (6, f"{SHOP}/p/Ant/", product_page("Ant"), "error"),
+    ]
+    pages = spark.createDataFrame(rows, page_schema(["page_id", "url", "html", "status"]))
+    job = CatalogueJob(limit=None, url_pattern=JOB.url_pattern)
+    result = build_catalogue(pages, job)
+    assert sorted(r.title for r in result.products.collect()) == ["Ant", "Bee"]
+    assert sorted(r.url for r in result.failed.collect()) == [f"{SHOP}/p/Ant/", f"{SHOP}/p/Bee/"]
+
+
+def test_pages_fetched_twice_count_once(spark):
+    rows = [
+        (0, f"{SHOP}/page/1/", list_page(["Old"]), "2026-01-01 00:00:00"),
+        (1, f"{SHOP}/page/1/", list_page(["New"]), "2026-02-01 00:00:00"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, at string")
+    pages = pages.withColumn("fetched_at", F.col("at").cast("timestamp")).drop("at")
+    job = CatalogueJob(limit=None, url_pattern=JOB.url_pattern, use_product_pages=False)
+    assert [r.title for r in build_catalogue(pages, job).products.collect()] == ["New"]
+
+
+def test_many_wanted_pages_are_not_broadcast(spark, golden):
+    from shelfmill.plans.catalogue import wanted_pages
+
+    cards = spark.createDataFrame([(f"{SHOP}/p/{n}/",) for n in IMAGES], "url string")
+    few = wanted_pages(golden, cards)
+    assert few.count() == len(IMAGES) and "BroadcastHashJoin" in few._jdf.queryExecution().toString()
+    for bounds in ({"max_urls": 3}, {"max_chars": 10}):
+        assert wanted_pages(golden, cards, **bounds).count() == golden.count()
+
+
+def test_formatter_in_a_job(spark, golden):
+    job = CatalogueJob(limit=None, url_pattern=JOB.url_pattern, selectors={"desc": "h1"})
+    result = build_catalogue(golden, job, formatter=lambda batch: ["<p>new</p>" for _ in batch])
+    assert {r.body_html for r in result.products.collect()} == {"<p>new</p>"}
+    stats = result.stats.collect()[0]
+    assert (stats.ai_success, stats.ai_fallback, stats.ai_rate) == (4, 0, 100)
+
+
 def test_reference_policy(spark):
     """A final handle recorded earlier skips a later card with that handle."""
     names = ["Ant", "Description", "Bee"]
