@@ -57,7 +57,7 @@ class CatalogueJob:
 
     limit: int | None = DEFAULT_LIMIT
     limit_unit: Literal["rows", "products"] = "rows"
-    dedup: Literal["first", "reference"] = "first"
+    dedup: Literal["first", "sequential"] = "first"
     resume: bool = False
     use_product_pages: bool = True
     selectors: dict[str, str] = field(default_factory=dict)
@@ -210,7 +210,7 @@ def build_catalogue(
     """
     sels = build_selectors(job.selectors)
     products = product_table if job.use_product_pages else None
-    if job.use_product_pages and job.dedup == "reference" and products is None:
+    if job.use_product_pages and job.dedup == "sequential" and products is None:
         products = cut_lineage(one_per_url(product_pages(pages, sels, job.strict_axes)))
     new = accepted_cards(pages, job, exported, products)
     if job.use_product_pages and products is None:

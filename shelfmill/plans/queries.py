@@ -948,14 +948,14 @@ def first_cards(spark, sf_dir):
     return running.first_cards(cards, 50)
 
 
-def _event_pages(spark, sf_dir) -> DataFrame:
-    """Events bucketed to catalogue pages of one kind each."""
+def _event_pages(spark, sf_dir, new_above: int) -> DataFrame:
+    """Events bucketed to catalogue pages of one kind each; large values are new."""
     return (
         _table(spark, sf_dir, "events")
         .groupBy("event_type", F.floor(F.col("event_id") / 100).alias("page_num"))
         .agg(
             F.count("*").alias("n_cards"),
-            F.count_if(F.col("value") > 40).alias("n_new"),
+            F.count_if(F.col("value") > new_above).alias("n_new"),
             F.when(F.min("value") < 0.05, "error").otherwise("ok").alias("status"),
         )
     )
@@ -963,12 +963,12 @@ def _event_pages(spark, sf_dir) -> DataFrame:
 
 @query
 def catalogue_cut(spark, sf_dir):
-    return navigation.end_of_catalogue(_event_pages(spark, sf_dir), by=("event_type",))
+    return navigation.end_of_catalogue(_event_pages(spark, sf_dir, 100), by=("event_type",))
 
 
 @query
 def catalogue_cut_single(spark, sf_dir):
-    pages = _event_pages(spark, sf_dir).groupBy("page_num").agg(
+    pages = _event_pages(spark, sf_dir, 200).groupBy("page_num").agg(
         F.sum("n_cards").alias("n_cards"), F.sum("n_new").alias("n_new"),
         F.max("status").alias("status"),
     )
@@ -986,6 +986,14 @@ def page_range(spark, sf_dir):
     return found.select("page_id", "page_num")
 
 
+@query
+def single_page(spark, sf_dir):
+    """The page at one address: here the first in the alphabet."""
+    pages = _pages(spark, sf_dir)
+    seed = pages.agg(F.min("url")).first()[0]
+    return navigation.single_page(pages, seed).select("page_id", "url", "page_num")
+
+
 @query
 def pattern_urls(spark, sf_dir):
     """Numbered list addresses of every customer, ten orders to a page."""

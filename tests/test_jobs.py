@@ -203,13 +203,13 @@ def test_formatter_in_a_job(spark, golden):
     assert (stats.ai_success, stats.ai_fallback, stats.ai_rate) == (4, 0, 100)
 
 
-def test_reference_policy(spark):
+def test_sequential_policy(spark):
     """A final handle recorded earlier skips a later card with that handle."""
     names = ["Ant", "Description", "Bee"]
     pages = crawl(spark, [(f"{SHOP}/page/1/", list_page(names))] + [
         (f"{SHOP}/p/{n}/", product_page(n)) for n in names
     ])
-    job = CatalogueJob(limit=None, dedup="reference", url_pattern=JOB.url_pattern)
+    job = CatalogueJob(limit=None, dedup="sequential", url_pattern=JOB.url_pattern)
     got = build_catalogue(pages, job).products.orderBy("seq").collect()
     assert [r.source_url for r in got] == [f"{SHOP}/p/Ant/", f"{SHOP}/p/Bee/"]
 

@@ -274,3 +274,30 @@ def test_cards(spark):
         ("Card 1", "0.00", "https://x.com/i1.jpg", "", "https://x.com/alt/1"),
         ("Card 2", "7", "https://x.com/i2.jpg", "d d", "https://x.com/c/q"),
     ]
+
+
+def test_older_image_and_variant_rules(spark):
+    from shelfmill.operators.images import usable_images
+    from shelfmill.operators.variants import make_variant, merge_axes
+    from shelfmill.schemas import IMAGE_ATTRS_V1, IMAGE_NOISE_WORDS_V1
+
+    attrs = F.array(
+        F.create_map(F.lit("src"), F.lit("/a.png"), F.lit("data-src"), F.lit("/b.png")),
+        F.create_map(F.lit("src"), F.lit("/icon.png"), F.lit("width"), F.lit("99")),
+    )
+    base = F.lit("http://h/p")
+    old = usable_images(
+        attrs, base, noise_words=IMAGE_NOISE_WORDS_V1, min_width=100, attr_order=IMAGE_ATTRS_V1
+    )
+    v = make_variant(F.lit("1.00"), opt1_name="Size", opt1_value="S", opt3_name="Fit", opt3_value="Slim")
+    blank = make_variant(F.lit("1.00"), opt1_name="Size")
+    row = spark.range(1).select(
+        old.alias("old"),
+        usable_images(attrs, base).alias("new"),
+        merge_axes(F.array(v, blank)).alias("m"),
+        merge_axes(F.array(blank), F.lit("Own title")).alias("t"),
+    ).collect()[0]
+    assert row.old == ["http://h/a.png"] and row.new == ["http://h/b.png"]
+    assert [x.opt1_value for x in row.m] == ["S / Slim", "Default"]
+    assert [x.opt3_value for x in row.m] == ["", ""]
+    assert row.t[0].opt1_value == "Own title"
