@@ -38,6 +38,8 @@ CLOSES_SIBLING = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 PARAGRAPH_FENCE = {"button", "table", "td", "th", "caption", "object"}
+# Browsers stop nesting at this depth and attach deeper elements side by side.
+MAX_DEPTH = 512
 NO_FENCE: set[str] = set()
 RAW_TEXT_TAGS = {"script", "style"}
 FOREIGN_TAGS = {"svg", "math"}
@@ -46,7 +48,7 @@ FOREIGN_TAGS = {"svg", "math"}
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z) | <[!?][^>]*(?:>|\Z)
       | </([a-zA-Z][^\s/>]*)[^>]*>
-      | <([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>""",
+      | <([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""",
     re.VERBOSE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(
@@ -61,18 +63,18 @@ class PageBatch:
     a per-element conversion. No tree objects are kept.
     """
 
-    INTS = ("parent", "last", "text_from", "text_to", "html_from", "html_to")
+    INTS = ("node", "parent", "last", "text_from", "text_to", "html_from", "html_to")
 
     def __init__(self):
-        self.ints = {name: array("i") for name in self.INTS}
-        self.nodes, self.ancestors, self.ancestor_ends = array("i"), array("i"), array("i")
+        self.ints = array("i")  # the INTS of each element in turn
+        self.ancestors, self.ancestor_ends = array("i"), array("i")
         self.tags, self.keys, self.values, self.attr_ends = [], [], [], array("i")
         self.texts = []
         self.page_ends, self.text_ends, self.missing = array("i"), array("i"), []
 
     def add(self, html: str | None) -> None:
-        columns = [*self.ints.values(), self.nodes, self.ancestors, self.ancestor_ends,
-                   self.tags, self.keys, self.values, self.attr_ends, self.texts]
+        columns = [self.ints, self.ancestors, self.ancestor_ends, self.tags,
+                   self.keys, self.values, self.attr_ends, self.texts]
         sizes = [len(c) for c in columns]
         failed = html is None
         if not failed:
@@ -89,9 +91,7 @@ class PageBatch:
     def _read(self, html: str) -> None:
         first, first_text = len(self.tags), len(self.texts)
         tags, texts, keys, values = self.tags, self.texts, self.keys, self.values
-        parent, last = self.ints["parent"], self.ints["last"]
-        text_from, text_to = self.ints["text_from"], self.ints["text_to"]
-        html_from, html_to = self.ints["html_from"], self.ints["html_to"]
+        ints, width = self.ints, len(self.INTS)
         open_nodes, open_tags = array("i"), []
         hidden = 0
 
@@ -104,10 +104,10 @@ class PageBatch:
                     hidden -= 1
                 elif tag in BLOCK_TAGS and not hidden:
                     texts.append("\n")
-                row = first + node
-                last[row] = newest
-                text_to[row] = len(texts) - first_text
-                html_to[row] = max(at, html_from[row])
+                row = (first + node) * width
+                ints[row + 2] = newest
+                ints[row + 4] = len(texts) - first_text
+                ints[row + 6] = at
 
         def close_nearest(wanted: set[str], fence: set[str], at: int) -> None:
             for depth in range(len(open_tags) - 1, -1, -1):
@@ -118,10 +118,13 @@ class PageBatch:
                     return
 
         at, end = 0, len(html)
+        last_close = html.rfind(">")
         while at < end:
             start, token = html.find("<", at), None
             while start >= 0 and not (token := _TOKEN.match(html, start)):
-                start = html.find("<", start + 1)
+                # Behind the last ">" no tag can end; only a comment may be open.
+                next_open = "<" if start < last_close else "<!"
+                start = html.find(next_open, start + 1)
             start = start if token else end
             if start > at and not hidden:
                 data = html[at:start]
@@ -131,7 +134,12 @@ class PageBatch:
             at = token.end()
             closing, opening, attrs = token.groups()
             if closing:
-                close_nearest({closing.lower()}, NO_FENCE, start)
+                tag = closing.lower()
+                if open_tags and open_tags[-1] == tag:
+                    close(len(open_tags) - 1, start)
+                elif tag in open_tags:
+                    close_nearest({tag}, NO_FENCE, start)
+                continue
             if not opening:
                 continue
             tag = opening.lower()
@@ -142,13 +150,8 @@ class PageBatch:
             if not hidden and (tag in BLOCK_TAGS or tag == "br"):
                 texts.append("\n")
             node, n_texts = len(tags) - first, len(texts) - first_text
-            self.nodes.append(node)
-            parent.append(open_nodes[-1] if open_nodes else -1)
-            last.append(node)
-            text_from.append(n_texts)
-            text_to.append(n_texts)
-            html_from.append(at)
-            html_to.append(at)
+            parent = open_nodes[-1] if open_nodes else -1
+            ints.extend((node, parent, node, n_texts, n_texts, at, at))
             self.ancestors.extend(open_nodes)
             self.ancestor_ends.append(len(self.ancestors))
             tags.append(tag)
@@ -164,10 +167,10 @@ class PageBatch:
                 continue
             if attrs.endswith("/") and (tag in FOREIGN_TAGS or not FOREIGN_TAGS.isdisjoint(open_tags)):
                 continue
-            open_nodes.append(node)
-            open_tags.append(tag)
-            if tag in HIDDEN_TAGS:
-                hidden += 1
+            if len(open_tags) < MAX_DEPTH:
+                open_nodes.append(node)
+                open_tags.append(tag)
+                hidden += tag in HIDDEN_TAGS
             if tag in RAW_TEXT_TAGS:
                 # The content is no markup: jump to the closing tag.
                 closing_tag = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(html, at)
@@ -181,10 +184,10 @@ class PageBatch:
         def ends(values: array) -> pa.Array:
             return int_column(array("i", [0]) + values)
 
+        table = np.array(self.ints, np.int32).reshape(-1, len(self.INTS))
+        ints = {name: pa.array(table[:, i]) for i, name in enumerate(self.INTS)}
         columns = {
-            "node": int_column(self.nodes),
-            "parent": int_column(self.ints["parent"]),
-            "last": int_column(self.ints["last"]),
+            **{name: ints[name] for name in self.INTS[:3]},
             "ancestors": pa.ListArray.from_arrays(
                 ends(self.ancestor_ends), int_column(self.ancestors)
             ),
@@ -194,7 +197,7 @@ class PageBatch:
                 pa.array(self.keys, pa.string()),
                 pa.array(self.values, pa.string()),
             ),
-            **{name: int_column(self.ints[name]) for name in self.INTS[2:]},
+            **{name: ints[name] for name in self.INTS[3:]},
         }
         elements = pa.StructArray.from_arrays(list(columns.values()), list(columns))
         return pa.StructArray.from_arrays(

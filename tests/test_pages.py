@@ -1,6 +1,7 @@
 """Page parsing, selectors and extraction."""
 
 import random
+import time
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -95,6 +96,28 @@ def test_implied_closing():
     ]
 
 
+HOSTILE = {
+    "unclosed quotes": '<a b="x' * 20_000,
+    "unclosed end tags": "</b" * 50_000,
+    "open brackets": "<" * 300_000,
+    "declarations": "<!x" * 50_000,
+    "open comments": "<!-- x " * 20_000,
+    "unclosed script": "<script>" + "</scr" * 50_000,
+    "deep nesting": "<div>" * 20_000,
+    "open paragraphs": "<p>x" * 30_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_markup_takes_linear_time(name):
+    start = time.perf_counter()
+    page = read(HOSTILE[name])
+    assert time.perf_counter() - start < 8
+    if name == "deep nesting":
+        assert len(page["els"]) == 20_000
+        assert max(len(e["ancestors"]) for e in page["els"][:600]) == page_builder.MAX_DEPTH
+
+
 def test_rejects_keep_the_batch(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<p>x"), (2, "v", None)], "page_id bigint, url string, html string"
