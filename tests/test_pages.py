@@ -110,12 +110,13 @@ HOSTILE = {
 
 @pytest.mark.parametrize("name", HOSTILE)
 def test_hostile_markup_takes_linear_time(name):
+    html = pa.array([HOSTILE[name]], pa.string())
     start = time.perf_counter()
-    page = read(HOSTILE[name])
-    assert time.perf_counter() - start < 8
+    page = page_builder.parse_batch(html)
+    assert time.perf_counter() - start < 5
     if name == "deep nesting":
-        assert len(page["els"]) == 20_000
-        assert max(len(e["ancestors"]) for e in page["els"][:600]) == page_builder.MAX_DEPTH
+        depths = page.field("els").flatten().field("ancestors").value_lengths()
+        assert len(depths) == 20_000 and max(depths.to_pylist()) == page_builder.MAX_DEPTH
 
 
 def test_rejects_keep_the_batch(spark):
