@@ -31,8 +31,11 @@ def merge_cards(cards: DataFrame, products: DataFrame | None) -> DataFrame:
 
     ``products`` has one row per URL; None means card data only. A card with a
     link but no product page reports that link in ``failed_url``. A page price
-    of "0.00" counts as a price and wins over the card.
+    of "0.00" counts as a price and wins over the card. A ``handle`` of the
+    cards is kept as ``card_handle``.
     """
+    if "handle" in cards.columns:
+        cards = cards.withColumnRenamed("handle", "card_handle")
     if products is None:
         held = cards.select("*", F.lit(None).cast("string").alias("_hit"), *[
             F.lit(None).cast(kind).alias(f"_{name}")
@@ -52,7 +55,7 @@ def merge_cards(cards: DataFrame, products: DataFrame | None) -> DataFrame:
         )
         held = left.join(right, "_link", "left")
         failed = F.when(F.col("_hit").isNull(), blank_to_null("url"))
-    own = [c for c in ("page_id", "page_num") if c in cards.columns]
+    own = [c for c in ("page_id", "page_num", "card_handle") if c in held.columns]
     merged = held.select(
         *own,
         "seq",

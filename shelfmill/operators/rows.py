@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmill.functions.text import image_link, source_link
-from shelfmill.schemas import IMPORT_COLUMNS, PROFILES, REVIEW_COLUMNS
+from shelfmill.schemas import IMPORT_COLUMNS, PROFILES
 
 # Import column -> field of the zipped variant.
 _VARIANT_COLUMNS = {
@@ -75,9 +75,3 @@ def review_rows(rows: DataFrame, profile: str = "full") -> DataFrame:
 def profile_rows(rows: DataFrame, profile: str) -> DataFrame:
     """Projection of import rows to one of the narrower file versions."""
     return rows.select(*[c for c in ORDER if c in rows.columns], *PROFILES[profile])
-
-
-__all__ = [
-    "IMPORT_COLUMNS", "ORDER", "REVIEW_COLUMNS", "import_columns", "import_rows", "n_rows",
-    "profile_rows", "review_rows",
-]

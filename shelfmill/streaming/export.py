@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmill.operators.dedup import known_handles, not_exported
+from shelfmill.operators.dedup import first_per_handle, not_exported
 from shelfmill.operators.formatter import BatchFormatter
 from shelfmill.plans.catalogue import CatalogueJob, build_catalogue
 from shelfmill.sinks.files import derive_review_path, write_import, write_review
@@ -50,9 +50,11 @@ def start_export(
 
     Every batch writes its own folder below both outputs and adds its handles
     to the ledger table, all keyed by batch id, so a replay is idempotent and
-    a restart from the checkpoint continues where the run ended. A handle is
-    skipped when an earlier batch recorded it as a card or final handle.
+    a restart from the checkpoint continues where the run ended. The ledger
+    holds what the job's rule records: card handles for ``first``, so that the
+    stream exports what one batch run would, final handles for ``sequential``.
     """
+    recorded = "card_handle" if job.dedup == "first" else "handle"
 
     def export(batch: DataFrame, batch_id: int) -> None:
         exported = ledger_handles(batch.sparkSession, ledger, batch_id)
@@ -61,7 +63,8 @@ def start_export(
         )
         write_import(result.rows, _batch_folder(output, batch_id))
         write_review(result.rows, _batch_folder(derive_review_path(output), batch_id))
-        write_once(result.products.select("handle").distinct(), ledger, batch_id)
+        handles = result.products.select(F.col(recorded).alias("handle")).distinct()
+        write_once(handles, ledger, batch_id)
 
     return (
         pages.writeStream.foreachBatch(export)
@@ -79,8 +82,6 @@ def start_handle_export(
     ``cards`` is a stream with ``handle`` and ``seq``; within a batch the
     earliest card of a handle is kept.
     """
-    from shelfmill.operators.dedup import first_per_handle
-
     def export(batch: DataFrame, batch_id: int) -> None:
         new = first_per_handle(batch)
         seen = ledger_handles(batch.sparkSession, ledger, batch_id)
@@ -105,9 +106,3 @@ def distinct_handles(cards: DataFrame) -> DataFrame:
 
 def use_disk_state(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-
-
-__all__ = [
-    "distinct_handles", "known_handles", "ledger_handles", "start_export", "start_handle_export",
-    "use_disk_state", "write_once",
-]

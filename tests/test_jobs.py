@@ -264,6 +264,23 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     assert {r.handle for r in spark.read.parquet(ledger).collect()} == expected
 
 
+@pytest.mark.parametrize("dedup,exports", [("first", 2), ("sequential", 3)])
+def test_stream_records_by_the_rule_of_the_job(spark, golden, tmp_path, dedup, exports):
+    """All product pages share one title; Ant is listed again in batch two."""
+    source = str(tmp_path / "pages")
+    ledger, state = str(tmp_path / "ledger"), str(tmp_path / "state")
+    job = CatalogueJob(limit=None, dedup=dedup, seed=f"{SHOP}/page/1/")
+    for names in (["Ant"], ["Ant", "Bee"]):
+        pages = [(f"{SHOP}/page/1/", list_page(names))]
+        pages += [(f"{SHOP}/p/{n}/", product_page(n)) for n in names]
+        crawl(spark, pages).coalesce(1).write.mode("append").parquet(source)
+        start_export(
+            stream_pages(spark, source), str(tmp_path / "out.csv"), ledger, state, job
+        ).awaitTermination()
+    written = [r for r in read_csv(str(tmp_path / "out.csv")) if r["Title"]]
+    assert len(written) == exports
+
+
 def test_stream_state_keeps_each_handle_once(spark, tmp_path):
     use_disk_state(spark)
     source = str(tmp_path / "pages")
