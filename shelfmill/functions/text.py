@@ -61,9 +61,15 @@ def card_handle(title: Column | str, seq: Column | str) -> Column:
 
 
 def strip_tags(inner_html: Column | str) -> Column:
-    """Text of an HTML fragment; a fragment without text is returned itself."""
+    """Text of an HTML fragment; a fragment without text is returned itself.
+
+    No tag ends behind the last ">", so the pattern is kept off that tail,
+    where every "<" would make it read to the end again.
+    """
     html = strip_ws(inner_html)
-    text = squeeze_ws(F.regexp_replace(html, "<[^>]+>", " "))
+    tail = F.substring_index(html, ">", -1)
+    tagged = F.substring(html, F.lit(1), F.length(html) - F.length(tail))
+    text = squeeze_ws(F.concat(F.regexp_replace(tagged, "<[^>]+>", " "), tail))
     return F.coalesce(blank_to_null(text), html)
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from urllib.parse import urljoin
 
 import pytest
@@ -62,6 +63,9 @@ CASES = {
             " <img src='x'> ": "<img src='x'>",
             "no tags": "no tags",
             "a\n\n <b>c</b>": "a c",
+            "a <b>c</b> < d < e": "a c < d < e",
+            "1 < 2 > 3": "1 3",
+            "<<": "<<",
             "": "",
         },
     ),
@@ -175,6 +179,9 @@ def test_strings_agree_with_python(evaluate):
     assert evaluate(text.slugify, words) == [
         re.sub("[^a-z0-9]+", "-", w.lower()).strip("-") for w in words
     ]
+    assert evaluate(text.strip_tags, words) == [
+        re.sub(r"\s+", " ", re.sub("<[^>]+>", " ", w.strip())).strip() or w.strip() for w in words
+    ]
     assert evaluate(prices.clean_price, words) == [
         re.sub(r"[^\d.]", "", w) or "0.00" for w in words
     ]
@@ -197,3 +204,10 @@ def test_resolution_agrees_with_urllib(spark):
     got = df.select("h", "b", urls.resolve_url("h", "b").alias("r")).collect()
     wrong = [(r.h, r.b, r.r) for r in got if r.r != expected(r.h, r.b)]
     assert not wrong
+
+
+def test_long_runs_take_linear_time(evaluate):
+    long = ["<" * 400_000, " " * 400_000 + "x" + " " * 400_000, "a" + " " * 400_000 + "b"]
+    start = time.perf_counter()
+    assert evaluate(text.strip_tags, long) == ["<" * 400_000, "x", "a b"]
+    assert time.perf_counter() - start < 20
