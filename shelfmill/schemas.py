@@ -150,7 +150,6 @@ DEFAULT_LIMIT = 1000
 DEFAULT_PAGE_START = 1
 DEFAULT_PAGE_END = 50
 REVIEW_SUFFIX = "_client_review"
-FAILED_URLS_NAME = "failed_urls.txt"
 
 # --------------------------------------------------------------------------
 # Record types

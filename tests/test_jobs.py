@@ -66,7 +66,7 @@ def read_csv(folder):
 
 
 def test_golden_run(spark, golden, tmp_path):
-    out = str(tmp_path / "sample_upload.csv")
+    out = str(tmp_path / "upload.csv")
     result = export_catalogue(golden, out, JOB, files=1, summary_path=str(tmp_path / "summary"))
     stats = result.stats.collect()[0].asDict()
     assert stats == {
@@ -225,7 +225,7 @@ def test_export_handles_of_odd_files(spark, tmp_path):
 
 
 def test_seed_lists(spark, tmp_path):
-    path = tmp_path / "target.txt"
+    path = tmp_path / "seeds.txt"
     path.write_text("  https://a.example/x \n\nftp://b\nhttp://c\n")
     good, bad = read_seeds(spark, str(path))
     assert sorted(r.seed for r in good.collect()) == ["http://c", "https://a.example/x"]
