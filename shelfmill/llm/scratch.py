@@ -1,0 +1,22 @@
+"""Stored intermediate results in the folder that all executors share."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+
+from shelfmill.session import ensure_checkpoint_dir
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
+
+    Cuts lineage: what reads the result does not depend on lost executors, and
+    values such as generated row ids stay as they were written. The folder is
+    scratch space; its owner clears it.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
