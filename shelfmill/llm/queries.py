@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import decontaminate, quality_rules, simhash
+from shelfmill.llm import bpe, decontaminate, quality_rules, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +28,23 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", quality_rules.quality("text").alias("q")).select("doc_id", *[f"q.{f}" for f in fields])
 
 
+def digest_ids(ids: str):
+    return F.sha2(F.concat_ws(",", F.col(ids).cast("array<string>")), 256)
+
+
+def bpe_digests(documents: DataFrame) -> DataFrame:
+    codec = bpe.Codec(documents.sparkSession)
+    coded = codec.decode(codec.encode(documents))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest_ids("ids").alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
