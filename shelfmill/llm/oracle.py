@@ -59,7 +59,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+_OP7 = r"""
+WITH h AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+  SELECT doc_id, s, md5(substring(x, 2 * s + 1, 400)) AS k FROM (SELECT doc_id, x, unnest(range(0, n - 199)) AS s FROM h WHERE n >= 200)),
+twice AS (
+  SELECT doc_id, s FROM (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM w) WHERE c > 1),
+marked AS (
+  SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 THEN 0 ELSE 1 END AS fresh FROM twice),
+islands AS (
+  SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM marked),
+spans AS (
+  SELECT doc_id, min(s) AS a, max(s) + 200 AS b FROM islands GROUP BY doc_id, g),
+parts AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM spans),
+cut AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS stop, string_agg(substring(x, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS front
+  FROM parts JOIN h USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN stop IS NULL THEN x ELSE front || substring(x, 2 * stop + 1) END)) AS kept_sha256
+FROM h LEFT JOIN cut USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": _OP1,
+    "op7_substring_dedup": _OP7,
     "op8_quality_rules": _OP8,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import bpe, decontaminate, quality_rules, simhash
+from shelfmill.llm import bpe, decontaminate, quality_rules, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,9 +42,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), texts=False).drop("kept")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
