@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import bpe, decontaminate, quality_rules, simhash, substrings
+from shelfmill.llm import bpe, decontaminate, pii, quality_rules, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,10 +46,19 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), texts=False).drop("kept")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.spans("text").alias("s"))
+    kinds = [kind.name for kind in pii.BASIC_KINDS]
+    counts = [F.size(F.filter("s", lambda x, k=k: x.kind == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    base = pii.listed(F.filter("s", lambda x: x.basic))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.listed(F.col("s")).alias("spans"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_pii": op6_pii,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
