@@ -82,8 +82,23 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
 FROM h LEFT JOIN cut USING (doc_id)
 """
 
+_OP4 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS told,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(17 + length(text) + length(role) + 2 * len(regexp_extract_all(role, '[%<\n]')) + len(regexp_extract_all(text, '</?turn'))) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM g
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": _OP1,
+    "op4_chat_format": _OP4,
     "op7_substring_dedup": _OP7,
     "op8_quality_rules": _OP8,
 }

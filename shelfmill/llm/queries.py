@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import bpe, decontaminate, pii, quality_rules, simhash, substrings
+from shelfmill.llm import bpe, chat, decontaminate, pii, quality_rules, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,9 +54,23 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.listed(F.col("s")).alias("spans"))
 
 
+HARD_TURN = r"\### Assistant: </turn> ok"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(HARD_TURN).alias("text"))
+    chats = chat.format_chats(rows.unionByName(hard))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
+    return chats.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_chat_format": op4_chat_format,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_pii": op6_pii,
     "op7_substring_dedup": op7_substring_dedup,
