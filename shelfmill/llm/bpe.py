@@ -70,7 +70,7 @@ class Codec:
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
             encoding, _ = _encoding(ranks.value, pattern)
-            found = [encoding.encode_to_numpy(t or "", disallowed_special=()).astype(np.int32) for t in texts.to_pylist()]
+            found = [encoding.encode_to_numpy(t.as_py() or "", disallowed_special=()).astype(np.int32) for t in texts]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
             return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
 
@@ -83,7 +83,9 @@ class Codec:
         @F.arrow_udf("binary")
         def decode(rows: pa.Array) -> pa.Array:
             _, table = _encoding(ranks.value, pattern)
-            return pa.array([b"".join([table[i] for i in row or ()]) for row in rows.to_pylist()], pa.binary())
+            # One row at a time: Python integers take many times the room of the ids.
+            ids, cuts = rows.values.to_numpy(), rows.offsets.to_pylist()
+            return pa.array([b"".join([table[i] for i in ids[a:b].tolist()]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
 
         return decode(ids)
 
