@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import bpe, chat, decontaminate, pii, quality_rules, simhash, substrings
+from shelfmill.llm import bpe, chat, decontaminate, pii, quality_rules, simhash, substrings, subword_classifier, training
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,13 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+QUALITY_FOLD = training.Fold(modulus=3, remainder=1)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", QUALITY_FOLD)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_byte_bpe": op3_byte_bpe,
@@ -75,4 +82,5 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
