@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import bpe, chat, decontaminate, pii, quality_rules, simhash, substrings, subword_classifier, training
+from shelfmill.llm import bpe, chat, decontaminate, pii, quality_rules, simhash, substrings, subword_classifier, toxicity, training
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,8 +74,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", QUALITY_FOLD)
 
 
+TOXIC_FOLD = training.Fold(modulus=4, remainder=2)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", TOXIC_FOLD).drop("evidence")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_chat_format": op4_chat_format,
     "op5_simhash_dedup": op5_simhash_dedup,
