@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import bpe, chat, decontaminate, pii, quality_rules, simhash, substrings, subword_classifier, toxicity, training
+from shelfmill.llm import bpe, chat, decontaminate, language, pii, quality_rules, simhash, substrings, subword_classifier, toxicity, training
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", TOXIC_FOLD).drop("evidence")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -90,5 +94,6 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
