@@ -49,7 +49,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "documents").select("doc_id", pii.spans("text").alias("s"))
     kinds = [kind.name for kind in pii.BASIC_KINDS]
-    counts = [F.size(F.filter("s", lambda x, k=k: x.kind == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    counts = [F.size(F.filter(F.col("s.kind"), lambda x: x == F.lit(k))).cast("long").alias(f"n_{k}") for k in kinds]
     base = pii.listed(F.filter("s", lambda x: x.basic))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.listed(F.col("s")).alias("spans"))
 

@@ -1,11 +1,13 @@
 """Personal data spans against plain Python."""
 
+import hashlib
 import random
 import re
 
 from pyspark.sql import functions as F
 
 from shelfmill.llm import pii
+from shelfmill.llm.queries import op6_pii
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -75,3 +77,15 @@ def test_redact_keeps_columns_and_rows(spark):
     rows = pii.redact(df).collect()
     assert sorted((r.doc_id or 0, r.text or "", r.s) for r in rows) == [(0, "", "y"), (1, "[EMAIL]", "x"), (1, "[EMAIL]", "x")]
     assert pii.find_pii(df.limit(0)).count() == 0
+
+
+def test_query_on_a_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = op6_pii(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in got} == set(texts) and len(got) == len(texts)
+    for r in got:
+        base = plain(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [base.count(k + ":") for k in PLAIN]
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+    assert sum(r.n_email + r.n_card for r in got) > 0
