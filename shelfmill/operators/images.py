@@ -56,10 +56,11 @@ def usable_images(
         & ~is_image_noise(i.src, noise_words)
         & is_wide_enough(i.width, min_width),
     )
-    sources = F.transform(kept, lambda i: i.src)
+    # The CDN rule runs once more behind the filters: a name may end in two size suffixes.
+    sources = F.transform(kept, lambda i: full_size_url(i.src, cdn_host))
     if fallback_attrs is not None:
         spare = F.filter(
-            F.array(image_candidate(fallback_attrs, attr_order, cdn_host)), lambda u: u != ""
+            F.array(full_size_url(image_candidate(fallback_attrs, attr_order, cdn_host), cdn_host)), lambda u: u != ""
         )
         sources = let(sources, lambda u: F.when(F.size(u) > 0, u).otherwise(spare))
     return F.array_distinct(F.transform(sources, lambda u: resolve_url(u, base_url)))

@@ -71,6 +71,26 @@ def single_page(pages: DataFrame, seed: str) -> DataFrame:
     return pages.where(F.col("url") == seed).withColumn("page_num", F.lit(1).cast("bigint"))
 
 
+STATUSES = ("ok", "error", "timeout")
+
+
+def page_status(pages: DataFrame) -> Column:
+    """Status of a fetch in lower case; null means ok, another value raises.
+
+    A crawl with other codes is mapped to these three before the job.
+    """
+    if "status" not in pages.columns:
+        return F.lit("ok")
+    status = F.lower(F.coalesce("status", F.lit("ok")))
+    unknown = F.raise_error(F.concat(F.lit("unknown page status "), status)).cast("string")
+    return F.when(status.isin(*STATUSES), status).otherwise(unknown)
+
+
+def loaded(pages: DataFrame) -> DataFrame:
+    """Pages that were fetched."""
+    return pages.where(page_status(pages) == "ok") if "status" in pages.columns else pages
+
+
 def page_stops(walked: DataFrame) -> Column:
     """Does this page end the catalogue?
 

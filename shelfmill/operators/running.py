@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 DIGIT_BITS = 21
-# Up to this many leading rows a bounded top-k beats the digit totals.
-TOP_K_BOUND = 100_000
 
 
 def _sum_before(value: str, by: Sequence[str], order: str) -> Column:
@@ -73,18 +71,14 @@ def limit_cutoff(
 
     ``unit='rows'`` admits a product while fewer than ``limit`` rows precede
     it, so products stay whole and the last may overshoot; ``'products'``
-    counts products. Every product has at least one row, hence no more than
-    ``limit`` products can be admitted and a small limit needs a top-k only.
+    counts products. The totals are the same for every limit, and no task
+    gathers the leading rows.
     """
     if unit not in ("rows", "products"):
         raise ValueError(f"unknown limit unit {unit!r}")
     size = F.col(n_rows) if unit == "rows" else F.lit(1)
     narrow = products.select(F.col(order).alias("_key"), size.cast("bigint").alias("_size"))
-    if limit <= TOP_K_BOUND:
-        first = narrow.orderBy("_key").limit(max(limit, 0))
-        counted = first.withColumn("_before", _sum_before("_size", [], "_key"))
-    else:
-        counted = sum_before(narrow, "_key", "_size", "_before")
+    counted = sum_before(narrow, "_key", "_size", "_before")
     return counted.where(F.col("_before") < limit).agg(F.max("_key").alias("cutoff"))
 
 

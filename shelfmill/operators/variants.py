@@ -44,6 +44,20 @@ def make_variant(base_price: Column, **fields: Column | str) -> Column:
     return F.struct(*[values[name].alias(name) for name in VARIANT_FIELDS])
 
 
+def _until_broken(objects: Column, is_good, build) -> Column:
+    """Struct of the items built from the objects before the first bad one,
+    and whether there is a bad one."""
+
+    def counted(found: Column) -> Column:
+        bad = F.array_position(F.transform(found, lambda o: ~is_good(o)), True)
+        n = F.when(bad > 0, bad - 1).otherwise(F.size(found)).cast("int")
+        return F.struct(
+            F.transform(F.slice(found, F.lit(1), n), build).alias("items"), (bad > 0).alias("broken")
+        )
+
+    return let(objects, counted)
+
+
 def _json_price(fields: Column, name: str, base_price: Column) -> Column:
     """Price among the fields of a JSON object; an absent field counts as the
     base price, a null is no price."""
@@ -80,7 +94,7 @@ def _labelled(names: Column, values: Column) -> Column:
     return F.array_join(F.filter(pairs, lambda p: p.isNotNull()), AXIS_SEPARATOR)
 
 
-def product_json_variants(
+def _product_source(
     product_json: Column, base_price: Column, strict: bool = False
 ) -> Column:
     """Variants of an embedded product record, up to three option axes.
@@ -120,8 +134,9 @@ def product_json_variants(
     def all_variants(product: Column) -> Column:
         return let(
             _product_options(product),
-            lambda names: F.transform(
+            lambda names: _until_broken(
                 F.transform(product.variants, lambda v: F.from_json(v, _OBJECT)),
+                lambda fields: fields.isNotNull(),
                 lambda fields: one_variant(names, fields),
             ),
         )
@@ -129,10 +144,19 @@ def product_json_variants(
     return let(F.from_json(product_json, _PRODUCT), all_variants)
 
 
-def variation_form_variants(form_json: Column, base_price: Column) -> Column:
+def product_json_variants(product_json: Column, base_price: Column, strict: bool = False) -> Column:
+    """Variants of an embedded product record, up to one that is no object."""
+    return _product_source(product_json, base_price, strict)["items"]
+
+
+def _form_source(form_json: Column, base_price: Column) -> Column:
     """Variants of a variation form: attributes one and two keep their axis,
     later attributes are joined under ``Options``."""
 
+    def is_good(fields: Column) -> Column:
+        given = F.coalesce(F.map_contains_key(fields, "attributes"), F.lit(False))
+        return fields.isNotNull() & (~given | F.from_json(fields["attributes"], _OBJECT).isNotNull())
+
     def one_variant(fields: Column) -> Column:
         entries = F.transform(
             F.map_entries(F.from_json(fields["attributes"], _OBJECT)),
@@ -164,7 +188,13 @@ def variation_form_variants(form_json: Column, base_price: Column) -> Column:
         return let(entries, build)
 
     objects = F.transform(F.from_json(form_json, _FORM), lambda v: F.from_json(v, _OBJECT))
-    return F.transform(objects, one_variant)
+    return _until_broken(objects, is_good, one_variant)
+
+
+def variation_form_variants(form_json: Column, base_price: Column) -> Column:
+    """Variants of a variation form, up to one that is no object or whose
+    attributes are none."""
+    return _form_source(form_json, base_price)["items"]
 
 
 def option_variants(values: Column, base_price: Column) -> Column:
@@ -189,6 +219,29 @@ def pick_variants(sources: list[Column], base_price: Column) -> Column:
     return F.coalesce(*non_empty, default_variants(base_price))
 
 
+def fall_through(sources: list[Column], options: Column, base_price: Column) -> Column:
+    """First source that found anything without breaking off.
+
+    What a source found before it broke off stays in front of the next one's
+    variants. ``sources`` are structs of ``items`` and ``broken``.
+    """
+    none = F.slice(options, F.lit(1), F.lit(0))
+
+    def rest(left: list[Column], kept: Column) -> Column:
+        if not left:
+            found = F.concat(kept, F.coalesce(options, none))
+            return let(found, lambda v: F.when(F.size(v) > 0, v).otherwise(default_variants(base_price)))
+
+        def one(source: Column) -> Column:
+            found = F.concat(kept, F.coalesce(source["items"], none))
+            done = (F.size(source["items"]) > 0) & ~source["broken"]
+            return F.when(done, found).otherwise(let(found, lambda v: rest(left[1:], v)))
+
+        return let(left[0], one)
+
+    return let(none, lambda empty: rest(sources, empty))
+
+
 def embedded_product_json(
     els: Column | str = "els", html: Column | str = "html", window_json: Column | None = None
 ) -> Column:
@@ -227,15 +280,15 @@ def page_variants(
     strict: bool = False,
 ) -> Column:
     """Variants of a parsed page row (columns ``els``, ``texts``, ``html``)."""
-    return pick_variants(
+    return fall_through(
         [
             let(
                 embedded_product_json(window_json=window_json),
-                lambda j: product_json_variants(j, base_price, strict),
+                lambda j: _product_source(j, base_price, strict),
             ),
-            variation_form_variants(variation_form_json(), base_price),
-            option_variants(option_values(selectors["variants"]), base_price),
+            _form_source(variation_form_json(), base_price),
         ],
+        option_variants(option_values(selectors["variants"]), base_price),
         base_price,
     )
 

@@ -21,7 +21,9 @@ from shelfmill.operators.formatter import BatchFormatter, format_descriptions
 from shelfmill.operators.merge import merge_cards, one_per_url
 from shelfmill.operators.navigation import (
     end_of_catalogue,
+    loaded,
     next_link,
+    page_status,
     pattern_pages,
     single_page,
     walk_next_links,
@@ -30,7 +32,7 @@ from shelfmill.operators.rows import import_rows, n_rows
 from shelfmill.operators.running import limit_products
 from shelfmill.operators.stats import failed_urls, run_stats
 from shelfmill.schemas import DEFAULT_LIMIT, DEFAULT_PAGE_END, DEFAULT_PAGE_START
-from shelfmill.session import cut_lineage
+from shelfmill.session import cut_lineage, stored
 from shelfmill.sinks.files import (
     derive_review_path,
     write_failed_urls,
@@ -40,12 +42,6 @@ from shelfmill.sinks.files import (
 )
 from shelfmill.sources.tables import exported_handles
 
-# A set of wanted product URLs within both bounds is broadcast to skip other
-# pages early.
-WANTED_URLS = 500_000
-WANTED_CHARS = 50_000_000
-
-
 @dataclass(frozen=True)
 class CatalogueJob:
     """Settings of one run.
@@ -83,11 +79,8 @@ def _page_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> Da
     A page that failed to load or to parse contributes no cards.
     """
     parsed = parse_pages(pages)
-    status = F.lower("status") if "status" in parsed.columns else F.lit(None).cast("string")
-    parsed = parsed.withColumn(
-        "status",
-        F.coalesce(status, F.when(F.col("els").isNull(), "error").otherwise("ok")),
-    )
+    unread = F.col("els").isNull() & (page_status(parsed) == "ok")
+    parsed = parsed.withColumn("status", F.when(unread, "error").otherwise(page_status(parsed)))
     carried = [c for c in ("page_num", "fetched_at") if c in parsed.columns]
     link = next_link(job.next_selector) if job.next_selector else F.lit(None).cast("string")
     loaded = F.col("status") == "ok"
@@ -105,11 +98,13 @@ def _page_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> Da
 
 
 def _latest_facts(facts: DataFrame) -> DataFrame:
-    """One row per URL: the last fetch, then the lowest page id."""
+    """One row per URL: the last fetch that loaded, else the last; then the lowest page id."""
     fetched = F.col("fetched_at") if "fetched_at" in facts.columns else F.lit(None).cast("timestamp")
     rest = [c for c in facts.columns if c != "base"]
     latest = facts.groupBy("base").agg(
-        F.max_by(F.struct(*rest), F.struct(fetched, -F.col("page_id"))).alias("_page")
+        F.max_by(
+            F.struct(*rest), F.struct(F.col("status") == "ok", fetched, -F.col("page_id"))
+        ).alias("_page")
     )
     return latest.select("base", "_page.*")
 
@@ -170,30 +165,14 @@ def accepted_cards(
     return new.where(F.col("page_num") <= last.scalar())
 
 
-def wanted_pages(
-    pages: DataFrame,
-    cards: DataFrame,
-    max_urls: int = WANTED_URLS,
-    max_chars: int = WANTED_CHARS,
-) -> DataFrame:
-    """Product pages worth parsing.
+def wanted_pages(pages: DataFrame, cards: DataFrame) -> DataFrame:
+    """Loaded product pages that the cards link to.
 
-    The linked URLs are measured first. A small set is broadcast, so other
-    pages are dropped before parsing. Beyond the bounds all pages are parsed:
-    their records are small, while a shuffle of the HTML would not be.
+    The links are stored first, so Spark knows their size and picks the join:
+    it sends them to the pages only if they are below its broadcast threshold.
     """
-    ok = pages
-    if "status" in pages.columns:
-        ok = pages.where(F.lower(F.coalesce("status", F.lit("ok"))) == "ok")
-    wanted = cards.where(F.col("url") != "").select("url").distinct()
-    size = (
-        wanted.limit(max_urls + 1)
-        .agg(F.count("*").alias("urls"), F.sum(F.length("url")).alias("chars"))
-        .first()
-    )
-    if size.urls > max_urls or (size.chars or 0) > max_chars:
-        return ok
-    return ok.join(F.broadcast(wanted), "url", "left_semi")
+    wanted = stored(cards.where(F.col("url") != "").select("url").distinct(), "wanted")
+    return loaded(pages).join(wanted, "url", "left_semi")
 
 
 def build_catalogue(
@@ -211,8 +190,11 @@ def build_catalogue(
     sels = build_selectors(job.selectors)
     products = product_table if job.use_product_pages else None
     if job.use_product_pages and job.dedup == "sequential" and products is None:
-        products = cut_lineage(one_per_url(product_pages(pages, sels, job.strict_axes)))
+        products = cut_lineage(one_per_url(product_pages(loaded(pages), sels, job.strict_axes)))
     new = accepted_cards(pages, job, exported, products)
+    if job.limit is not None:
+        # Each product has a row at least, so no card behind these can pass.
+        new = cut_lineage(limit_products(new, job.limit, "products"))
     if job.use_product_pages and products is None:
         candidates = wanted_pages(pages, new)
         products = one_per_url(product_pages(candidates, sels, job.strict_axes))

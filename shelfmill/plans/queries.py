@@ -931,9 +931,10 @@ def limit_rows(spark, sf_dir):
 
 @query
 def limit_rows_large(spark, sf_dir):
-    """A limit above the top-k bound: half of all line items, if that is more."""
+    """A limit that cuts at every scale: half of all rows."""
     sized = cut_lineage(_order_sizes(spark, sf_dir))
-    return running.limit_products(sized, running.TOP_K_BOUND + 1).select("seq", "n_rows")
+    half = sized.agg((F.sum("n_rows") / 2).cast("long").alias("n")).first().n
+    return running.limit_products(sized, half).select("seq", "n_rows")
 
 
 @query

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark import SparkContext
@@ -35,8 +35,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder of the session.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
-    session without one gets a temporary folder.
+    A cluster names a shared folder in ``spark.checkpoint.dir``. Without the
+    setting a folder below the warehouse is used, which is shared as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -44,9 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="shelfmill-checkpoint-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shelfmill_scratch"
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
@@ -57,6 +55,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and read it back.
+
+    Unlike a checkpoint it is columnar, and its size is known to the planner.
+    The folder is scratch space; its owner clears it.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scatter_key(key: Column, row_id: Column, slots: int = 1024) -> Column:
     """Join key that spreads rows without a key over many tasks.
 
@@ -71,14 +81,15 @@ def scatter_key(key: Column, row_id: Column, slots: int = 1024) -> Column:
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores before costly work per row.
 
-    Few files mean few tasks. An input that already has a task per core, as
-    any large one does, is returned as it is and never shuffled here.
+    An input of less than one scan task would run in one task; it is dealt
+    over the cores. A larger one has several tasks and is never shuffled here,
+    however many cores there are.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df if estimate >= cores * SPLIT_BYTES else df.repartition(cores)
+    return df if estimate >= SPLIT_BYTES else df.repartition(cores)
 
 
 def per_session(build: Callable) -> Callable:

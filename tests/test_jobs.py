@@ -185,14 +185,51 @@ def test_pages_fetched_twice_count_once(spark):
     assert [r.title for r in build_catalogue(pages, job).products.collect()] == ["New"]
 
 
-def test_many_wanted_pages_are_not_broadcast(spark, golden):
+def test_wanted_pages_are_the_linked_ones_whatever_the_join(spark, golden):
     from shelfmill.plans.catalogue import wanted_pages
 
     cards = spark.createDataFrame([(f"{SHOP}/p/{n}/",) for n in IMAGES], "url string")
     few = wanted_pages(golden, cards)
     assert few.count() == len(IMAGES) and "BroadcastHashJoin" in few._jdf.queryExecution().toString()
-    for bounds in ({"max_urls": 3}, {"max_chars": 10}):
-        assert wanted_pages(golden, cards, **bounds).count() == golden.count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert wanted_pages(golden, cards).count() == len(IMAGES)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_status_rules(spark):
+    rows = [
+        (0, f"{SHOP}/page/1/", list_page(["Ant", "Bee"]), "OK", "2026-01-01 00:00:00"),
+        (1, f"{SHOP}/page/1/", "<h1>503</h1>", "error", "2026-02-01 00:00:00"),
+        (2, f"{SHOP}/p/Ant/", "<h1>503 Service Unavailable</h1>", "error", None),
+        (3, f"{SHOP}/p/Bee/", product_page("Bee"), None, None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, status string, at string")
+    pages = pages.withColumn("fetched_at", F.col("at").cast("timestamp")).drop("at")
+    for dedup in ("first", "sequential"):
+        result = build_catalogue(pages, CatalogueJob(limit=None, url_pattern=JOB.url_pattern, dedup=dedup))
+        assert sorted(r.title for r in result.products.collect()) == ["Ant", "Description"]
+        assert [r.url for r in result.failed.collect()] == [f"{SHOP}/p/Ant/"]
+    odd = pages.withColumn("status", F.lit("200"))
+    with pytest.raises(Exception, match="unknown page status 200"):
+        build_catalogue(odd, CatalogueJob(limit=None, url_pattern=JOB.url_pattern)).rows.count()
+
+
+def test_product_pages_behind_the_limit_are_not_parsed(spark, golden, monkeypatch):
+    from shelfmill.plans import catalogue
+
+    seen = []
+    plain = catalogue.wanted_pages
+
+    def watched(pages, cards):
+        seen.append(cards.count())
+        return plain(pages, cards)
+
+    monkeypatch.setattr(catalogue, "wanted_pages", watched)
+    assert build_catalogue(golden, CatalogueJob(limit=1, url_pattern=JOB.url_pattern)).products.count() == 1
+    assert seen == [1]
 
 
 def test_formatter_in_a_job(spark, golden):

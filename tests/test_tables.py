@@ -64,10 +64,8 @@ def test_sum_before(spark, spacing):
         sums[g] += n
 
 
-@pytest.mark.parametrize("bound", [0, 100_000])
 @pytest.mark.parametrize("limit", [0, -1, 1, 20, 37, 10_000])
-def test_limit_counts_rows_and_keeps_products_whole(spark, monkeypatch, bound, limit):
-    monkeypatch.setattr(running, "TOP_K_BOUND", bound)
+def test_limit_counts_rows_and_keeps_products_whole(spark, limit):
     sizes = [7, 6, 7, 1, 1, 30, 2, 5]
     df = spark.createDataFrame(list(enumerate(sizes)), "seq bigint, n_rows bigint").repartition(3)
     expected, total = [], 0
