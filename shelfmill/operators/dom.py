@@ -118,7 +118,18 @@ def _simple_test(e: Column, test: dict) -> Column:
     )
 
 
-def _chain_matches(chain: list, e: Column, els: Column) -> Column:
+def _ancestor_chains(chains: list[list]) -> list[list]:
+    """What stands left of each descendant combinator, inner parts first."""
+    found: list[list] = []
+    for chain in chains:
+        for k in range(1, len(chain)):
+            if chain[k][0] == " " and chain[:k] not in found:
+                found.append(chain[:k])
+    return sorted(found, key=len)
+
+
+def _chain_matches(chain: list, e: Column, els: Column, above: dict[str, Column]) -> Column:
+    """``above`` holds, for each ancestor chain, the page's elements that fit it."""
     combinator, tests = chain[-1]
     here = functools.reduce(
         lambda one, other: one & other, [_simple_test(e, t) for t in tests]
@@ -127,10 +138,10 @@ def _chain_matches(chain: list, e: Column, els: Column) -> Column:
         return here
     rest = chain[:-1]
     if combinator == ">":
-        return here & (e.parent >= 0) & _chain_matches(rest, F.get(els, e.parent), els)
-    return here & F.exists(
-        e.ancestors, lambda i: _chain_matches(rest, F.get(els, i), els)
-    )
+        return here & (e.parent >= 0) & _chain_matches(
+            rest, F.get(els, e.parent), els, above
+        )
+    return here & F.exists(above[repr(rest)], lambda a: (a.node < e.node) & (a["last"] >= e.node))
 
 
 def _substring_test(chain: list) -> tuple[str, str] | None:
@@ -141,8 +152,8 @@ def _substring_test(chain: list) -> tuple[str, str] | None:
     return None
 
 
-def matches(selector: str, e: Column, els: Column) -> Column:
-    """Predicate: element ``e`` of the page elements ``els`` fits the selector.
+def _matches(chains: list[list], e: Column, els: Column, above: dict[str, Column]) -> Column:
+    """Predicate: element ``e`` of the page elements ``els`` fits a selector.
 
     Supported: tag, ``.class``, ``#id``, ``[a]``, ``[a='v']``, ``[a*='v']``,
     ``:not([a*='v'])``, compounds, descendant, child ``>`` and comma lists.
@@ -152,12 +163,12 @@ def matches(selector: str, e: Column, els: Column) -> Column:
     # Substring alternatives on one attribute share one lookup and one pattern.
     shared: dict[str, list[str]] = {}
     tests = []
-    for chain in _read_selector(selector):
+    for chain in chains:
         simple = _substring_test(chain)
         if simple:
             shared.setdefault(simple[0], []).append(re.escape(simple[1]))
         else:
-            tests.append(_chain_matches(chain, e, els))
+            tests.append(_chain_matches(chain, e, els, above))
     tests += [e.attrs[name].rlike("|".join(values)) for name, values in shared.items()]
     return functools.reduce(lambda one, other: one | other, tests)
 
@@ -169,7 +180,18 @@ def all_matches(selector: str, els: Column | str = "els", within: Column | None
     ancestors are still looked up in the whole page.
     """
     page = F.col(els) if isinstance(els, str) else els
-    return F.filter(page if within is None else within, lambda e: matches(selector, e, page))
+    chains = _read_selector(selector)
+
+    def found(left: list[list], above: dict[str, Column]) -> Column:
+        """Elements that fit each ancestor chain are picked once, then the selector's."""
+        if not left:
+            return F.filter(
+                page if within is None else within, lambda e: _matches(chains, e, page, above)
+            )
+        fitting = F.filter(page, lambda e: _chain_matches(left[0], e, page, above))
+        return let(fitting, lambda fit: found(left[1:], {**above, repr(left[0]): fit}))
+
+    return found(_ancestor_chains(chains), {})
 
 
 def first_match(selector: str, els: Column | str = "els", within: Column | None = None) -> Column:
@@ -239,7 +261,7 @@ def elements(pages: DataFrame, selector: str | None = None, content: bool = True
     wanted = els if selector is None else all_matches(selector)
 
     def row(e: Column) -> Column:
-        fields = [e[f].alias(f) for f in ("node", "parent", "ancestors", "tag", "attrs")]
+        fields = [e[f].alias(f) for f in ("node", "parent", "last", "tag", "attrs")]
         if content:
             fields += [element_text(e).alias("text"), inner_html(e).alias("inner_html")]
         return F.struct(*fields)

@@ -38,8 +38,6 @@ CLOSES_SIBLING = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 PARAGRAPH_FENCE = {"button", "table", "td", "th", "caption", "object"}
-# Browsers stop nesting at this depth and attach deeper elements side by side.
-MAX_DEPTH = 512
 NO_FENCE: set[str] = set()
 RAW_TEXT_TAGS = {"script", "style"}
 FOREIGN_TAGS = {"svg", "math"}
@@ -67,14 +65,12 @@ class PageBatch:
 
     def __init__(self):
         self.ints = array("i")  # the INTS of each element in turn
-        self.ancestors, self.ancestor_ends = array("i"), array("i")
         self.tags, self.keys, self.values, self.attr_ends = [], [], [], array("i")
         self.texts = []
         self.page_ends, self.text_ends, self.missing = array("i"), array("i"), []
 
     def add(self, html: str | None) -> None:
-        columns = [self.ints, self.ancestors, self.ancestor_ends, self.tags,
-                   self.keys, self.values, self.attr_ends, self.texts]
+        columns = [self.ints, self.tags, self.keys, self.values, self.attr_ends, self.texts]
         sizes = [len(c) for c in columns]
         failed = html is None
         if not failed:
@@ -93,13 +89,19 @@ class PageBatch:
         tags, texts, keys, values = self.tags, self.texts, self.keys, self.values
         ints, width = self.ints, len(self.INTS)
         open_nodes, open_tags = array("i"), []
+        # Depths of the open elements of each tag, so that no step looks through all of them.
+        open_at: dict[str, list[int]] = {}
         hidden = 0
 
+        def nearest(wanted: set[str]) -> int:
+            return max((open_at[t][-1] for t in wanted if open_at.get(t)), default=-1)
+
         def close(depth: int, at: int) -> None:
             nonlocal hidden
             newest = len(tags) - first - 1
             while len(open_nodes) > depth:
                 node, tag = open_nodes.pop(), open_tags.pop()
+                open_at[tag].pop()
                 if tag in HIDDEN_TAGS:
                     hidden -= 1
                 elif tag in BLOCK_TAGS and not hidden:
@@ -110,12 +112,9 @@ class PageBatch:
                 ints[row + 6] = at
 
         def close_nearest(wanted: set[str], fence: set[str], at: int) -> None:
-            for depth in range(len(open_tags) - 1, -1, -1):
-                if open_tags[depth] in wanted:
-                    close(depth, at)
-                    return
-                if open_tags[depth] in fence:
-                    return
+            depth = nearest(wanted)
+            if depth > nearest(fence):
+                close(depth, at)
 
         at, end = 0, len(html)
         last_close = html.rfind(">")
@@ -137,7 +136,7 @@ class PageBatch:
                 tag = closing.lower()
                 if open_tags and open_tags[-1] == tag:
                     close(len(open_tags) - 1, start)
-                elif tag in open_tags:
+                elif open_at.get(tag):
                     close_nearest({tag}, NO_FENCE, start)
                 continue
             if not opening:
@@ -152,8 +151,6 @@ class PageBatch:
             node, n_texts = len(tags) - first, len(texts) - first_text
             parent = open_nodes[-1] if open_nodes else -1
             ints.extend((node, parent, node, n_texts, n_texts, at, at))
-            self.ancestors.extend(open_nodes)
-            self.ancestor_ends.append(len(self.ancestors))
             tags.append(tag)
             if attrs:
                 own = {}
@@ -165,12 +162,12 @@ class PageBatch:
             self.attr_ends.append(len(keys))
             if tag in VOID_TAGS:
                 continue
-            if attrs.endswith("/") and (tag in FOREIGN_TAGS or not FOREIGN_TAGS.isdisjoint(open_tags)):
+            if attrs.endswith("/") and (tag in FOREIGN_TAGS or nearest(FOREIGN_TAGS) >= 0):
                 continue
-            if len(open_tags) < MAX_DEPTH:
-                open_nodes.append(node)
-                open_tags.append(tag)
-                hidden += tag in HIDDEN_TAGS
+            open_at.setdefault(tag, []).append(len(open_tags))
+            open_nodes.append(node)
+            open_tags.append(tag)
+            hidden += tag in HIDDEN_TAGS
             if tag in RAW_TEXT_TAGS:
                 # The content is no markup: jump to the closing tag.
                 closing_tag = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(html, at)
@@ -188,9 +185,6 @@ class PageBatch:
         ints = {name: pa.array(table[:, i]) for i, name in enumerate(self.INTS)}
         columns = {
             **{name: ints[name] for name in self.INTS[:3]},
-            "ancestors": pa.ListArray.from_arrays(
-                ends(self.ancestor_ends), int_column(self.ancestors)
-            ),
             "tag": pa.array(self.tags, pa.string()),
             "attrs": pa.MapArray.from_arrays(
                 ends(self.attr_ends),

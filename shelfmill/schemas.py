@@ -162,9 +162,10 @@ VARIANT_FIELDS = [
 VARIANT = "struct<" + ",".join(f"{f}:string" for f in VARIANT_FIELDS) + ">"
 
 # One element of a parsed page. ``last`` is the document position of the last
-# descendant, so the descendants of ``e`` are the positions (e.node, e.last].
+# descendant, so the descendants of ``e`` are the positions (e.node, e.last],
+# and ``a`` is an ancestor of ``e`` if a.node < e.node <= a.last.
 ELEMENT = (
-    "struct<node:int,parent:int,last:int,ancestors:array<int>,tag:string,"
+    "struct<node:int,parent:int,last:int,tag:string,"
     "attrs:map<string,string>,text_from:int,text_to:int,html_from:int,html_to:int>"
 )
 PARSED_PAGE = f"struct<els:array<{ELEMENT}>,texts:array<string>>"

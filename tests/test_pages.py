@@ -80,9 +80,8 @@ def test_element_invariants():
     for html in pq.read_table(PAGES, columns=["html"])["html"].to_pylist()[:50]:
         page = read(html)
         for e in page["els"]:
-            path = e["ancestors"]
-            assert e["parent"] == (path[-1] if path else -1)
-            assert all(page["els"][a]["node"] < e["node"] <= page["els"][a]["last"] for a in path)
+            spans = [a["node"] for a in page["els"] if a["node"] < e["node"] <= a["last"]]
+            assert e["parent"] == (spans[-1] if spans else -1)
             assert e["html_from"] <= e["html_to"] and e["text_from"] <= e["text_to"]
 
 
@@ -115,8 +114,18 @@ def test_hostile_markup_takes_linear_time(name):
     page = page_builder.parse_batch(html)
     assert time.perf_counter() - start < 5
     if name == "deep nesting":
-        depths = page.field("els").flatten().field("ancestors").value_lengths()
-        assert len(depths) == 20_000 and max(depths.to_pylist()) == page_builder.MAX_DEPTH
+        parents = page.field("els").flatten().field("parent").to_pylist()
+        assert parents == list(range(-1, 19_999))
+
+
+def test_deep_elements_keep_text_markup_and_ancestors(spark):
+    html = "<div id=a>" + "<div>" * 600 + "<h1>Deep <b>title</b></h1>" + "</div>" * 600 + "<p>end</p></div><p>out</p>"
+    pages = spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")
+    for selector, text in (("h1", "Deep title"), ("#a h1 b", "title"), ("div div > h1", "Deep title"), ("#a > p", "end")):
+        row = dom.elements(pages, selector).collect()
+        assert [r.text for r in row] == [text], selector
+    assert dom.elements(pages, "h1").first().inner_html == "Deep <b>title</b>"
+    assert dom.elements(pages, "#a p").count() == 1 and dom.elements(pages, "p").count() == 2
 
 
 def test_rejects_keep_the_batch(spark):
@@ -161,7 +170,7 @@ def test_selector(spark, selector):
 @pytest.mark.parametrize("selector", ["a:hover", "a + b", "a ~ b", "a[b^='x']", "", "a,,b", "a >"])
 def test_unsupported_selector_raises(spark, selector):
     with pytest.raises(ValueError):
-        dom.matches(selector, F.col("e"), F.col("els"))
+        dom.all_matches(selector)
 
 
 def test_selector_overrides():
