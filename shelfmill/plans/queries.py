@@ -597,13 +597,104 @@ def _part_catalogue(spark, sf_dir):
     return build_catalogue(_part_crawl(spark, sf_dir), job)
 
 
+_CATALOGUE_COLUMNS = [
+    "seq", "pos", "Handle", "Title", "Body (HTML)", "Option1 Name", "Option1 Value",
+    "Variant Price", "Image Src", "Source URL",
+]
+
+
 @query
 def catalogue_rows(spark, sf_dir):
-    rows = _part_catalogue(spark, sf_dir).rows
-    return rows.select(
-        "seq", "pos", "Handle", "Title", "Body (HTML)", "Option1 Name", "Option1 Value",
-        "Variant Price", "Image Src", "Source URL",
+    return _part_catalogue(spark, sf_dir).rows.select(*_CATALOGUE_COLUMNS)
+
+
+@query
+def catalogue_limited(spark, sf_dir):
+    """The same job with a row limit that cuts at every scale: one row for each part."""
+    n = _table(spark, sf_dir, "part").count()
+    job = CatalogueJob(
+        limit=n, url_pattern="https://shop.example/list/{}", page_start=1, page_end=n
+    )
+    return build_catalogue(_part_crawl(spark, sf_dir), job).rows.select(*_CATALOGUE_COLUMNS)
+
+
+@query
+def catalogue_status(spark, sf_dir):
+    """Every fifth page fetched again without success: the rows stay, under both policies."""
+    crawl = _part_crawl(spark, sf_dir).withColumn("status", F.when(F.col("page_id") % 3 > 0, "OK"))
+    crawl = crawl.withColumn("fetched_at", F.lit("2026-01-01").cast("timestamp"))
+    again = crawl.where(F.col("page_id") % 5 == 0).select(
+        (F.col("page_id") + (1 << 41)).alias("page_id"),
+        "url",
+        F.lit("<h1>503 Service Unavailable</h1>").alias("html"),
+        F.when(F.col("page_id") % 2 == 0, "error").otherwise("timeout").alias("status"),
+        F.lit("2026-02-01").cast("timestamp").alias("fetched_at"),
+    )
+    pages = crawl.unionByName(again)
+    n = _table(spark, sf_dir, "part").count()
+    found = []
+    for policy in ("first", "sequential"):
+        job = CatalogueJob(
+            limit=None, dedup=policy, url_pattern="https://shop.example/list/{}", page_start=1, page_end=n
+        )
+        rows = build_catalogue(pages, job).rows.select(*_CATALOGUE_COLUMNS)
+        found.append(rows.withColumn("policy", F.lit(policy)))
+    return found[0].unionByName(found[1])
+
+
+@query
+def deep_pages(spark, sf_dir):
+    """Headings below more than 600 nested blocks."""
+    depth = F.col("p_size") + 600
+    pages = _table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page_id"),
+        F.lit("https://shop.example/deep").alias("url"),
+        _cat(
+            "<div id=a>", F.repeat(F.lit("<div>"), depth), "<h1>", F.col("p_name"), " <b>x</b></h1>",
+            F.repeat(F.lit("</div>"), depth), "</div><h1>outside</h1>",
+        ).alias("html"),
     )
+    return dom.elements(pages, "#a h1").select("page_id", "node", "parent", "text", "inner_html")
+
+
+@query
+def variant_fall_through(spark, sf_dir):
+    """Product records and variation forms that break off, and the page's options behind them."""
+    key = _str("p_partkey")
+    good = _cat('{"attributes":{"attribute_color":"c', key, '"},"display_price":5}')
+    form = (
+        F.when(F.col("p_size") % 4 == 1, F.lit('[{"attributes":[]}]'))
+        .when(F.col("p_size") % 4 == 2, _cat("[", good, ',"x"]'))
+        .otherwise(_cat("[", good, "]"))
+    )
+    record = F.when(
+        F.col("p_size") % 4 == 3,
+        _cat('<script type="application/json">{"options":["Size"],"variants":[{"option1":"L', key, '"},7]}</script>'),
+    ).otherwise(F.lit(""))
+    pages = _table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page_id"),
+        F.lit("https://shop.example/p").alias("url"),
+        _cat(
+            record, "<form class='variations_form' data-product_variations='", form, "'></form>",
+            '<select name="option"><option value="">Choose</option><option value="Red ', key, '">r</option></select>',
+        ).alias("html"),
+    )
+    found = extract.product_pages(pages).select("page_id", "variants")
+    return dom.explode_records(found, "variants", "page_id").select(
+        "page_id", F.col("pos").cast("bigint").alias("pos"), "opt1_name", "opt1_value"
+    )
+
+
+@query
+def image_suffixes(spark, sf_dir):
+    """Two size suffixes in one name, behind the filters and as the fallback."""
+    base = _cat("https://cdn.shopify.com/s/", _str("p_partkey"))
+    twice = F.create_map(F.lit("src"), F.concat(base, F.lit("_100x_200x.jpg")))
+    narrow = F.create_map(F.lit("src"), F.concat(base, F.lit("_n.jpg")), F.lit("width"), F.lit("1"))
+    spare = F.create_map(F.lit("src"), F.concat(base, F.lit("_m_300x_400x.jpg")))
+    listed = F.when(F.col("p_size") % 2 == 0, F.array(twice, narrow)).otherwise(F.array(narrow))
+    found = images.usable_images(listed, F.lit("https://shop.example/"), fallback_attrs=spare)
+    return _table(spark, sf_dir, "part").select("p_partkey", F.array_join(found, ",").alias("found"))
 
 
 @query
