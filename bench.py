@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -67,7 +66,6 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shelfmill-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

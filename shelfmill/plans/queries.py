@@ -735,9 +735,16 @@ def _merge_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         F.col("p_type").alias("descr"),
         F.when(F.col("p_brand") == "Brand#1", "").otherwise(_cat("/p/", _str("p_partkey"))).alias("url"),
     )
-    items = _table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 45)
-    top = items.groupBy("l_partkey").agg(
-        F.count("*").alias("n"), F.max("l_extendedprice").alias("top_price")
+    # Parts without a large order have no page; all lines are read to tell.
+    large = F.col("l_quantity") >= 45
+    top = (
+        _table(spark, sf_dir, "lineitem")
+        .groupBy("l_partkey")
+        .agg(
+            F.count_if(large).alias("n"),
+            F.max(F.when(large, F.col("l_extendedprice"))).alias("top_price"),
+        )
+        .where(F.col("n") > 0)
     )
     products = top.select(
         _cat("/p/", _str("l_partkey")).alias("url"),
@@ -795,9 +802,9 @@ def _part_cards(spark, sf_dir) -> DataFrame:
 def _sold_handles(spark, sf_dir) -> DataFrame:
     sold = (
         _table(spark, sf_dir, "lineitem")
-        .where(F.col("l_quantity") == 50)
-        .select(F.col("l_partkey").alias("seq"))
-        .distinct()
+        .groupBy(F.col("l_partkey").alias("seq"))
+        .agg(F.max("l_quantity").alias("most"))
+        .where(F.col("most") == 50)
     )
     return dedup.known_handles(_part_cards(spark, sf_dir).join(sold, "seq", "left_semi"))
 

