@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from shelfmill.llm import decontaminate, pii, quality_rules, simhash
 from shelfmill.llm.queries import bpe_digests, table
-from shelfmill.llm.scratch import stored
+from shelfmill.session import stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.with_quality(docs, name="_quality").where("_quality.kept").select(*docs.columns)
+    return quality_rules.keep_good(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

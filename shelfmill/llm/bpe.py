@@ -33,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfmill.llm.scratch import stored
+from shelfmill.session import stored
+
 
 
 @dataclass(frozen=True)

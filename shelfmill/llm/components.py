@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmill.llm.scratch import stored
+from shelfmill.session import stored
+
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:

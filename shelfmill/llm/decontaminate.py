@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmill.llm import bytescan as bs
-from shelfmill.llm.scratch import stored
+from shelfmill.session import stored
 
 
 @dataclass(frozen=True)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from shelfmill.llm import bytescan as bs
 from shelfmill.llm.components import components
-from shelfmill.llm.scratch import stored
+from shelfmill.session import stored
 
 
 @dataclass(frozen=True)
@@ -266,9 +266,10 @@ def keep_one(documents: DataFrame, spec: SimHash = SimHash()) -> DataFrame:
     # A component whose rows all lack a doc_id is named by its fingerprints' root, so group by both.
     counted = members.groupBy("component_id", "doc_id", "text_key", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("f")).agg(F.count("*").alias("n"))
     first = counted.groupBy("component_id", "f").agg(F.min_by(F.struct("doc_id", "text_key", "n"), order).alias("w")).select(F.col("w.doc_id").alias("_d"), F.col("w.text_key").alias("_k"), F.col("w.n").alias("_n"))
-    key = F.xxhash64(F.coalesce(documents["text"], F.lit("")))
-    kept = documents.join(first, documents["doc_id"].eqNullSafe(first["_d"]) & (key == first["_k"]))
-    single = kept.where("_n = 1").select(*documents.columns)
+    # The row travels as one struct, so that its columns' names cannot clash with the others.
+    whole = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("row"), F.xxhash64(F.coalesce(documents["text"], F.lit(""))).alias("key"))
+    kept = whole.join(first, whole["row.doc_id"].eqNullSafe(first["_d"]) & (whole["key"] == first["_k"]))
+    single = kept.where("_n = 1").select("row.*")
     # Equal rows are rare: only they are brought together.
-    repeated = kept.where("_n > 1").dropDuplicates(["_d", "_k"]).select(*documents.columns)
+    repeated = kept.where("_n > 1").dropDuplicates(["_d", "_k"]).select("row.*")
     return single.unionByName(repeated)

@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
-from shelfmill.llm.scratch import stored
+from shelfmill.session import stored
 from tests.llm.test_bpe import WHOLE
 from tests.llm.test_pii import PLAIN, passes
 from tests.llm.test_simhash import plain_components, plain_fingerprint
