@@ -198,7 +198,17 @@ def build_catalogue(
     if job.use_product_pages and products is None:
         candidates = wanted_pages(pages, new)
         products = one_per_url(product_pages(candidates, sels, job.strict_axes))
-    merged = merge_cards(new, products).withColumn("n_rows", n_rows())
+    return finish_catalogue(new, products, job, formatter)
+
+
+def finish_catalogue(
+    cards: DataFrame,
+    products: DataFrame | None,
+    job: CatalogueJob,
+    formatter: BatchFormatter | None = None,
+) -> CatalogueResult:
+    """Accepted cards with their product records: limit, descriptions, rows."""
+    merged = merge_cards(cards, products).withColumn("n_rows", n_rows())
     if job.limit is not None or formatter is not None:
         merged = cut_lineage(merged)  # read more than once below
     if job.limit is not None:

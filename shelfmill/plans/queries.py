@@ -309,6 +309,30 @@ def stream_catalogue(spark, sf_dir):
     return written.select("Handle", "Title", "Body (HTML)", "Option1 Value", "Variant Price")
 
 
+@query
+def stream_late_products(spark, sf_dir):
+    """Lists in one batch, product pages after a restart in another: the rows of one batch run."""
+    folder = _scratch(spark)
+    source, output = posixpath.join(folder, "pages"), posixpath.join(folder, "upload.csv")
+    crawl = _part_crawl(spark, sf_dir)
+    is_list = F.contains("url", F.lit("/list/"))
+    job = CatalogueJob(limit=None, selectors={"card": "li[data-product-id]"})
+    for part in (crawl.where(is_list), crawl.where(~is_list)):
+        part.write.mode("append").parquet(source)
+        start_export(
+            stream_pages(spark, source),
+            output,
+            posixpath.join(folder, "ledger"),
+            posixpath.join(folder, "state"),
+            job,
+            wait_batches=1,
+        ).awaitTermination()
+    written = read_export(spark, output).na.fill("")
+    return written.select(
+        "Handle", "Title", "Body (HTML)", "Option1 Name", "Option1 Value", "Variant Price", "Image Src"
+    )
+
+
 @query
 def page_seeds(spark, sf_dir):
     """Seed check on page addresses: usable ones and their scheme."""
