@@ -23,6 +23,7 @@ from shelfmill.schemas import (
     OVERFLOW_OPTION_NAME,
     PRODUCT_GLOBAL_PATHS,
     UNNAMED_OPTION,
+    VARIANT,
     VARIANT_FIELDS,
 )
 
@@ -225,7 +226,7 @@ def fall_through(sources: list[Column], options: Column, base_price: Column) ->
     What a source found before it broke off stays in front of the next one's
     variants. ``sources`` are structs of ``items`` and ``broken``.
     """
-    none = F.slice(options, F.lit(1), F.lit(0))
+    none = F.array().cast(f"array<{VARIANT}>")
 
     def rest(left: list[Column], kept: Column) -> Column:
         if not left:

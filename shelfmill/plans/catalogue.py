@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
 from typing import Literal
 
 from pyspark.sql import DataFrame
@@ -30,6 +31,7 @@ from shelfmill.operators.navigation import (
 )
 from shelfmill.operators.rows import import_rows, n_rows
 from shelfmill.operators.running import limit_products
+from shelfmill.operators.variants import merge_axes
 from shelfmill.operators.stats import failed_urls, run_stats
 from shelfmill.schemas import DEFAULT_LIMIT, DEFAULT_PAGE_END, DEFAULT_PAGE_START
 from shelfmill.session import cut_lineage, stored
@@ -238,16 +240,21 @@ def export_catalogue(
     A fresh run replaces both; a resumed run skips exported handles and
     appends to both.
     """
+    started_at = datetime.now(timezone.utc)
     exported = exported_handles(pages.sparkSession, output) if job.resume else None
     if exported is not None:
         # The append below changes the folder this table reads.
         exported = cut_lineage(exported)
     result = build_catalogue(pages, job, exported, formatter=formatter)
+    if profile.startswith("single_axis"):
+        # The older files have one option axis: all values of a variant in one.
+        merged = result.products.withColumn("variants", merge_axes(F.col("variants")))
+        result = replace(result, rows=import_rows(merged))
     mode = "append" if job.resume else "overwrite"
     write_import(result.rows, output, mode, profile, files)
     write_review(result.rows, derive_review_path(output), mode, profile, files)
     if failed_path:
         write_failed_urls(result.failed, failed_path, mode)
     if summary_path:
-        write_summary(result.stats, summary_path)
+        write_summary(result.stats, summary_path, started_at)
     return result

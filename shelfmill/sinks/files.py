@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,6 +100,11 @@ def write_failed_urls(failed: DataFrame, path: str, mode: str = "overwrite") ->
     return True
 
 
-def write_summary(stats: DataFrame, path: str) -> None:
-    """Append the run's counters to a JSON table."""
-    stats.withColumn("finished_at", F.current_timestamp()).write.mode("append").json(path)
+def write_summary(stats: DataFrame, path: str, started_at: datetime | None = None) -> None:
+    """Append the run's counters to a JSON table, with its start and run time if known."""
+    timed = stats.withColumn("finished_at", F.current_timestamp())
+    if started_at is not None:
+        timed = timed.withColumn("started_at", F.lit(started_at)).withColumn(
+            "run_seconds", F.unix_timestamp("finished_at") - F.unix_timestamp("started_at")
+        )
+    timed.write.mode("append").json(path)

@@ -377,3 +377,16 @@ def test_query_agrees_with_sql(spark, tables, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def test_single_axis_files_hold_all_values_and_the_summary_times(spark, tmp_path):
+    form = '[{"attributes":{"attribute_size":"Small","attribute_color":"Red"},"display_price":5}]'
+    html = f"<h1>Ant</h1><form class='variations_form' data-product_variations='{form}'></form>"
+    pages = crawl(spark, [(f"{SHOP}/page/1/", list_page(["Ant"])), (f"{SHOP}/p/Ant/", html)])
+    out, summary = str(tmp_path / "old.csv"), str(tmp_path / "runs")
+    job = CatalogueJob(limit=None, url_pattern=JOB.url_pattern)
+    export_catalogue(pages, out, job, profile="single_axis", summary_path=summary)
+    rows = read_csv(out)
+    assert "Small / Red" in rows[0].values() and "Option2 Value" not in rows[0]
+    run = spark.read.json(summary).first()
+    assert run.started_at and run.finished_at and run.run_seconds >= 0
