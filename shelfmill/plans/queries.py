@@ -17,11 +17,17 @@ from shelfmill.functions import filters, prices, text, urls
 from shelfmill.operators import dedup, dom, extract, formatter, images, merge, navigation
 from shelfmill.operators import rows as product_rows
 from shelfmill.operators import running, stats, variants
-from shelfmill.plans.catalogue import CatalogueJob, build_catalogue
+from shelfmill.plans.catalogue import CatalogueJob, build_catalogue, export_catalogue
 from shelfmill.schemas import DEFAULT_PRICE, VARIANT_FIELDS
 from shelfmill.session import cut_lineage, ensure_checkpoint_dir, spread, tune
-from shelfmill.sinks.files import append_to_export, write_import, write_review
-from shelfmill.sources.tables import exported_handles, read_export, read_pages, stream_pages
+from shelfmill.sinks.files import append_to_export, derive_review_path, write_import, write_review
+from shelfmill.sources.tables import (
+    exported_handles,
+    read_export,
+    read_pages,
+    read_seeds,
+    stream_pages,
+)
 from shelfmill.streaming.export import start_export, start_handle_export
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -333,6 +339,47 @@ def stream_late_products(spark, sf_dir):
     )
 
 
+@query
+def export_and_resume(spark, sf_dir):
+    """Half of the lists exported to files, the rest by a resumed run; both files read back.
+
+    The first list of the second run begins with a card that the first exported.
+    """
+    output = posixpath.join(_scratch(spark), "upload.csv")
+    crawl = _part_crawl(spark, sf_dir)
+    n = _table(spark, sf_dir, "part").count()
+    for start, end, resume in ((1, n // 2, False), (n // 2 + 1, n, True)):
+        job = CatalogueJob(
+            limit=None,
+            resume=resume,
+            url_pattern="https://shop.example/list/{}",
+            page_start=start,
+            page_end=end,
+        )
+        export_catalogue(crawl, output, job)
+    written = read_export(spark, output).na.fill("")
+    review = read_export(spark, derive_review_path(output)).na.fill("")
+    titles = review.groupBy(F.col("Product Handle (URL Slug)").alias("Handle")).agg(
+        F.count("*").alias("n_review_rows")
+    )
+    return written.join(titles, "Handle").select(
+        "Handle", "Title", "Body (HTML)", "Option1 Name", "Option1 Value", "Variant Price", "Image Src", "n_review_rows"
+    )
+
+
+@query
+def seed_list(spark, sf_dir):
+    """A written seed list with odd lines: usable seeds and rejects."""
+    path = posixpath.join(_scratch(spark), "seeds")
+    key = _str("page_id")
+    line = F.when(F.col("page_id") % 7 == 0, _cat("ftp://host/", key)).when(
+        F.col("page_id") % 11 == 0, F.lit("  ")
+    ).otherwise(_cat("  ", F.col("url"), " "))
+    _pages(spark, sf_dir).select(line.alias("value")).write.text(path)
+    usable, rejects = read_seeds(spark, path)
+    return usable.withColumn("usable", F.lit(True)).unionByName(rejects.withColumn("usable", F.lit(False)))
+
+
 @query
 def page_seeds(spark, sf_dir):
     """Seed check on page addresses: usable ones and their scheme."""
