@@ -18,7 +18,7 @@ from shelfmill.session import stored
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.keep_good(docs)
+    return quality_rules.keep_good(docs, quality_rules.CORPUS_RULES)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

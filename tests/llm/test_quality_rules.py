@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+import corpus_pipeline
 from shelfmill.llm import quality_rules
 from tests.llm.test_pipeline import good, repeats
 
@@ -48,3 +49,29 @@ def test_measures_and_verdict(spark):
     kept = quality_rules.keep_good(df)
     assert kept.columns == df.columns and kept.count() == sum(map(good, texts))
     assert quality_rules.keep_good(df.limit(0)).count() == 0
+
+
+def test_stage_rejects_long_repeats_that_the_base_rule_passes(spark):
+    def text(name, n, *again):
+        """``n`` distinct words, after them each (start, size) block once more."""
+        words = [f"{name}{i}" for i in range(n)]
+        return " ".join(words + [w for k, (a, size) in enumerate(again) for w in [*words[a : a + size], f"{name}end{k}"]])
+
+    rejected = {
+        "block": text("a", 91_000, (500, 9_000)),  # 18 % in one block twice
+        "longest only": text("b", 10_000, (500, 101)),
+        "share only": text("c", 900, *((200 * k, 20) for k in range(4))),
+    }
+    clean = {
+        "no repeat": text("d", 300),
+        "lines said twice": text("e", 130, (10, 9)),
+        "longest at its limit": text("f", 10_000, (500, 100)),
+        "share below its limit": text("g", 900, (0, 20)),
+        "19 words": text("h", 900, *((200 * k, 19) for k in range(4))),
+    }
+    df = spark.createDataFrame(list((rejected | clean).items()), "doc_id string, text string")
+    rows = {r.doc_id: r for r in df.select("doc_id", quality_rules.quality("text").alias("q"), quality_rules.quality("text", quality_rules.CORPUS_RULES).alias("s")).collect()}
+    assert all(r.q.kept and not r.q.base_failed for r in rows.values())  # op8's limits, as in its SQL
+    assert {k for k, r in rows.items() if not r.s.kept} == set(rejected)
+    stage = dict(corpus_pipeline.STAGES)["quality_rules"]
+    assert {r.doc_id for r in stage(spark, df, "").collect()} == set(clean)
