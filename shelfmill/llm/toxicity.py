@@ -1,10 +1,12 @@
 """Toxicity by the nearest labelled examples in exact TF-IDF cosine.
 
-Terms are lower-cased words and the beginnings of words (4 to 7 bytes). Of the
-terms of a bounded sample of labelled texts, those that are much more frequent
-in toxic ones stay, by the G statistic; all other words of a text count
-together as one more term, so that the share of telling words matters. Document
-frequencies are counted over all documents.
+Terms are all lower-cased words of a bounded sample of labelled texts, and the
+telling ones among the beginnings of their words (4 to 7 bytes). A term tells
+the classes apart if its G statistic is high; the other words weigh ``other``
+times as much. One more term, the number of words, makes the share of telling
+words matter. A word that comes in no example counts in the length of a text's
+vector like one that a single document has. Document frequencies are counted
+over all documents.
 
 The examples form a block-max inverted index: the postings of a term are kept
 by blocks of examples, with the largest weight in each block. A text is held
@@ -13,7 +15,7 @@ stops where no block can hold one of the ``neighbours`` nearest any more, so
 the result is that of comparing all examples. Their votes count by the square of the
 cosine, and by class so that the sample's shares become those of all labelled
 rows; with a weak prior the share of toxic votes is the score. The index's size
-is bounded by the sample and the number of terms.
+is bounded by the sample.
 
 Defined cases: a null or word-less text has no vector and gets the prior, the
 share of toxic rows; without labels that is 0.5. Equal cosines go to the
@@ -38,10 +40,10 @@ from shelfmill.llm.training import Fold, Sample, labelled_sample
 class NearestExamples:
     per_class: int = 1500  # labelled texts of each class in the index
     beginnings: tuple[int, ...] = (4, 5, 6, 7)
-    least_texts: int = 4  # sampled texts that a term must come in
+    least_texts: int = 4  # sampled texts that a telling term must come in
     least_g: float = 10.83  # one in a thousand terms without a tie to the label passes
-    terms: int = 2000
-    background: float = 1.0  # weight of all other words
+    other: float = 0.05  # weight of words that do not tell the classes apart
+    background: float = 1.0  # weight of the number of words
     neighbours: int = 41
     prior_votes: float = 0.5
     block: int = 64
@@ -63,57 +65,72 @@ def _terms(data: np.ndarray, offsets: np.ndarray, spec: NearestExamples) -> tupl
 
 
 class _Vocabulary:
-    """Sorted term hashes with a quick test that most terms fail."""
+    """Sorted term hashes with a quick test that most beginnings fail."""
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-        self._maybe = np.zeros(1 << 16, bool)
-        self._maybe[(self.hashes >> np.uint64(48)).astype(np.int64)] = True
+    def __init__(self, hashes: np.ndarray, telling: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.telling = hashes[order], telling[order]
+        self._maybe = np.zeros(1 << 22, bool)
+        self._maybe[(self.hashes >> np.uint64(42)).astype(np.int64)] = True
 
     def known(self, found: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, count) of the known terms, by text and term."""
         n = len(self.hashes)
-        keep = self._maybe[(found >> np.uint64(48)).astype(np.int64)]
+        keep = self._maybe[(found >> np.uint64(42)).astype(np.int64)]
         found, owner = found[keep], owner[keep]
         at = np.minimum(np.searchsorted(self.hashes, found), max(n - 1, 0))
         keep = self.hashes[at] == found if n else np.zeros(0, bool)
         keys, counts = np.unique(owner[keep] * max(n, 1) + at[keep], return_counts=True)
         return keys // max(n, 1), keys % max(n, 1), counts
 
+    def unseen(self, words: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+        """Sum of the squared term frequency weights of each text's unknown words."""
+        n = len(self.hashes)
+        new = ~self._maybe[(words >> np.uint64(42)).astype(np.int64)]
+        if n:
+            rest = np.flatnonzero(~new)
+            new[rest] = self.hashes[np.minimum(np.searchsorted(self.hashes, words[rest]), n - 1)] != words[rest]
+        words, owner = words[new], owner[new]
+        _, first, counts = np.unique(words + bs.mix(owner.astype(np.uint64)), return_index=True, return_counts=True)
+        return np.bincount(owner[first], (1 + np.log(counts)) ** 2, minlength=texts)
+
 
-def _select(sample: DataFrame, spec: NearestExamples) -> np.ndarray:
-    """Hashes of the terms that tell toxic texts, at most ``spec.terms``."""
+def _select(sample: DataFrame, spec: NearestExamples) -> _Vocabulary:
+    """All words of the sample and the beginnings that tell its classes apart."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = batch.column(0).to_numpy(zero_copy_only=False)
             for first, last, data, offsets in bs.blocks(batch.column(1)):
-                found, owner, _ = _terms(data, offsets, spec)
+                found, owner, words = _terms(data, offsets, spec)
                 for label in (0, 1):
                     own = labels[first:last][owner] == label
                     pairs = np.unique(np.stack([found[own], owner[own].astype(np.uint64)]), axis=1) if own.any() else np.zeros((2, 0), np.uint64)
                     terms, texts = np.unique(pairs[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(texts if label else 0 * texts), pa.array(0 * texts if label else texts)], names=["term", "toxic", "clean"])
+                    whole = np.isin(terms, found[: words.sum()])
+                    yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(whole), pa.array(texts if label else 0 * texts), pa.array(0 * texts if label else texts)], names=["term", "word", "toxic", "clean"])
 
-    counted = sample.select("label", "text").mapInArrow(count, "term long, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
+    counted = sample.select("label", "text").mapInArrow(count, "term long, word boolean, toxic long, clean long").groupBy("term").agg(F.max("word").alias("word"), F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1 or not n0:
-        return np.zeros(0, np.uint64)
 
     def part(k: Column, n: int, all_k: Column) -> Column:
-        return F.when(k > 0, k * F.log(k * (n1 + n0) / (all_k * n))).otherwise(0.0)
+        return F.when((k > 0) & (n > 0), k * F.log(k * (n1 + n0) / (all_k * n))).otherwise(0.0)
 
     a, b = F.col("a"), F.col("b")
     g = 2 * (part(a, n1, a + b) + part(b, n0, a + b) + part(n1 - a, n1, n1 + n0 - a - b) + part(n0 - b, n0, n1 + n0 - a - b))
-    telling = counted.where((a + b >= spec.least_texts) & (a * n0 > b * n1)).withColumn("g", g).where(F.col("g") >= spec.least_g)
-    return np.array([r.term for r in telling.orderBy(F.desc("g"), "term").limit(spec.terms).collect()], np.int64).view(np.uint64)
+    telling = (a + b >= spec.least_texts) & (g >= spec.least_g)
+    # Bounded by the sample's text.
+    terms = counted.select("term", "word", telling.alias("telling")).where("word or telling").toArrow()
+    return _Vocabulary(terms["term"].to_numpy().view(np.uint64), terms["telling"].to_numpy())
 
 
 def _idf(documents: DataFrame, vocabulary: _Vocabulary, spec: NearestExamples) -> np.ndarray:
-    """Inverse document frequencies of the terms over all documents."""
+    """Inverse document frequencies of the terms over all documents, at the end that of a word in one document."""
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
         n, texts = len(vocabulary.hashes), 0
         total = np.zeros(n + 1, np.int64)
         for batch in batches:
@@ -125,11 +142,17 @@ def _idf(documents: DataFrame, vocabulary: _Vocabulary, spec: NearestExamples) -
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["term", "n"])
 
-    rows = documents.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # one row a term
+    rows = documents.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term
     total = np.zeros(len(vocabulary.hashes) + 1)
-    for row in rows:
-        total[row.term] = row.n
-    return np.log((total[-1] + 1) / (total[:-1] + 1)) + 1e-6
+    total[rows["term"].to_numpy()] = rows["n"].to_numpy()
+    return np.log((total[-1] + 1) / (np.append(total[:-1], min(1, total[-1])) + 1)) + 1e-6
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges, one range after the other, and the range of each."""
+    n = ends - starts
+    own = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(own)) + (starts - np.cumsum(n) + n)[own], own
 
 
 class BlockMaxIndex:
@@ -139,34 +162,44 @@ class BlockMaxIndex:
         """``vectors``: terms and weights of each example."""
         self.block, self.examples = block, len(vectors)
         self.blocks = -(-len(vectors) // block)
-        where: dict[tuple[int, int], int] = {}
-        for k, (ids, _) in enumerate(vectors):
-            for term in ids.tolist():
-                where.setdefault((term, k // block), len(where))
-        # Postings of a term in a block are one row of weights; -1 where there are none.
-        self.row = np.full((terms, self.blocks), -1, np.int32)
-        self.weights = np.zeros((len(where) + 1, block), np.float64)  # the last row stays zero
-        for (term, b), row in where.items():
-            self.row[term, b] = row
-        for k, (ids, weights) in enumerate(vectors):
-            self.weights[self.row[ids, k // block], k % block] = weights
-        self.most = np.where(self.row >= 0, self.weights.max(axis=1)[self.row], 0.0)  # block maxima
+        sizes = [len(ids) for ids, _ in vectors]
+        term, weight = (np.concatenate([v[k] for v in vectors]) if vectors else np.zeros(0, kind) for k, kind in ((0, np.int64), (1, np.float64)))
+        example = np.repeat(np.arange(len(vectors)), sizes)
+        order = np.lexsort((example, term))
+        term, self.weight, self.example = term[order], weight[order], example[order]
+        # An entry holds the postings of a term in a block, which lie together.
+        key = term * max(self.blocks, 1) + self.example // block
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        self.postings = np.append(starts, len(key))
+        self.entry_block = self.example[starts] // block
+        self.most = np.maximum.reduceat(self.weight, starts) if len(starts) else np.zeros(0)  # block maxima
+        self.entries = np.searchsorted(term[starts], np.arange(terms + 1))
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` nearest examples and their cosines, ties to the smaller number."""
-        bounds = weights @ self.most[ids]
+        entry, own = _ranges(self.entries[ids], self.entries[ids + 1])
+        own, block = weights[own], self.entry_block[entry]
+        bounds = np.bincount(block, own * self.most[entry], minlength=self.blocks)
         order = np.argsort(-bounds, kind="stable")
         best, scores = np.zeros(0, np.int64), np.zeros(0)
-        for first in range(0, len(order), 4):
-            some = order[first : first + 4]
-            if len(best) == k and bounds[some[0]] < scores[-1] - 1e-9:
-                break
-            found = np.einsum("t,tbx->bx", weights, self.weights[self.row[np.ix_(ids, some)]])
+        first, width = 0, 4
+        while first < len(order):
+            some = order[first : first + width]
+            if len(best) == k:
+                some = some[bounds[some] >= scores[-1] - 1e-9]
+                if not len(some):
+                    break
+            chosen = np.zeros(self.blocks, bool)
+            chosen[some] = True
+            at = np.flatnonzero(chosen[block])
+            posting, part = _ranges(self.postings[entry[at]], self.postings[entry[at] + 1])
+            cosine = np.bincount(self.example[posting], own[at][part] * self.weight[posting], minlength=self.examples)
             number = (some[:, None] * self.block + np.arange(self.block)).ravel()
-            real = number < self.examples
-            best, scores = np.append(best, number[real]), np.append(scores, np.round(found.ravel()[real], 9))
+            number = number[number < self.examples]
+            best, scores = np.append(best, number), np.append(scores, np.round(cosine[number], 9))
             top = np.lexsort((best, -scores))[:k]
             best, scores = best[top], scores[top]
+            first, width = first + width, 2 * width
         return best, scores
 
 
@@ -181,47 +214,51 @@ class Model:
     prior: float
 
 
-def _vectors(found: tuple[np.ndarray, np.ndarray, np.ndarray], words: np.ndarray, idf: np.ndarray, spec: NearestExamples) -> list[tuple[np.ndarray, np.ndarray]]:
+def _vectors(found: tuple[np.ndarray, np.ndarray, np.ndarray], words: np.ndarray, unseen: np.ndarray, idf: np.ndarray, spec: NearestExamples) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Terms and weights of each text; ``idf`` is scaled, its last place is for the ``unseen`` words."""
     text, term, count = found
     cuts = np.searchsorted(text, np.arange(len(words) + 1))
     weight = (1 + np.log(count)) * idf[term]
     rest = spec.background * np.log1p(words)
+    unseen = unseen * idf[-1] ** 2
     out = []
     for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
         if not words[k]:
             out.append((term[:0], weight[:0]))
             continue
         w = np.append(weight[a:b], rest[k])
-        out.append((np.append(term[a:b], len(idf)), w / np.sqrt((w * w).sum())))
+        out.append((np.append(term[a:b], len(idf) - 1), w / np.sqrt((w * w).sum() + unseen[k])))
     return out
 
 
 def fit(documents: DataFrame, sample: Sample, spec: NearestExamples) -> Model:
-    vocabulary = _Vocabulary(_select(sample.texts, spec))
-    idf = _idf(documents, vocabulary, spec)
+    vocabulary = _select(sample.texts, spec)
+    idf = _idf(documents, vocabulary, spec) * np.where(np.append(vocabulary.telling, False), 1.0, spec.other)
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
         for batch in batches:
             ids, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, last, data, offsets in bs.blocks(batch.column(2)):
                 found, owner, words = _terms(data, offsets, spec)
                 text, term, n = vocabulary.known(found, owner, last - first)
                 cuts = np.searchsorted(text, np.arange(last - first + 1))
-                rows = [{"doc_id": ids[first + k], "label": labels[first + k], "words": int(words[k]), "terms": term[a:b].tolist(), "counts": n[a:b].tolist()} for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("words", pa.int64()), ("terms", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]))
+                rows = [{"doc_id": ids[first + k], "label": labels[first + k], "words": int(words[k]), "terms": term[a:b].astype(np.int32).tobytes(), "counts": n[a:b].astype(np.int32).tobytes()} for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("words", pa.int64()), ("terms", pa.binary()), ("counts", pa.binary())]))
 
-    # Bounded: per_class examples of each class with at most ``terms`` terms each.
-    rows = sample.texts.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(count, "doc_id long, label int, words long, terms array<int>, counts array<int>").orderBy("doc_id").collect()
+    # Bounded: per_class examples of each class with the numbers of their terms.
+    rows = sample.texts.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(count, "doc_id long, label int, words long, terms binary, counts binary").orderBy("doc_id").collect()
     rows = [r for r in rows if r.words]
-    text = np.repeat(np.arange(len(rows)), [len(r.terms) for r in rows])
-    term, n = (np.array([x for r in rows for x in r[name]], np.int64) for name in ("terms", "counts"))
-    vectors = _vectors((text, term, n), np.array([r.words for r in rows], np.int64), idf, spec)
+    text = np.repeat(np.arange(len(rows)), [len(r.terms) // 4 for r in rows])
+    term, n = (np.frombuffer(b"".join(r[name] for r in rows), np.int32).astype(np.int64) for name in ("terms", "counts"))
+    vectors = _vectors((text, term, n), np.array([r.words for r in rows], np.int64), np.zeros(len(rows)), idf, spec)
     toxic = np.array([r.label for r in rows], np.int64)
     used = np.bincount(toxic, minlength=2)
     total = np.array([sample.totals[0], sample.totals[1]])
     vote = np.where(used > 0, total / np.maximum(used, 1), 0.0)
     prior = (total[1] + 0.5) / (total.sum() + 1)
-    return Model(vocabulary, idf, BlockMaxIndex(vectors, len(idf) + 1, spec.block), np.array([r.doc_id for r in rows], np.int64), toxic, vote / max(vote.min(), 1e-9) if vote.min() > 0 else np.ones(2), float(prior))
+    return Model(vocabulary, idf, BlockMaxIndex(vectors, len(idf), spec.block), np.array([r.doc_id for r in rows], np.int64), toxic, vote / max(vote.min(), 1e-9) if vote.min() > 0 else np.ones(2), float(prior))
 
 
 def score(text: Column | str, documents: DataFrame, model: Model, spec: NearestExamples = NearestExamples()) -> Column:
@@ -231,25 +268,21 @@ def score(text: Column | str, documents: DataFrame, model: Model, spec: NearestE
     @F.arrow_udf("struct<score:double,evidence:array<struct<doc_id:long,cosine:double,toxic:int>>>")
     def nearest(texts: pa.Array) -> pa.Array:
         model = shared.value
-        out, plain = [], {}
+        out = []
         for first, last, data, offsets in bs.blocks(texts):
             found, owner, words = _terms(data, offsets, spec)
-            for ids, weights in _vectors(model.vocabulary.known(found, owner, last - first), words, model.idf, spec):
+            n = words.sum()  # the words come before their beginnings
+            unseen = model.vocabulary.unseen(found[:n], owner[:n], last - first)
+            for ids, weights in _vectors(model.vocabulary.known(found, owner, last - first), words, unseen, model.idf, spec):
                 if not len(ids) or not model.index.examples:
                     out.append({"score": model.prior, "evidence": []})
                     continue
-                key = 0 if len(ids) == 1 else None  # texts of other words only all have one vector
-                if key in plain:
-                    out.append(plain[key])
-                    continue
                 best, cosine = model.index.nearest(ids, weights, spec.neighbours)
                 toxic = model.toxic[best]
                 votes = cosine**2 * model.vote[toxic]
                 value = ((votes * toxic).sum() + spec.prior_votes * model.prior) / (votes.sum() + spec.prior_votes)
                 evidence = [{"doc_id": d, "cosine": c, "toxic": t} for d, c, t in zip(model.example_ids[best[:3]].tolist(), cosine[:3].tolist(), toxic[:3].tolist(), strict=True)]
                 out.append({"score": float(min(1.0, max(0.0, value))), "evidence": evidence})
-                if key is not None:
-                    plain[key] = out[-1]
         return pa.array(out, pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])))]))
 
     return nearest(text)

@@ -48,3 +48,18 @@ def test_odd_inputs(spark, labels):
     got = toxicity.rate(documents, marked, "toxic", TOXIC_FOLD).collect()
     assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
     assert toxicity.rate(documents.limit(0), marked, "toxic", TOXIC_FOLD).count() == 0
+
+
+def test_copies_of_examples_with_rare_words_find_them(spark):
+    """None of these words comes in four examples, so none can tell the classes apart."""
+    rows = [(k, f"rare{k} odd{k} word{k} seldom{k // 2}", k % 2) for k in range(40) if not zlib.crc32(str(k).encode()) % 4 == 2]
+    copies = [(1000 + k, text) for k, text, _ in rows]
+    documents = spark.createDataFrame([r[:2] for r in rows] + copies + [(5000, "nothing known here")], "doc_id long, text string")
+    marked = spark.createDataFrame([(k, t) for k, _, t in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.rate(documents, marked, "toxic", TOXIC_FOLD).collect()}
+    for k, _, label in rows:
+        for r in (got[k], got[1000 + k]):
+            first, second = r.evidence[:2]
+            assert (first.doc_id, first.toxic) == (k, label) and first.cosine == pytest.approx(1)
+            assert second.cosine < 0.9999
+    assert 0 < got[5000].evidence[0].cosine < 1
