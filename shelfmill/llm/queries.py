@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import bpe, chat, decontaminate, language, pii, quality_rules, simhash, substrings, subword_classifier, toxicity, training
+from shelfmill.llm import bpe, chat, decontaminate, hard_negatives, language, pii, quality_rules, simhash, substrings, subword_classifier, toxicity, training
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", turned), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -96,4 +102,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_hard_negatives": op11_hard_negatives,
 }
