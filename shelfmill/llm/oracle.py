@@ -117,10 +117,31 @@ WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
 QUALIFY row_number() OVER w <= 10
 """
 
+_OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + 3), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS s FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": _OP1,
     "op4_chat_format": _OP4,
     "op7_substring_dedup": _OP7,
     "op8_quality_rules": _OP8,
     "op11_hard_negatives": _OP11,
+    "op13_ngram_jaccard_join": _OP13,
 }
