@@ -17,8 +17,9 @@ counters of fixed number; any order gives the same links.
 
 Equal sets are one class from the start. In a list every member is first held
 against one of them, the list's centre; the most alike centre of a set is
-checked exactly. Lists whose members then belong to one component are done.
-Members of different components in the others are compared with each other.
+checked exactly. Lists whose members then belong to one component are done; the
+others get new centres as long as that settles lists. Then the members of
+different components that still share a list are compared with each other.
 Sizes, places in the order and parity bitmaps of the sets give sure bounds that
 drop pairs before shingles are compared, and each link is proven on the whole
 sets. Sets travel only for classes in a pair that may link, picked by a bitmap
@@ -52,7 +53,7 @@ from shelfmill.session import stored
 class JaccardJoin:
     shingle: int = 4
     percent: int = 85
-    buckets: int = 1 << 18
+    buckets: int = 1 << 20
     largest_light: int = 1024  # the boundary is looked for up to this size
     check_cost: float = 0.1  # of a partner in a scanned list, against a row of a list
 
@@ -146,6 +147,11 @@ def _parity(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def _coarse(shingles: np.ndarray) -> np.ndarray:
+    odd = np.bincount((shingles >> np.uint64(20) & np.uint64(64 * _WORDS - 1)).astype(np.int64), minlength=64 * _WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def parity_distance(a: bytes, b: bytes) -> int:
     """At most the number of shingles that are in one of the two sets only."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -179,7 +185,9 @@ def _lists(shingles: np.ndarray, order: Order, spec: JaccardJoin) -> tuple[np.nd
     return np.concatenate(names), np.concatenate(rest)
 
 
-_PRINTS = "n long, key long, parity binary, lists binary, rest binary"
+_WORDS = 8  # of 64 bits in a coarse parity bitmap
+
+_PRINTS = "n long, key long, parity binary, lists binary, rest binary, " + ", ".join(f"p{k} long" for k in range(_WORDS))
 
 
 def _prints(documents: DataFrame, order: Order, spec: JaccardJoin) -> DataFrame:
@@ -192,6 +200,7 @@ def _prints(documents: DataFrame, order: Order, spec: JaccardJoin) -> DataFrame:
         for batch in batches:
             n, key = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             parity, lists, rest = ([None] * batch.num_rows for _ in range(3))
+            coarse = np.zeros((batch.num_rows, _WORDS), np.int64)
             for k, found in _sets(batch.column(1), spec):
                 n[k], key[k] = len(found), _key(found)
                 if key[k] not in seen:
@@ -200,7 +209,9 @@ def _prints(documents: DataFrame, order: Order, spec: JaccardJoin) -> DataFrame:
                     seen.add(int(key[k]))
                     names, left = _lists(found, shared.value, spec)
                     parity[k], lists[k], rest[k] = _parity(found), names.tobytes(), left.astype(np.int32).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(key), *(pa.array(x, pa.binary()) for x in (parity, lists, rest))], names=["doc_id", "n", "key", "parity", "lists", "rest"])
+                    coarse[k] = _coarse(found)
+            columns = [batch.column(0), pa.array(n), pa.array(key), *(pa.array(x, pa.binary()) for x in (parity, lists, rest)), *map(pa.array, coarse.T)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "key", "parity", "lists", "rest", *(f"p{k}" for k in range(_WORDS))])
 
     return documents.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, {_PRINTS}")
 
@@ -220,12 +231,6 @@ def _members(prints: DataFrame) -> DataFrame:
     return prints.where("lists is not null").select("key", "n", "lists", "rest").mapInArrow(unpack, "list long, key long, n int, rest int")
 
 
-def _fits(a: str, b: str, spec: JaccardJoin) -> Column:
-    """Whether sizes and places leave room for enough shared shingles."""
-    need = F.ceil(spec.percent * (F.col(f"{a}.n") + F.col(f"{b}.n")) / F.lit(100 + spec.percent))
-    return F.least(f"{a}.rest", f"{b}.rest") >= need
-
-
 def _with_distance(pairs: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataFrame:
     """Pairs ``a, b`` that their parity bitmaps do not rule out, with the bitmaps' ``distance``."""
 
@@ -290,31 +295,76 @@ def _proven(pairs: DataFrame, documents: DataFrame, spec: JaccardJoin) -> DataFr
     return pairs.join(one, "a").join(two, "b").where(similar("sa", "sb")).select("a", "b")
 
 
-def links(prints: DataFrame, documents: DataFrame, spec: JaccardJoin = JaccardJoin()) -> DataFrame:
-    """Links ``a, b`` between classes that connect every component of similar sets."""
-    classes = stored(prints.where("parity is not null").select("key", "n", "parity").dropDuplicates(["key"]), "classes")
-    members = stored(_members(prints), "members")
-    centre = F.min(F.struct(F.xxhash64("key").alias("turn"), "key", "n", "rest"))
-    centres = members.groupBy("list").agg(centre.alias("c"), F.min("key").alias("low"), F.max("key").alias("high"))
-    centres = stored(centres.where("low < high").select("list", "c.key", "c.n", "c.rest"), "centres")
-    open_lists = stored(members.alias("m").join(centres.alias("c"), "list").select("list", "m.key", "m.n", "m.rest", F.col("c.key").alias("centre"), (_fits("m", "c", spec) & (F.col("m.key") != F.col("c.key"))).alias("fits")), "lists")
-
-    # First each set against its most alike centre.
-    stars = open_lists.where("fits").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
-    stars = _with_distance(stars, classes, spec).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("s")).select("a", "s.b")
-    stars = stored(stars, "stars")
-    found = stored(_proven(stars, documents, spec), "links")
-
-    # Then members of different components, in the lists that have such.
+def _shared_lists(prints: DataFrame) -> DataFrame:
+    """``list, key, n, rest, centre`` of the members of lists with two classes or more; the centre is the one with the smallest key."""
+    ends = _members(prints).groupBy("list").agg(F.min("key").alias("centre"), F.max("key").alias("high"))
+    ends = stored(ends.where("centre < high").drop("high"), "ends")
+    return stored(_members(prints).join(ends, "list"), "lists")
+
+
+def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """``list, key, n, rest, root`` of the members of lists whose members are not all in one component."""
     roots = stored(components(found), "roots")
-    named = open_lists.join(roots, open_lists["key"] == roots["node"], "left").select("list", "key", "n", "rest", F.coalesce("root", "key").alias("root"))
-    named = stored(named, "named")
+    named = lists.select("list", "key", "n", "rest").join(roots, lists["key"] == roots["node"], "left")
+    named = stored(named.select("list", "key", "n", "rest", F.coalesce("root", "key").alias("root")), "named")
     mixed = stored(named.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("list"), "mixed")
-    named = stored(named.join(mixed, "list", "left_semi"), "named")
-    pairs = named.alias("x").join(named.alias("y"), (F.col("x.list") == F.col("y.list")) & (F.col("x.root") < F.col("y.root")) & _fits("x", "y", spec))
-    pairs = pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(_with_distance(pairs.join(tried, ["a", "b"], "left_anti"), classes, spec).select("a", "b"), "pairs")
+    return stored(named.join(mixed, "list", "left_semi"), "named")
+
+
+def _open_pairs(named: DataFrame) -> int:
+    """Pairs of members of different components, over all lists."""
+    parts = named.groupBy("list", "root").agg(F.count("*").cast("double").alias("c")).groupBy("list").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    return int(parts.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("n")).first().n or 0)
+
+
+def _nearest_centres(pairs: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataFrame:
+    """Of the pairs of a set ``a`` with centres ``b`` the one with the least distance."""
+    return stored(_with_distance(pairs.distinct(), classes, spec).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("s")).select("a", "s.b"), "stars")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _remaining(named: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataFrame:
+    """Pairs ``a, b`` of members of different components of a list that sizes, places and coarse parities allow."""
+    folds = [f"p{k}" for k in range(_WORDS)]
+    named = named.join(classes.select("key", *folds), "key")
+    # Sizes of a link differ by no more than a band.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / spec.percent)) + 1e-9).cast("int")
+    one = named.withColumn("band", band).alias("x")
+    two = named.withColumn("band", F.explode(F.array(band - 1, band, band + 1))).alias("y")
+    difference = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in folds), F.lit(0))
+    total = F.col("x.n") + F.col("y.n")
+    need = F.ceil(spec.percent * total / F.lit(100 + spec.percent))
+    may_link = (F.col("x.root") < F.col("y.root")) & (F.least("x.rest", "y.rest") >= need) & (difference <= total - 2 * need)
+    pairs = one.join(two, (F.col("x.list") == F.col("y.list")) & (F.col("x.band") == F.col("y.band")) & may_link)
+    return _ordered(pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))).distinct()
+
+
+def links(prints: DataFrame, documents: DataFrame, spec: JaccardJoin = JaccardJoin()) -> DataFrame:
+    """Links ``a, b`` between classes that connect every component of similar sets."""
+    classes = stored(prints.where("parity is not null").select("key", "n", "parity", *[f"p{k}" for k in range(_WORDS)]).dropDuplicates(["key"]), "classes")
+    lists = _shared_lists(prints)
+    pairs = lists.where("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b"))
+    tried = _nearest_centres(pairs, classes, spec)
+    found = stored(_proven(tried, documents, spec), "links")
+    tried, before, turn = _ordered(tried), None, 0
+    while True:
+        lists = _mixed(lists, found)
+        left = _open_pairs(lists)
+        if not left:
+            return found
+        if before is not None and left > 0.7 * before:
+            break  # other centres hardly help: what is left is mostly unlike
+        before, turn = left, turn + 1
+        centres = stored(lists.groupBy("list").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("turn"), "key", "root")).alias("c")).select("list", F.col("c.key").alias("centre"), F.col("c.root").alias("other")), "centres")
+        pairs = lists.join(centres, "list").where("root != other").select(F.col("key").alias("a"), F.col("centre").alias("b"))
+        stars = _nearest_centres(pairs, classes, spec)
+        found = stored(found.unionByName(_proven(stars, documents, spec)), "links")
+        tried = tried.unionByName(_ordered(stars))
+    pairs = _remaining(lists, classes, spec).join(tried, ["a", "b"], "left_anti")
+    pairs = stored(_with_distance(pairs, classes, spec).select("a", "b"), "pairs")
     return found.unionByName(_proven(pairs, documents, spec))
 
 
