@@ -243,7 +243,7 @@ def _with_distance(pairs: DataFrame, classes: DataFrame, spec: JaccardJoin) -> D
         return pa.array(out, pa.int32())
 
     one, two = (classes.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"p{k}")) for k in "ab")
-    joined = pairs.join(one, "a").join(two, "b")
+    joined = pairs.join(one, "a").join(two, "b").where(100 * F.least("na", "nb") >= spec.percent * F.greatest("na", "nb"))
     return joined.select("a", "b", distance("na", "pa", "nb", "pb").alias("distance")).where("distance is not null")
 
 
@@ -295,11 +295,17 @@ def _proven(pairs: DataFrame, documents: DataFrame, spec: JaccardJoin) -> DataFr
     return pairs.join(one, "a").join(two, "b").where(similar("sa", "sb")).select("a", "b")
 
 
-def _shared_lists(prints: DataFrame) -> DataFrame:
+def _shared(members: DataFrame) -> DataFrame:
     """``list, key, n, rest, centre`` of the members of lists with two classes or more; the centre is the one with the smallest key."""
-    ends = _members(prints).groupBy("list").agg(F.min("key").alias("centre"), F.max("key").alias("high"))
+    ends = members.groupBy("list").agg(F.min("key").alias("centre"), F.max("key").alias("high"))
     ends = stored(ends.where("centre < high").drop("high"), "ends")
-    return stored(_members(prints).join(ends, "list"), "lists")
+    return stored(members.join(ends, "list"), "lists")
+
+
+def _by_size(lists: DataFrame, spec: JaccardJoin) -> DataFrame:
+    """Lists cut by size: any two members whose sizes allow a link are in one list together again."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / spec.percent)) + 1e-9)
+    return lists.select(F.explode(F.array(F.xxhash64("list", band), F.xxhash64("list", band + 1))).alias("list"), "key", "n", "rest")
 
 
 def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -330,22 +336,19 @@ def _remaining(named: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataF
     """Pairs ``a, b`` of members of different components of a list that sizes, places and coarse parities allow."""
     folds = [f"p{k}" for k in range(_WORDS)]
     named = named.join(classes.select("key", *folds), "key")
-    # Sizes of a link differ by no more than a band.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / spec.percent)) + 1e-9).cast("int")
-    one = named.withColumn("band", band).alias("x")
-    two = named.withColumn("band", F.explode(F.array(band - 1, band, band + 1))).alias("y")
+    one, two = named.alias("x"), named.alias("y")
     difference = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in folds), F.lit(0))
     total = F.col("x.n") + F.col("y.n")
     need = F.ceil(spec.percent * total / F.lit(100 + spec.percent))
     may_link = (F.col("x.root") < F.col("y.root")) & (F.least("x.rest", "y.rest") >= need) & (difference <= total - 2 * need)
-    pairs = one.join(two, (F.col("x.list") == F.col("y.list")) & (F.col("x.band") == F.col("y.band")) & may_link)
+    pairs = one.join(two, (F.col("x.list") == F.col("y.list")) & may_link)
     return _ordered(pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))).distinct()
 
 
 def links(prints: DataFrame, documents: DataFrame, spec: JaccardJoin = JaccardJoin()) -> DataFrame:
     """Links ``a, b`` between classes that connect every component of similar sets."""
     classes = stored(prints.where("parity is not null").select("key", "n", "parity", *[f"p{k}" for k in range(_WORDS)]).dropDuplicates(["key"]), "classes")
-    lists = _shared_lists(prints)
+    lists = _shared(_by_size(_shared(_members(prints)), spec))
     pairs = lists.where("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b"))
     tried = _nearest_centres(pairs, classes, spec)
     found = stored(_proven(tried, documents, spec), "links")
