@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmill.llm import bpe, chat, decontaminate, hard_negatives, jaccard_join, language, pii, quality_rules, simhash, substrings, subword_classifier, toxicity, training
+from shelfmill.llm import bpe, chat, decontaminate, hard_negatives, jaccard_join, language, pii, quality_rules, simhash, substrings, subword_classifier, token_alignment, toxicity, training
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.withColumn("label", turned), F.col("vec_id") % 100 == 0)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_texts(table(spark, sf_dir, "documents"))
 
@@ -107,5 +111,6 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_alignment": op12_token_alignment,
     "op13_ngram_jaccard_join": op13_ngram_jaccard_join,
 }
