@@ -32,6 +32,7 @@ import functools
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,6 +60,14 @@ class Alignment:
 
 # A space after and before another character that is no white space.
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = re.compile(r"\A | \Z|\s | \s")
+
+
+def _stretches(text: str) -> list[str]:
+    """The parts of a text between such spaces."""
+    if not text:
+        return []
+    return _SINGLE_SPACE.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
 
 
 def _byte_values() -> dict[str, int]:
@@ -116,30 +125,38 @@ class Memory:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.characters = 0
-        self.sound: list[bool] = []
-        self.tokens: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both tokenizers of each text; none for texts without a sound encoding."""
+        self.sound = array("b")
+        self.tokens = array("i"), array("i")  # of all stretches, one after the other
+        self.ends = array("q", [0]), array("q", [0])
+
+    def _learn(self, stretches: list[str]) -> None:
+        for s, (*both, sound) in zip(stretches, self.tokenizers.encode(stretches), strict=True):
+            self.known[s] = len(self.sound)
+            self.characters += len(s) + 32  # what a short one takes besides
+            self.sound.append(sound)
+            for ids, tokens, ends in zip(both, self.tokens, self.ends, strict=True):
+                tokens.extend(ids)
+                ends.append(len(tokens))
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For both tokenizers the ids of all texts and the place after the last of each; texts without a sound encoding have none."""
         if self.characters > self.spec.remembered:
             self._forget()
-        parts = [(_SINGLE_SPACE.split(t) if self.tokenizers.cuts_at_spaces else [t]) if t else [] for t in texts]
+        parts = [_stretches(t) if self.tokenizers.cuts_at_spaces else [t] if t else [] for t in texts]
         new = list(dict.fromkeys(s for p in parts for s in p if s not in self.known))
         for first in range(0, len(new), 4096):
-            some = new[first : first + 4096]
-            for s, (a, b, sound) in zip(some, self.tokenizers.encode(some), strict=True):
-                self.known[s] = len(self.sound)
-                self.characters += len(s) + 32  # what a short one takes besides
-                self.sound.append(sound)
-                self.tokens[0].append(np.array(a, np.int32))
-                self.tokens[1].append(np.array(b, np.int32))
-        found: tuple[list, list] = ([], [])
-        for p in parts:
-            at = [self.known[s] for s in p]
-            sound = bool(at) and all([self.sound[k] for k in at])
-            for out, tokens in zip(found, self.tokens, strict=True):
-                out.append(np.concatenate([tokens[k] for k in at]) if sound else np.zeros(0, np.int32))
-        return found
+            self._learn(new[first : first + 4096])
+        known = self.known
+        at = np.array([known[s] for p in parts for s in p], np.int64)
+        text = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+        unsound = np.bincount(text, np.array(self.sound, np.int8)[at] == 0, minlength=len(texts)) > 0
+        at, text = at[~unsound[text]], text[~unsound[text]]
+        out = []
+        for tokens, ends in zip(self.tokens, self.ends, strict=True):
+            ends = np.array(ends, np.int64)
+            place, own = _spread(ends[at], ends[at + 1])
+            out.append((np.array(tokens, np.int32)[place], np.searchsorted(text[own], np.arange(len(texts)), "right")))
+        return out
 
 
 def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,27 +178,24 @@ def common_cuts(first: np.ndarray, second: np.ndarray, bounds: np.ndarray) -> np
     low, high = low[keep], high[keep]
     while len(low):
         middle = (low + high - 1) // 2
-        cut = np.full(len(low), -1)
+        ends = first[middle]
+        cut = np.where(second[np.minimum(np.searchsorted(second, ends), len(second) - 1)] == ends, middle, -1)
         left, right, width = middle, middle + 1, 1  # places already looked at, from left to before right
-        seek = np.arange(len(low))
-        at = middle
-        owner = seek
+        seek = np.flatnonzero((cut < 0) & (high - low > 1))
         while len(seek):
-            ends = first[at]
-            place = np.minimum(np.searchsorted(second, ends), len(second) - 1)
-            hit = second[place] == ends
-            # Of several common ends the one nearest to the middle counts.
-            at, owner = at[hit], owner[hit]
-            near = np.lexsort((np.abs(at - middle[owner]), owner))
-            chosen, where = np.unique(owner[near], return_index=True)
-            cut[chosen] = at[near][where]
-            seek = seek[(cut[seek] < 0) & ((left[seek] > low[seek]) | (right[seek] < high[seek]))]
             new_left, new_right = np.maximum(left[seek] - width, low[seek]), np.minimum(right[seek] + width, high[seek])
             before, own_before = _spread(new_left, left[seek])
             after, own_after = _spread(right[seek], new_right)
             at, owner = np.concatenate([before, after]), seek[np.concatenate([own_before, own_after])]
             left, right = left.copy(), right.copy()
             left[seek], right[seek] = new_left, new_right
+            ends = first[at]
+            hit = second[np.minimum(np.searchsorted(second, ends), len(second) - 1)] == ends
+            # Of several common ends the one nearest to the middle counts.
+            at, owner = at[hit], owner[hit]
+            far = np.argsort(-np.abs(at - middle[owner]), kind="stable")
+            cut[owner[far]] = at[far]
+            seek = seek[(cut[seek] < 0) & ((left[seek] > low[seek]) | (right[seek] < high[seek]))]
             width *= 2
         split = np.flatnonzero(cut >= 0)
         found.append(cut[split])
@@ -204,9 +218,8 @@ class Aligned:
     group_bounds: np.ndarray  # after the last group of each text
 
     @staticmethod
-    def of(tokens: tuple[list[np.ndarray], list[np.ndarray]], tokenizers: Tokenizers) -> Aligned:
-        first, second = (np.concatenate(t) if t else np.zeros(0, np.int32) for t in tokens)
-        first_bounds, second_bounds = (np.cumsum([len(x) for x in t], dtype=np.int64) for t in tokens)
+    def of(tokens: list[tuple[np.ndarray, np.ndarray]], tokenizers: Tokenizers) -> Aligned:
+        (first, first_bounds), (second, second_bounds) = tokens
         # Both tokenizers' bytes of a text are the same, so ends over all texts are, too.
         first_ends, second_ends = np.cumsum(tokenizers.first_lengths[first]), np.cumsum(tokenizers.second_lengths[second])
         texts = np.flatnonzero(np.diff(first_bounds, prepend=0) > 0)
@@ -214,40 +227,49 @@ class Aligned:
         second_cuts = np.searchsorted(second_ends, first_ends[cuts]) + 1
         return Aligned(first, second, first_bounds, second_bounds, cuts + 1, second_cuts, np.searchsorted(cuts, first_bounds))
 
-    def told(self, names: list[str]) -> list[str]:
+    def told(self, names: Names) -> list[bytes]:
         """Groups of each text as ``a1,a2|b1;a3|b2,b3``."""
-        out, start = [], [0, 0, 0]
-        first_cuts, second_cuts = self.first_cuts.tolist(), self.second_cuts.tolist()
-        for a, b, g in zip(self.first_bounds.tolist(), self.second_bounds.tolist(), self.group_bounds.tolist(), strict=True):
-            first, second = [names[k] for k in self.first[start[0] : a].tolist()], [names[k] for k in self.second[start[1] : b].tolist()]
-            parts, i, j = [], start[0], start[1]
-            for p, q in zip(first_cuts[start[2] : g], second_cuts[start[2] : g], strict=True):
-                if p - i == 1 and q - j == 1:
-                    parts.append(f"{first[i - start[0]]}|{second[j - start[1]]}")
-                else:
-                    parts.append(f"{','.join(first[i - start[0] : p - start[0]])}|{','.join(second[j - start[1] : q - start[1]])}")
-                i, j = p, q
-            out.append(";".join(parts))
-            start = [a, b, g]
-        return out
+        parts = np.empty(len(self.first) + len(self.second), object)
+        before = np.append(0, self.second_cuts)[:-1], self.first_cuts  # tokens of the other tokenizer before a group's own
+        for ids, cuts, ahead, last in ((self.first, self.first_cuts, before[0], names.first_last), (self.second, self.second_cuts, before[1], names.second_last)):
+            place = np.arange(len(ids)) + np.repeat(ahead, np.diff(cuts, prepend=0))
+            parts[place] = names.inner[ids]
+            parts[place[cuts - 1]] = last[ids[cuts - 1]]
+        bounds = (self.first_bounds + self.second_bounds).tolist()
+        return [b"".join(parts[a:b].tolist())[:-1] for a, b in zip([0, *bounds], bounds, strict=False)]
 
     def links(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, pair, times) of the distinct pairs ``first * width + second`` of each text, in order."""
-        group_text = np.repeat(np.arange(len(self.group_bounds)), np.diff(self.group_bounds, prepend=0))
+        text = np.repeat(np.arange(len(self.group_bounds)), np.diff(self.group_bounds, prepend=0)) << 32
+        n_first, n_second = np.diff(self.first_cuts, prepend=0), np.diff(self.second_cuts, prepend=0)
+        single = (n_first == 1) & (n_second == 1)
+        once = text[single] | (self.first[self.first_cuts[single] - 1].astype(np.int64) * width + self.second[self.second_cuts[single] - 1])
         counted = []
-        for ids, cuts, size in ((self.first, self.first_cuts, 1 << 32), (self.second, self.second_cuts, 1 << 32)):
-            group = np.repeat(np.arange(len(cuts)), np.diff(cuts, prepend=0))
-            key, n = np.unique(group * size + ids, return_counts=True)
-            counted.append((key // size, key % size, n))
+        for ids, n in ((self.first, n_first), (self.second, n_second)):
+            group = np.repeat(np.arange(len(n)), n)
+            own = np.flatnonzero(~single[group])
+            key, times = np.unique(group[own] << 32 | ids[own], return_counts=True)
+            counted.append((key >> 32, key & 0xFFFFFFFF, times))
         (ga, a, na), (gb, b, nb) = counted
-        low, high = np.searchsorted(gb, ga, "left"), np.searchsorted(gb, ga, "right")
-        partner, own = _spread(low, high)
-        text, pair, times = group_text[ga[own]], a[own] * width + b[partner], na[own] * nb[partner]
-        key = (text << 32) | pair
-        order = np.argsort(key, kind="stable")
-        key, times = key[order], times[order]
-        heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        return key[heads] >> 32, key[heads] & 0xFFFFFFFF, np.add.reduceat(times, heads) if len(heads) else times
+        partner, own = _spread(np.searchsorted(gb, ga, "left"), np.searchsorted(gb, ga, "right"))
+        key, times = text[ga[own]] | (a[own] * width + b[partner]), na[own] * nb[partner]
+        more = times > 1
+        once = np.sort(np.concatenate([once, key[~more]]))
+        heads = np.flatnonzero(np.append(True, once[1:] != once[:-1])) if len(once) else np.zeros(0, np.int64)
+        key, times = np.append(once[heads], key[more]), np.append(np.diff(np.append(heads, len(once))), times[more])
+        if more.any():  # few, so sorting again costs little
+            order = np.argsort(key, kind="stable")
+            key, times = key[order], times[order]
+            heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            key, times = key[heads], np.add.reduceat(times, heads)
+        return key >> 32, key & 0xFFFFFFFF, times
+
+
+class Names:
+    """Decimal ids with what follows them: inside a group, after its first part, after its second."""
+
+    def __init__(self, n: int):
+        self.inner, self.first_last, self.second_last = (np.array([b"%d%s" % (k, end) for k in range(n)], object) for end in (b",", b"|", b";"))
 
 
 _ALIGNED = pa.schema([("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.binary()), ("times", pa.binary())])
@@ -269,7 +291,7 @@ class Aligner:
         def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokenizers = _tokenizers(*files.value)
             memory = Memory(tokenizers, spec)
-            names = [str(k) for k in range(max(len(tokenizers.first_bytes), len(tokenizers.second_bytes)))]
+            names = Names(max(len(tokenizers.first_bytes), len(tokenizers.second_bytes)))
 
             def block(texts: list[str], ids: pa.Array) -> pa.RecordBatch:
                 found = Aligned.of(memory.encode(texts), tokenizers)
@@ -277,7 +299,7 @@ class Aligner:
                 cuts = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
                 pair, times = pair.astype(np.uint32), times.astype(np.int64)
                 n_links = np.add.reduceat(np.append(times, 0), np.minimum(cuts[:-1], len(times))) * (np.diff(cuts) > 0)
-                digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in found.told(names)]
+                digests = [hashlib.sha256(t).hexdigest() if t else "" for t in found.told(names)]
                 each = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
                 counts = (np.diff(x, prepend=0) for x in (found.first_bounds, found.second_bounds, found.group_bounds))
                 return pa.RecordBatch.from_arrays([ids, *(pa.array(c) for c in (*counts, n_links)), pa.array(digests), each(pair), each(times)], names=["doc_id", *_ALIGNED.names])
