@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmill.llm import bpe, chat, decontaminate, hard_negatives, jaccard_join, language, pii, quality_rules, simhash, substrings, subword_classifier, token_alignment, toxicity, training
+from shelfmill.session import tune
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +97,7 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)  # small Arrow batches: rows with whole sets are large
     return jaccard_join.similar_texts(table(spark, sf_dir, "documents"))
 
 
