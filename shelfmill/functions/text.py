@@ -53,7 +53,7 @@ def slugify(title: Column | str) -> Column:
 
 
 def card_handle(title: Column | str, seq: Column | str) -> Column:
-    """Handle of a card; untitled cards are named after their sequence number."""
+    """Handle of a card; untitled cards are named after their place, ``seq``."""
     t = as_col(title)
     return F.when(F.coalesce(t, F.lit("")) != "", slugify(t)).otherwise(
         F.concat(F.lit("item-"), as_col(seq).cast("string"))

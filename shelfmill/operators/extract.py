@@ -34,29 +34,42 @@ from shelfmill.schemas import (
 )
 from shelfmill.session import per_session
 
-# A card's sequence number is its page's walk position and its place on the
-# page in one long: 2^42 pages of up to 2^21 cards.
-CARD_BITS = 21
+# Columns of a page that its cards keep.
+CARD_PAGE = ("page_id", "catalogue", "page_num", "base")
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
     return pages if "els" in pages.columns else parse_pages(pages)
 
 
-def walk_position(pages: DataFrame) -> Column:
-    """Position of a page in the walk: its number, else its id."""
-    by_id = F.col("page_id").cast("bigint")
-    if "page_num" not in pages.columns:
-        return by_id
-    return F.coalesce(F.col("page_num").cast("bigint"), by_id)
+def walk_columns(pages: DataFrame) -> list[Column]:
+    """What orders pages in a walk besides their id; null where the pages do not tell."""
+    kinds = {"catalogue": "string", "page_num": "bigint"}
+    return [
+        (F.col(c) if c in pages.columns else F.lit(None)).cast(kind).alias(c)
+        for c, kind in kinds.items()
+    ]
+
+
+def card_seq() -> Column:
+    """Place of a card in the walk, as a struct that orders like the walk.
+
+    Catalogues follow one another, inside one the pages by number, then by id,
+    and on a page the cards by place. Ids and numbers may be any longs. Pages
+    without a catalogue or number come before those that have one.
+    """
+    return F.struct(
+        F.col("catalogue"),
+        F.col("page_num"),
+        F.col("page_id").cast("bigint").alias("page_id"),
+        F.col("pos").cast("int").alias("place"),
+    )
 
 
-def card_seq(page_position: Column, place: Column) -> Column:
-    fits = (page_position >= 0) & (page_position < 1 << (63 - CARD_BITS))
-    fits = fits & (place < 1 << CARD_BITS)
-    return F.when(
-        fits, F.shiftleft(page_position.cast("bigint"), CARD_BITS) + place
-    ).otherwise(F.raise_error(F.lit("page number or card count outside the sequence range")))
+def card_name(seq: Column | str = "seq") -> Column:
+    """Text that names a card by its page and its place there, the same in every run and batch."""
+    seq = F.col(seq) if isinstance(seq, str) else seq
+    return F.concat_ws("-", seq["catalogue"], seq["page_id"].cast("string"), seq["place"].cast("string"))
 
 
 @per_session
@@ -92,7 +105,7 @@ def _card_columns() -> tuple[Column, list[Column]]:
     return links, [
         F.col("page_id"),
         F.col("page_num"),
-        card_seq(F.col("page_num"), F.col("pos")).alias("seq"),
+        card_seq().alias("seq"),
         F.coalesce("title", F.lit("")).alias("title"),
         F.coalesce(clean_price("price"), F.lit(DEFAULT_PRICE)).alias("price"),
         F.get("_links", F.lit(0)).alias("image"),
@@ -112,12 +125,9 @@ def cards(pages: DataFrame, selectors: dict[str, str] | None = None) -> DataFram
     sels = selectors or build_selectors()
     parsed = _parsed(pages)
     found = parsed.select(
-        "page_id",
-        walk_position(parsed).alias("page_num"),
-        F.col("url").alias("base"),
-        page_cards(sels).alias("cards"),
+        "page_id", *walk_columns(parsed), F.col("url").alias("base"), page_cards(sels).alias("cards")
     )
-    return finish_cards(explode_records(found, "cards", "page_id", "page_num", "base"))
+    return finish_cards(explode_records(found, "cards", *CARD_PAGE))
 
 
 @per_session

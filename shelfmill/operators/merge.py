@@ -83,6 +83,21 @@ def merge_cards(cards: DataFrame, products: DataFrame | None) -> DataFrame:
     )
 
 
+def final_handles(cards: DataFrame, products: DataFrame | None) -> DataFrame:
+    """Cards with ``final_handle``, the handle that their merged record gets.
+
+    The card travels through the join, nothing is joined back by its place.
+    """
+    if products is None:
+        title = first_non_blank("title", default=DEFAULT_TITLE)
+        return cards.withColumn("final_handle", slugify(title))
+    left = cards.withColumn("_link", scatter_key(blank_to_null("url"), F.col("seq")))
+    right = products.select(F.col("url").alias("_link"), F.col("title").alias("_title"))
+    title = first_non_blank("_title", "title", default=DEFAULT_TITLE)
+    held = left.join(right, "_link", "left")
+    return held.select(*cards.columns, slugify(title).alias("final_handle"))
+
+
 def failed_pages(cards: DataFrame, products: DataFrame) -> DataFrame:
     """Distinct linked URLs without a product record."""
     links = cards.where(F.col("url") != "").select("url").distinct()

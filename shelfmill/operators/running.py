@@ -1,9 +1,10 @@
 """Order-dependent totals without gathering the table in one task.
 
 A plain window without partitions would sort everything in a single task.
-Here the order key, a non-negative long, is cut into three 21-bit digits.
-Totals per digit prefix are small tables, and every window runs inside one
-prefix, so no task ever orders more than 2^21 distinct keys.
+Here rows are range-partitioned by their order key, which may be any orderable
+column, also a struct of several. Each range has a total, the totals before a
+range are a window over one row per range, and every other window runs inside
+one range.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-DIGIT_BITS = 21
+from shelfmill.session import stored
 
 
-def _sum_before(value: str, by: Sequence[str], order: str) -> Column:
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _sum_before(value: str, by: Sequence[str], order: Sequence[str]) -> Column:
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(value).over(w), F.lit(0).cast("bigint"))
 
 
@@ -27,30 +28,32 @@ def sum_before(
 ) -> DataFrame:
     """Add the running sum of ``value`` over all earlier rows (exclusive).
 
-    ``order`` is unique and non-negative within each ``by`` group. ``df`` is
+    ``order`` may be of any orderable type; nulls come first. Rows with an
+    equal key within a ``by`` group are ordered by a hash of the whole row, so
+    that a key which many rows share is still split over the ranges. ``df`` is
     read twice, so callers pass a stored or cheap table.
+
+    The ranges are written down once: their borders come from a sample, and a
+    task that runs again must not see others.
     """
     by = list(by)
-    rows = df.withColumn("_mid", F.shiftright(order, DIGIT_BITS))
-    mid = (
-        rows.groupBy(*by, "_mid")
-        .agg(F.sum(value).cast("bigint").alias("_mid_sum"))
-        .withColumn("_top", F.shiftright("_mid", DIGIT_BITS))
-    )
-    top = mid.groupBy(*by, "_top").agg(F.sum("_mid_sum").alias("_top_sum"))
-    top_start = top.select(
-        *by, "_top", _sum_before("_top_sum", by, "_top").alias("_top_start")
-    )
-    mid_start = mid.join(top_start, [*by, "_top"]).select(
-        *by,
-        "_mid",
-        (F.col("_top_start") + _sum_before("_mid_sum", [*by, "_top"], "_mid")).alias(
-            "_mid_start"
-        ),
+    keys = [*by, order, "_tie"]
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    ranges = tied.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    ranges = stored(ranges, "ranges")
+    totals = ranges.groupBy(*by, "_range").agg(F.sum(value).cast("bigint").alias("_total"))
+    # One row per range and group: without groups as many rows as ranges.
+    starts = totals.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.col("_range").alias("_at"),
+        _sum_before("_total", by, ["_range"]).alias("_start"),
     )
-    return rows.join(mid_start, [*by, "_mid"]).select(
-        *df.columns,
-        (F.col("_mid_start") + _sum_before(value, [*by, "_mid"], order)).alias(out),
+    same = F.col("_range") == F.col("_at")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    inside = ranges.withColumn("_inside", _sum_before(value, [*by, "_range"], [order, "_tie"]))
+    return inside.join(starts, same).select(
+        *df.columns, (F.col("_start") + F.col("_inside")).alias(out)
     )
 
 

@@ -17,9 +17,16 @@ from shelfmill.operators.dom import (
     explode_records,
     parse_pages,
 )
-from shelfmill.operators.extract import finish_cards, page_cards, product_pages
+from shelfmill.operators.extract import (
+    CARD_PAGE,
+    card_name,
+    finish_cards,
+    page_cards,
+    product_pages,
+    walk_columns,
+)
 from shelfmill.operators.formatter import BatchFormatter, format_descriptions
-from shelfmill.operators.merge import merge_cards, one_per_url
+from shelfmill.operators.merge import final_handles, merge_cards, one_per_url
 from shelfmill.operators.navigation import (
     end_of_catalogue,
     loaded,
@@ -50,7 +57,7 @@ class CatalogueJob:
 
     The walk is by ``url_pattern`` if given, else by ``next_selector`` from
     ``seed``, else the single page ``seed``; with none of them every page is a
-    catalogue page, in order of page number.
+    catalogue page, in order of catalogue, page number and page id.
     """
 
     limit: int | None = DEFAULT_LIMIT
@@ -83,7 +90,7 @@ def _page_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> Da
     parsed = parse_pages(pages)
     unread = F.col("els").isNull() & (page_status(parsed) == "ok")
     parsed = parsed.withColumn("status", F.when(unread, "error").otherwise(page_status(parsed)))
-    carried = [c for c in ("page_num", "fetched_at") if c in parsed.columns]
+    carried = [c for c in ("fetched_at",) if c in parsed.columns]
     link = next_link(job.next_selector) if job.next_selector else F.lit(None).cast("string")
     loaded = F.col("status") == "ok"
     return cut_lineage(
@@ -91,6 +98,7 @@ def _page_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> Da
             "page_id",
             F.col("url").alias("base"),
             "status",
+            *walk_columns(parsed),
             *carried,
             link.alias("next_url"),
             F.when(loaded, F.size(all_matches(sels["card"]))).otherwise(0).alias("n_cards"),
@@ -128,11 +136,7 @@ def _walked_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) ->
         return facts.drop("page_num").join(walk, "base")
     if job.seed:
         return _latest_facts(_page_facts(single_page(pages, job.seed), job, sels))
-    facts = _page_facts(pages, job, sels)
-    number = F.col("page_id")
-    if "page_num" in facts.columns:
-        number = F.coalesce(F.col("page_num"), number)
-    return facts.withColumn("page_num", number.cast("bigint"))
+    return _page_facts(pages, job, sels)
 
 
 def accepted_cards(
@@ -144,18 +148,15 @@ def accepted_cards(
     """New cards of the walk, with duplicates and exported handles removed."""
     sels = build_selectors(job.selectors)
     facts = _walked_facts(pages, job, sels)
-    found = finish_cards(
-        explode_records(facts, "cards", "page_id", "page_num", "base")
-    ).withColumn("handle", card_handle("title", F.col("seq")))
+    found = finish_cards(explode_records(facts, "cards", *CARD_PAGE))
+    found = found.withColumn("handle", card_handle("title", card_name()))
     if job.dedup == "first":
         new = first_per_handle(found)
         new = not_exported(new, exported) if exported is not None else new
     else:
         fresh = not_exported(found, exported) if exported is not None else found
-        finals = merge_cards(fresh, products).select(
-            "seq", F.col("handle").alias("final_handle")
-        )
-        new = accept_in_order(cut_lineage(fresh.join(finals, "seq"))).drop("final_handle")
+        finals = stored(final_handles(fresh, products), "finals")
+        new = accept_in_order(finals).drop("final_handle")
     new = cut_lineage(new)
     if not job.url_pattern:
         return new

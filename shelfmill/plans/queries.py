@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmill.functions import filters, prices, text, urls
-from shelfmill.operators import dedup, dom, extract, formatter, images, merge, navigation
+from shelfmill.operators import batches, dedup, dom, extract, formatter, images, merge, navigation
 from shelfmill.operators import rows as product_rows
 from shelfmill.operators import running, stats, variants
 from shelfmill.plans.catalogue import CatalogueJob, build_catalogue, export_catalogue
@@ -191,7 +191,7 @@ def cards_per_page(spark, sf_dir):
 def page_cards(spark, sf_dir):
     """List items read as cards, with an overridden selector set."""
     found = extract.cards(_pages(spark, sf_dir), dom.build_selectors({"card": "li", "title": "a"}))
-    return found.select("page_id", "seq", "title", "price", "image", "descr", "url")
+    return found.select("page_id", "seq.place", "title", "price", "image", "descr", "url")
 
 
 @query
@@ -558,7 +558,8 @@ def _order_pages(spark, sf_dir) -> DataFrame:
 
 @query
 def order_cards(spark, sf_dir):
-    return extract.cards(_order_pages(spark, sf_dir)).drop("page_num")
+    found = extract.cards(_order_pages(spark, sf_dir))
+    return found.select("page_id", "seq.place", "title", "price", "image", "descr", "url")
 
 
 def _part_title() -> Column:
@@ -669,7 +670,7 @@ def _part_catalogue(spark, sf_dir):
 
 
 _CATALOGUE_COLUMNS = [
-    "seq", "pos", "Handle", "Title", "Body (HTML)", "Option1 Name", "Option1 Value",
+    "seq.page_num", "seq.place", "pos", "Handle", "Title", "Body (HTML)", "Option1 Name", "Option1 Value",
     "Variant Price", "Image Src", "Source URL",
 ]
 
@@ -689,6 +690,45 @@ def catalogue_limited(spark, sf_dir):
     return build_catalogue(_part_crawl(spark, sf_dir), job).rows.select(*_CATALOGUE_COLUMNS)
 
 
+def _many_catalogues(spark, sf_dir) -> DataFrame:
+    """List pages of several catalogues with equal page numbers, negative and very large ids.
+
+    A page has a titled card, one whose title other pages have too, and an untitled one.
+    """
+    key = _str("p_partkey")
+    html = _cat(
+        '<ul><li class="product"><h2>Own ', key, '</h2></li><li class="product"><h2>Shared ',
+        (F.col("p_partkey") % 37).cast("string"), '</h2></li><li class="product"><b>', key, "</b></li></ul>",
+    )
+    return _table(spark, sf_dir, "part").select(
+        F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey") * (1 << 40)).otherwise(-F.col("p_partkey")).alias("page_id"),
+        _cat("https://", F.lower(F.regexp_replace("p_brand", "[^A-Za-z0-9]", "")), ".example/list/", key).alias("url"),
+        html.alias("html"),
+        F.when(F.col("p_brand") != "Brand#1", F.col("p_brand")).alias("catalogue"),
+        F.when(F.col("p_size") > 5, F.col("p_size").cast("bigint")).alias("page_num"),
+    )
+
+
+@query
+def multi_catalogue_rows(spark, sf_dir):
+    """Both policies over several catalogues; without a limit, with the least one and with one that cuts at every scale."""
+    pages = _many_catalogues(spark, sf_dir)
+    n = _table(spark, sf_dir, "part").count()
+    found = None
+    for policy in ("first", "sequential"):
+        for limit in (None, 1, n):
+            job = CatalogueJob(
+                limit=limit, dedup=policy, use_product_pages=False,
+                selectors={"card": "li.product", "title": "h2", "price": "b"},
+            )
+            rows = build_catalogue(pages, job).rows.select(
+                F.lit(policy).alias("policy"), F.lit(limit or 0).cast("bigint").alias("row_limit"),
+                "seq.page_id", "seq.place", "Handle", "Title", "Variant Price",
+            )
+            found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def catalogue_status(spark, sf_dir):
     """Every fifth page fetched again without success: the rows stay, under both policies."""
@@ -1213,6 +1253,34 @@ def run_failures(spark, sf_dir):
     return stats.failed_urls(_run_products(spark, sf_dir))
 
 
+@query
+def acceptance_chain(spark, sf_dir):
+    """Every part records the handle of the next one, so each hangs on the part before it."""
+    part = _table(spark, sf_dir, "part").where(F.col("p_partkey") % 1000 > 0)
+    cards = part.select(
+        F.col("p_partkey").alias("seq"),
+        _cat("part-", _str("p_partkey")).alias("handle"),
+        _cat("part-", (F.col("p_partkey") + 1).cast("string")).alias("final_handle"),
+    )
+    return dedup.accept_in_order(cards)
+
+
+@query
+def batch_rows(spark, sf_dir):
+    """Orders as products, closed to a batch at 100 rows."""
+    sized = cut_lineage(_order_sizes(spark, sf_dir))
+    batched = batches.form_batches(sized, 100)
+    return batches.batch_report(batched, handle="o_custkey")
+
+
+@query
+def batch_rows_by_status(spark, sf_dir):
+    """The same for each status on its own."""
+    sized = cut_lineage(_order_sizes(spark, sf_dir))
+    batched = batches.form_batches(sized, 25, by=["o_orderstatus"])
+    return batches.batch_report(batched, handle="o_custkey", by=["o_orderstatus"])
+
+
 @query
 def batch_stats(spark, sf_dir):
     rows = _spread(spark, sf_dir, "documents", "source", "text").select(

@@ -174,6 +174,7 @@ PAGE_COLUMNS = {
     "page_id": "bigint",
     "url": "string",
     "html": "string",
+    "catalogue": "string",
     "page_num": "bigint",
     "status": "string",
     "fetched_at": "timestamp",

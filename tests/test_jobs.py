@@ -390,3 +390,23 @@ def test_single_axis_files_hold_all_values_and_the_summary_times(spark, tmp_path
     assert "Small / Red" in rows[0].values() and "Option2 Value" not in rows[0]
     run = spark.read.json(summary).first()
     assert run.started_at and run.finished_at and run.run_seconds >= 0
+
+
+@pytest.mark.parametrize("policy", ["first", "sequential"])
+def test_equal_page_numbers_and_any_page_ids(spark, policy):
+    """Two list pages with one number, negative and large ids, with and without products pages and limits."""
+    def page(i, names, number, catalogue=None):
+        return (i, f"{SHOP}/c{i}/list", list_page(names), number, catalogue)
+
+    pages = spark.createDataFrame(
+        [page(10, ["Ant", "Bee"], 1), page(11, ["Cat", "Dog"], 1), page(-5, ["Elk", "Fox"], None), page(2**62, ["Gnu", "Ant"], 1, "late")],
+        "page_id bigint, url string, html string, page_num bigint, catalogue string",
+    )
+    for use in (True, False):
+        job = CatalogueJob(limit=None, dedup=policy, use_product_pages=use)
+        got = build_catalogue(pages, job).products.orderBy("seq").collect()
+        assert [r.title for r in got] == ["Elk", "Fox", "Ant", "Bee", "Cat", "Dog", "Gnu"]
+    for limit in (1, 3):
+        job = CatalogueJob(limit=limit, dedup=policy)
+        got = build_catalogue(pages, job).products.orderBy("seq").collect()
+        assert [r.title for r in got] == ["Elk", "Fox", "Ant"][:limit]

@@ -6,7 +6,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmill.operators import dedup, formatter, merge, navigation, rows, running, stats
+from shelfmill.operators import batches, dedup, formatter, merge, navigation, rows, running, stats
 from shelfmill.schemas import VARIANT
 from tests.conftest import plan_text
 
@@ -47,6 +47,65 @@ def test_not_exported(spark):
     assert sorted(r.seq for r in dedup.not_exported(cards, known).collect()) == [2, 3]
 
 
+def test_sum_before_of_several_columns(spark):
+    """Struct keys with nulls and negative ids, a key that a third of all rows share, empty input."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, "a", "b"]), rng.randrange(-40, 40), rng.randrange(3), rng.randrange(4)) for _ in range(600)]
+    rows += [("a", -1, 0, 1)] * 300
+    df = spark.createDataFrame(rows, "cat string, id bigint, place int, n bigint").repartition(6)
+    got = running.sum_before(df.withColumn("key", F.struct("cat", "id", "place")), "key", "n", "before").collect()
+    assert len(got) == len(rows)
+    key = lambda r: (r.key.cat is not None, r.key.cat or "", r.key.id, r.key.place)
+    total = 0
+    for r in sorted(got, key=lambda r: (key(r), r.before, r.n)):
+        assert r.before == total
+        total += r.n
+    assert running.sum_before(df.where("id > 99"), "id", "n", "before").collect() == []
+
+
+def plain_batches(sizes, size):
+    out, batch, held = [], 0, 0
+    for n in sizes:
+        out.append(batch)
+        held += n
+        if held >= size:
+            batch, held = batch + 1, 0
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 10, 95, 10_000])
+def test_batches(spark, size):
+    rng = random.Random(size)
+    groups = {"x": [7, 6, 7], "y": [rng.choice([1, 2, 3, 9, 200]) for _ in range(300)], None: [1] * 70, "z": [500]}
+    rows = [(g, -1000 + 3 * i, n, "h") for g, sizes in groups.items() for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "g string, seq bigint, n_rows int, handle string").repartition(5)
+    got = batches.form_batches(df, size, by=["g"])
+    for g, sizes in groups.items():
+        mine = sorted((r.seq, r.batch) for r in got.collect() if r.g == g)
+        assert [b for _, b in mine] == plain_batches(sizes, size)
+    assert got.count() == len(rows)
+    assert batches.form_batches(df.where("seq > 10000"), size).collect() == []
+
+
+def test_batches_of_the_sample_run(spark):
+    df = spark.createDataFrame([(0, 7, "a"), (5, 6, "a"), (9, 7, "b")], "seq bigint, n_rows int, handle string")
+    report = batches.batch_report(batches.form_batches(df, 10)).orderBy("batch").collect()
+    assert [tuple(r) for r in report] == [(0, 1, 13), (1, 1, 7)]
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """Rounds grow with the logarithm of a chain, not with its length."""
+    rounds = []
+    real = dedup.stored
+    monkeypatch.setattr(dedup, "stored", lambda df, name: rounds.append(name) or real(df, name))
+    for n in (16, 256):
+        rounds.clear()
+        cards = spark.createDataFrame([(i, f"h{i}", f"h{i + 1}") for i in range(n)], "seq bigint, handle string, final_handle string")
+        got = dedup.accept_in_order(cards).collect()
+        assert sorted(r.seq for r in got) == list(range(0, n, 2))
+        assert len(rounds) <= 12 + n.bit_length()
+
+
 @pytest.mark.parametrize("spacing", [1, 1 << 19, 1 << 40])
 def test_sum_before(spark, spacing):
     rng = random.Random(2)
