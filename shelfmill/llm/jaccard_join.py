@@ -55,7 +55,7 @@ class JaccardJoin:
     percent: int = 85
     buckets: int = 1 << 20
     largest_light: int = 1024  # the boundary is looked for up to this size
-    check_cost: float = 0.1  # of a partner in a scanned list, against a row of a list
+    check_cost: float = 0.01  # of a partner in a scanned list, against a row of a list
 
     def least_shared(self, size):
         """Shingles that a set of ``size`` shares at least with any partner."""
