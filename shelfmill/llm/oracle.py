@@ -33,7 +33,7 @@ lines AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
-sizes AS (SELECT unnest([5, 8]) AS n),
+sizes AS (SELECT unnest([5, 20]) AS n),
 windows AS (
   SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS words
   FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s FROM d, sizes WHERE len(w) >= n)),
@@ -43,19 +43,19 @@ parts AS (
   SELECT doc_id, n, count(DISTINCT spot) AS covered FROM (SELECT doc_id, n, unnest(generate_series(s, s + n - 1)) AS spot FROM twice) GROUP BY doc_id, n),
 too_long AS (
   SELECT DISTINCT doc_id FROM (
-    SELECT doc_id, count(*) OVER (PARTITION BY doc_id, array_to_string(list_slice(w, s, s + m - 1), ' ')) AS c
-    FROM (SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS s
-          FROM (SELECT doc_id, w, greatest(8, len(w) // 5 + 1) AS m FROM d JOIN (SELECT DISTINCT doc_id FROM twice WHERE n = 8) USING (doc_id)) WHERE len(w) >= m))
+    SELECT doc_id, count(*) OVER (PARTITION BY doc_id, array_to_string(list_slice(w, s, s + 100), ' ')) AS c
+    FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 100)) AS s
+          FROM d JOIN (SELECT DISTINCT doc_id FROM twice WHERE n = 20) USING (doc_id) WHERE len(w) >= 101))
   WHERE c > 1),
 m AS (
   SELECT d.doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(a.covered, 0) AS n_repeat_words, coalesce(b.covered, 0) AS covered, t.doc_id IS NOT NULL AS long_repeat
   FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN parts a ON a.doc_id = d.doc_id AND a.n = 5
-  LEFT JOIN parts b ON b.doc_id = d.doc_id AND b.n = 8 LEFT JOIN too_long t ON t.doc_id = d.doc_id)
+  LEFT JOIN parts b ON b.doc_id = d.doc_id AND b.n = 20 LEFT JOIN too_long t ON t.doc_id = d.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (5 * covered > n_words) AND NOT long_repeat AS kept
+  NOT (n_words < 10 OR 100 * n_repeat_words > 15 * n_words) AND NOT (100 * covered > 5 * n_words) AND NOT long_repeat AS kept
 FROM m
 """
 

@@ -8,6 +8,11 @@ part of a text, and their longest the longest repeat. Texts are sorted many at
 a time by prefix doubling; the text's number is part of the first key, so that
 nothing repeats across texts.
 
+The base rule is a floor: too few words, or over a fifth of them in repeats.
+The verdict ``kept`` also limits the share covered by repeats more tightly, the
+share covered by long repeats, and the longest repeat. No limit implies another:
+many short repeats, some copied passages or one copied block each fail one only.
+
 Defined cases: a null or blank text has no words and fails. A repeated row gets
 its own result. Extra columns are kept by ``keep_good`` and ignored.
 """
@@ -31,18 +36,14 @@ class QualityRules:
     min_words: int = 10
     base_repeat: int = 5  # repeats of this length count for the base rule
     max_base_percent: int = 20
-    repeat: int = 8  # repeats of this length count for the covered share
-    max_covered: float = 0.2
-    max_longest: float = 0.2  # longest repeat as a share of the text
+    repeat: int = 5  # repeats of this length count for the covered share
+    max_covered_percent: int = 15
     long_repeat: int = 20  # repeats of this length count for the long share
-    max_long: float | None = None  # share covered by long repeats; None: no limit
-    max_longest_words: int | None = None  # words of the longest repeat; None: no limit
+    max_long_percent: int = 5
+    max_longest: int = 100  # words of the longest repeat
 
 
-# The base rule lets no text through that fails the shares above: repeats of 8
-# words are also repeats of 5. These limits are stricter than it for copied
-# blocks, and leave the short lines alone that any text may say twice.
-CORPUS_RULES = QualityRules(max_long=0.05, max_longest_words=100)
+CORPUS_RULES = QualityRules()
 
 
 SYMBOLS = b"#*$%&|<>"
@@ -150,11 +151,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray, rules: QualityRules) -> dict
     np.maximum.at(top, np.repeat(np.arange(len(n_words)), n_words), longest)
     top[top < rules.repeat] = 0
     failed = (n_words < rules.min_words) | (100 * n_repeat > rules.max_base_percent * n_words)
-    good = (n_covered <= rules.max_covered * n_words) & (top <= rules.max_longest * n_words)
-    if rules.max_long is not None:
-        good &= repeated(rules.long_repeat) <= rules.max_long * n_words
-    if rules.max_longest_words is not None:
-        good &= top <= rules.max_longest_words
+    good = (100 * n_covered <= rules.max_covered_percent * n_words) & (100 * repeated(rules.long_repeat) <= rules.max_long_percent * n_words) & (top <= rules.max_longest)
     return {
         "n_words": n_words,
         "word_chars": _sums(inside & ((data & 0xC0) != 0x80), offsets),

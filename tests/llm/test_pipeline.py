@@ -24,9 +24,9 @@ def repeats(words, n):
 def good(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     n = len(words)
-    if n < 10 or 100 * len(repeats(words, 5)) > 20 * n or 5 * len(repeats(words, 8)) > n:
+    if n < 10 or 100 * len(repeats(words, 5)) > 15 * n or 100 * len(repeats(words, 20)) > 5 * n:
         return False
-    return not repeats(words, max(8, n // 5 + 1))
+    return not repeats(words, 101)
 
 
 def contaminated(text, items):

@@ -51,7 +51,7 @@ def test_measures_and_verdict(spark):
     assert quality_rules.keep_good(df.limit(0)).count() == 0
 
 
-def test_stage_rejects_long_repeats_that_the_base_rule_passes(spark):
+def test_verdict_rejects_repeats_that_the_base_rule_passes(spark):
     def text(name, n, *again):
         """``n`` distinct words, after them each (start, size) block once more."""
         words = [f"{name}{i}" for i in range(n)]
@@ -60,18 +60,20 @@ def test_stage_rejects_long_repeats_that_the_base_rule_passes(spark):
     rejected = {
         "block": text("a", 91_000, (500, 9_000)),  # 18 % in one block twice
         "longest only": text("b", 10_000, (500, 101)),
-        "share only": text("c", 900, *((200 * k, 20) for k in range(4))),
+        "long share only": text("c", 900, *((200 * k, 20) for k in range(4))),
+        "covered only": text("h", 90, *((10 * k, 5) for k in range(2))),  # 20 of 112 words
     }
     clean = {
         "no repeat": text("d", 300),
         "lines said twice": text("e", 130, (10, 9)),
         "longest at its limit": text("f", 10_000, (500, 100)),
         "share below its limit": text("g", 900, (0, 20)),
-        "19 words": text("h", 900, *((200 * k, 19) for k in range(4))),
+        "19 words": text("i", 900, *((200 * k, 19) for k in range(3))),
     }
     df = spark.createDataFrame(list((rejected | clean).items()), "doc_id string, text string")
-    rows = {r.doc_id: r for r in df.select("doc_id", quality_rules.quality("text").alias("q"), quality_rules.quality("text", quality_rules.CORPUS_RULES).alias("s")).collect()}
-    assert all(r.q.kept and not r.q.base_failed for r in rows.values())  # op8's limits, as in its SQL
-    assert {k for k, r in rows.items() if not r.s.kept} == set(rejected)
+    rows = {r.doc_id: r.q for r in df.select("doc_id", quality_rules.quality("text").alias("q")).collect()}
+    assert not any(q.base_failed for q in rows.values())
+    assert {k for k, q in rows.items() if not q.kept} == set(rejected)
+    assert {k for k, t in (rejected | clean).items() if len(t) < 100_000 and not good(t)} == set(rejected) - {"block"}
     stage = dict(corpus_pipeline.STAGES)["quality_rules"]
     assert {r.doc_id for r in stage(spark, df, "").collect()} == set(clean)
