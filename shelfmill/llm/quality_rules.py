@@ -43,9 +43,6 @@ class QualityRules:
     max_longest: int = 100  # words of the longest repeat
 
 
-CORPUS_RULES = QualityRules()
-
-
 SYMBOLS = b"#*$%&|<>"
 
 _FIELDS = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"), ("n_repeat_words", "long"), ("covered_words", "long"), ("longest_repeat", "long"), ("base_failed", "boolean"), ("kept", "boolean")]
