@@ -41,3 +41,48 @@ def with_place(items: Column, size: Callable[[Column], Column], made: Callable[[
         return let(heads, placed)
 
     return let(items, lambda kept: F.when(F.size(kept) > 0, grouped(kept)))
+
+
+def largest_before(values: Column) -> Column:
+    """For each item of an array of ints the largest of the items before it, 0 for the first.
+
+    As in ``with_place``, groups keep the work near linear.
+    """
+
+    def grouped(values: Column) -> Column:
+        groups = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _GROUP).cast("int"))
+        tops = F.transform(groups, lambda g: F.array_max(F.slice(values, g * _GROUP + 1, F.lit(_GROUP))))
+
+        def placed(heads: Column) -> Column:
+            def one(_: Column, i: Column) -> Column:
+                rest = i % _GROUP
+                own = F.array_max(F.slice(values, i - rest + 1, rest))
+                return F.greatest(F.lit(0), F.get(heads, F.floor(i / _GROUP).cast("int")), own)
+
+            return F.transform(values, one)
+
+        heads = let(tops, lambda t: F.transform(t, lambda _, g: F.array_max(F.slice(t, F.lit(1), g))))
+        return let(heads, placed)
+
+    return let(values, lambda kept: F.when(F.size(kept) > 0, grouped(kept)))
+
+
+_PIECE = 1024
+
+
+def cutter(text: Column, body: Callable[[Callable[[Column, Column], Column]], Column]) -> Column:
+    """``body(cut)``, where ``cut(start, size)`` is a part of the text by code points from 0.
+
+    A substring counts code points from the text's start; here it counts from
+    a piece of the text near by, so that many parts of a long text stay cheap.
+    """
+
+    def of(pieces: Column) -> Column:
+        def cut(start: Column, size: Column) -> Column:
+            first = F.floor(start / _PIECE).cast("int")
+            count = F.floor((start + size) / _PIECE).cast("int") - first + 1
+            return F.substring(F.array_join(F.slice(pieces, first + 1, count), ""), start % _PIECE + 1, size)
+
+        return body(cut)
+
+    return let(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_PIECE}}}"), F.lit(0)), of)

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmill.llm.native import let, with_place
+from shelfmill.llm.native import cutter, largest_before, let, with_place
 
 CONTEXT_CHARS = 32
 
@@ -139,23 +139,20 @@ def redacted(text: Column, found: Column) -> Column:
     def rebuilt(found: Column) -> Column:
         ends = F.transform(found, lambda s: s.stop)
 
-        def merged(ends: Column) -> Column:
+        def merged(reaches: Column) -> Column:
             # A span opens a run if none before it reaches beyond its start.
-            opens = F.filter(
-                F.transform(found, lambda s, i: F.struct(s.start.alias("start"), s.kind.alias("kind"), i.alias("i"), F.coalesce(F.array_max(F.slice(ends, F.lit(1), i)), F.lit(0)).alias("reach"))),
-                lambda s: (s.i == 0) | (s.reach <= s.start),
-            )
+            placed = F.zip_with(found, reaches, lambda s, r: F.struct(s.start.alias("start"), s.kind.alias("kind"), r.alias("reach")))
+            opens = F.filter(placed, lambda s: s.reach <= s.start)
 
-            def joined(opens: Column) -> Column:
-                def piece(s: Column, k: Column) -> Column:
-                    return F.concat(F.substring(text, s.reach + 1, s.start - s.reach), F.lit("["), F.upper(s.kind), F.lit("]"))
+            def joined(cut: Callable[[Column, Column], Column]) -> Column:
+                def piece(s: Column) -> Column:
+                    return F.concat(cut(s.reach, s.start - s.reach), F.lit("["), F.upper(s.kind), F.lit("]"))
 
-                rest = F.substring(text, F.array_max(ends) + 1, F.length(text))
-                return F.concat(F.array_join(F.transform(opens, piece), ""), rest)
+                return F.array_join(F.transform(opens, piece), "")
 
-            return let(opens, joined)
+            return F.concat(cutter(text, joined), F.substring(text, F.array_max(ends) + 1, F.length(text)))
 
-        return let(ends, merged)
+        return let(largest_before(ends), merged)
 
     return let(found, lambda f: F.when(F.size(f) > 0, rebuilt(f)).otherwise(text))
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -89,3 +90,24 @@ def test_query_on_a_table(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [base.count(k + ":") for k in PLAIN]
         assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
     assert sum(r.n_email + r.n_card for r in got) > 0
+
+
+def test_many_spans_are_redacted_in_linear_time(spark):
+    many = " ".join(f"ä{i} a{i}@b.co" for i in range(50_000))
+    overlapping = "+" + "1.1.1.1 " * 3000
+    df = spark.createDataFrame([(0, many, 0, "k"), (1, overlapping, 1, "k"), (2, "", 2, "k")], "doc_id int, text string, n int, k string")
+    start = time.monotonic()
+    got = {r.doc_id: r.text for r in pii.redact(df).select("doc_id", "text").collect()}
+    assert time.monotonic() - start < 40
+    assert got[0] == " ".join(f"ä{i} [EMAIL]" for i in range(50_000))
+    assert got[1] == plain_redaction(overlapping) and got[2] == ""
+
+
+def plain_redaction(text):
+    spans = sorted((m.start(), k, m.end(), kind) for k, (kind, p) in enumerate(PLAIN.items()) for m in re.finditer(p, text) if passes(kind, m.group()))
+    out, reach = [], 0
+    for a, _, b, kind in spans:
+        if a >= reach:
+            out.append(text[reach:a] + f"[{kind.upper()}]")
+        reach = max(reach, b)
+    return "".join(out) + text[reach:]
