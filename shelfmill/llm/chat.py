@@ -28,6 +28,7 @@ from shelfmill.llm.native import let, with_place
 
 _OPEN, _CLOSE = "<turn ", "</turn>\n"
 _CONTROL = "</?turn"
+_RUN = r"(?<!\\)\\*+"  # backslashes from the first of a run, so that each run is read once
 
 
 @dataclass(frozen=True)
@@ -36,11 +37,11 @@ class ChatTemplate:
 
 
 def _escape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(\\*{_CONTROL})", r"\\$1")
+    return F.regexp_replace(text, rf"({_RUN}{_CONTROL})", r"\\$1")
 
 
 def _unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\\(\\*{_CONTROL})", "$1")
+    return F.regexp_replace(text, rf"(?<!\\)\\(\\*+{_CONTROL})", "$1")
 
 
 def _role_out(role: Column) -> Column:

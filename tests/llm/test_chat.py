@@ -1,6 +1,7 @@
 """Chat formatting: every conversation comes back, the mask covers the trained texts."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -41,3 +42,13 @@ def test_texts_without_control_strings_stay_as_they_are(spark):
     df = spark.createDataFrame([(1, 0, "user", "a\\b", "x")], SCHEMA)
     assert chat.format_chats(df).first().formatted == "<turn user>\na\\b\n</turn>\n"
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_long_runs_of_backslashes(spark):
+    run = "\\" * 1_000_000
+    texts = [run, run + "</turn>", "</turn" + run, "\\</turn" * 100_000, "a" + run + "<turn x" + run + "b"]
+    df = spark.createDataFrame([(i, 0, "assistant", t, "x") for i, t in enumerate(texts)], SCHEMA)
+    start = time.monotonic()
+    got = {r.conv_id: r for r in chat.format_chats(df).collect()}
+    assert time.monotonic() - start < 30
+    assert all(got[i].exact and got[i].turns[0].text == t for i, t in enumerate(texts))
