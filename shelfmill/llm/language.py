@@ -12,7 +12,8 @@ so that it does not count twice. All these sums are grouped aggregates with
 partial sums before the exchange; hot hosts only meet in joins, which can be
 split.
 
-Defined cases: pages without text are judged by the other evidence; a null or
+Defined cases: a comment, script or tag that is not closed runs to the page's
+end; pages without text are judged by the other evidence; a null or
 odd address has the empty host; an unknown declaration is a value like others.
 Without any document of known language the language is null. Equal
 probabilities go to the language first in the alphabet. Repeated rows get a row
@@ -45,13 +46,23 @@ class LanguageModel:
     host_smoothing: float = 5.0
 
 
+# What is not closed runs to the page's end, so that a scan never comes back to look for a close.
+_MARKUP = (r"(?is)<script\b.*?(?:</script\s*+>|\z)", r"(?is)<style\b.*?(?:</style\s*+>|\z)", r"(?s)<!--.*?(?:-->|\z)", r"<[A-Za-z/!?][^>]*+(?:>|\z)", r"&[a-zA-Z]{2,8};")
+
+
 def visible_text(html: Column) -> Column:
-    """Text of a page: scripts, styles, comments and tags taken out."""
-    for pattern in (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->", r"<[^>]*>", r"&[a-zA-Z]{2,8};"):
+    """Text of a page: scripts, styles, comments and tags taken out; a ``<`` before anything else is text."""
+    for pattern in _MARKUP:
         html = F.regexp_replace(html, pattern, " ")
     return html
 
 
+def declared_language(html: Column) -> Column:
+    """Primary part of the ``lang`` attribute of a page's first html tag, in lower case; empty if there is none."""
+    tag = F.regexp_extract(html, r"(?i)<html\b([^>]*+)", 1)
+    return F.lower(F.regexp_extract(tag, r"(?i)(?:^|[\s\"'/])(?:xml:)?lang\s*+=\s*+[\"']?([A-Za-z]+)", 1))
+
+
 def _buckets(data: np.ndarray, offsets: np.ndarray, spec: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
     rolled = bs.byte_hash(bs.lower_ascii(data)).rolling(spec.gram)
     stop = np.repeat(offsets[1:], np.diff(offsets))
@@ -121,14 +132,13 @@ def identify(pages: DataFrame, documents: DataFrame, spec: LanguageModel = Langu
     url = F.coalesce("url", F.lit(""))
     html = F.coalesce("html", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    declared = F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
     seen = pages.select(
         "page_id",
         host.alias("host"),
-        F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
-        F.regexp_extract(host, r"\.([^.]+)$", 1).alias("suffix"),
+        F.regexp_extract(host, r"(?<![^.])([^.]++\.[^.]++)$", 1).alias("domain"),
+        F.regexp_extract(host, r"\.([^.]++)$", 1).alias("suffix"),
         F.lower(F.regexp_extract(url, r"^[^:]*://[^/?#]*/([A-Za-z]{2})(?:[/?#]|$)", 1)).alias("path"),
-        declared.alias("declared"),
+        declared_language(html).alias("declared"),
         visible_text(html).alias("text"),
     )
     if not languages:

@@ -1,6 +1,9 @@
 """Language of pages: accuracy, the pull of each kind of evidence, odd inputs."""
 
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from shelfmill.llm import language
 from shelfmill.llm.queries import op9_language_id
@@ -41,3 +44,31 @@ def test_without_languages_or_pages(spark):
     nothing = documents(spark).limit(0)
     assert language.identify(pages, nothing).first().lang is None
     assert language.identify(pages.limit(0), documents(spark)).count() == 0
+
+
+def test_markup_is_taken_out(spark):
+    cases = [
+        ("a<script>x</script >b<style>y</style>c<!-- d --> e<p class='f'>g&amp;h", "a b c  e g h"),
+        ("1 < 2 <b>3", "1 < 2  3"),
+        ("a<!-- never closed <p>b", "a "),
+        ("a<script>never closed", "a "),
+        ("a<p never closed", "a "),
+    ]
+    df = spark.createDataFrame(cases, "html string, expected string")
+    assert all(r.got == r.expected for r in df.select("expected", language.visible_text(F.col("html")).alias("got")).collect())
+    tags = [("<html lang=en>", "en"), ("<HTML data-x='1' LANG = 'FR-ca'>", "fr"), ('<html data-lang="de">', ""), ('<html class="x"lang="it">', "it"), ('<html xml:lang="es">', "es"), ("<html><p lang=en>", ""), ("", "")]
+    df = spark.createDataFrame(tags, "html string, expected string")
+    assert all(r.got == r.expected for r in df.select("expected", language.declared_language(F.col("html")).alias("got")).collect())
+
+
+def test_hostile_pages_are_read_in_linear_time(spark):
+    size = 1_000_000
+    units = ["<", "<a", "<!--", "<script ", "<style", "<html ", "<html lang", "lang ", "</script ", "&am"]
+    df = spark.createDataFrame([(u * (size // len(u)),) for u in units], "html string").repartition(len(units))
+    start = time.monotonic()
+    df.select(language.visible_text(F.col("html")).alias("t"), language.declared_language(F.col("html")).alias("d")).agg(F.sum(F.length("t")), F.max("d")).collect()
+    assert time.monotonic() - start < 20
+    pages = spark.createDataFrame([(1, "http://" + "a" * size, ""), (2, "http://" + "a." * (size // 2) + "fr", "")], "page_id long, url string, html string")
+    start = time.monotonic()
+    assert language.identify(pages, documents(spark)).count() == 2
+    assert time.monotonic() - start < 40
