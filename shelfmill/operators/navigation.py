@@ -12,7 +12,7 @@ from shelfmill.functions.urls import resolve_url
 from shelfmill.operators.dom import all_matches, first_match
 from shelfmill.operators.running import catalogue_cut
 from shelfmill.schemas import DEFAULT_PAGE_END, DEFAULT_PAGE_START
-from shelfmill.session import cut_lineage
+from shelfmill.session import cut_lineage, stored
 
 
 def expand_pattern(
@@ -71,6 +71,13 @@ def single_page(pages: DataFrame, seed: str) -> DataFrame:
     return pages.where(F.col("url") == seed).withColumn("page_num", F.lit(1).cast("bigint"))
 
 
+def single_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The pages of a table of seeds, each a catalogue of its own."""
+    wanted = seeds.select(F.col("seed").alias("url")).distinct()
+    own = pages.join(wanted, "url", "left_semi").select(*pages.columns)
+    return own.withColumn("catalogue", F.col("url")).withColumn("page_num", F.lit(1).cast("bigint"))
+
+
 STATUSES = ("ok", "error", "timeout")
 
 
@@ -171,10 +178,46 @@ def follow_links(links: DataFrame, seeds: DataFrame, max_doublings: int = 40) ->
     raise RuntimeError(f"walk not finished after {max_doublings} doublings")
 
 
+def nearest_seeds(links: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Every page that a seed leads to, once, with the nearest seed before it.
+
+    Input: ``links(url, next_url)`` with one row per URL and ``seeds(seed)``.
+    Output: seed, url, position (0 for the seed). Of two seeds as near the
+    smaller counts. Walks that meet, seeds inside other walks and cycles add no
+    rows: the result has a row for each URL at most.
+
+    Pointer doubling with jumps of 2^k steps in round k, after which all pages
+    less than 2^(k+1) steps behind a seed are settled. A jump to a settled page
+    can bring it nothing nearer and leads on to nothing that page does not lead
+    to, so only jumps to pages still open are kept.
+    """
+    known = links.select("url").distinct()
+    settled = seeds.select(F.col("seed").alias("url"), "seed").distinct()
+    settled = settled.join(known, "url", "left_semi").withColumn("position", F.lit(0).cast("bigint"))
+    settled = new = stored(settled, "settled")
+    inner = links.select("url", "next_url").join(known.withColumnRenamed("url", "next_url"), "next_url", "left_semi")
+    jump, step = stored(_open_jumps(inner, new), "jumps"), 1
+    while True:
+        reached = F.struct((F.col("position") + step).alias("position"), "seed")
+        new = jump.join(settled, "url").groupBy(F.col("next_url").alias("url")).agg(F.min(reached).alias("_to"))
+        new = stored(new.select("url", "_to.seed", "_to.position"), "settled")
+        if not new.take(1):
+            return settled.select("seed", "url", "position")
+        settled = settled.unionByName(new)
+        hop = jump.select(F.col("url").alias("next_url"), F.col("next_url").alias("far"))
+        longer = jump.join(hop, "next_url").select("url", F.col("far").alias("next_url"))
+        jump, step = stored(_open_jumps(longer, new), "jumps"), 2 * step
+
+
+def _open_jumps(jumps: DataFrame, settled: DataFrame) -> DataFrame:
+    return jumps.join(settled.select(F.col("url").alias("next_url")), "next_url", "left_anti").select("url", "next_url")
+
+
 def walk_next_links(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """Walk that also ends before the first page without cards.
 
-    A link into or out of a page without cards is not followed.
+    A link into or out of a page without cards is not followed. Of several
+    seeds each page belongs to the nearest one before it.
     """
     with_cards = links.where(F.col("n_cards") > 0)
-    return follow_links(with_cards.select("url", "next_url"), seeds)
+    return nearest_seeds(with_cards.select("url", "next_url"), seeds)

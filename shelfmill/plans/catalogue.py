@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Literal
@@ -34,6 +35,7 @@ from shelfmill.operators.navigation import (
     page_status,
     pattern_pages,
     single_page,
+    single_pages,
     walk_next_links,
 )
 from shelfmill.operators.rows import import_rows, n_rows
@@ -42,6 +44,7 @@ from shelfmill.operators.variants import merge_axes
 from shelfmill.operators.stats import failed_urls, run_stats
 from shelfmill.schemas import DEFAULT_LIMIT, DEFAULT_PAGE_END, DEFAULT_PAGE_START
 from shelfmill.session import cut_lineage, stored
+from shelfmill.sinks.commits import commit_run, committed_handles, run_folder
 from shelfmill.sinks.files import (
     derive_review_path,
     write_failed_urls,
@@ -119,21 +122,29 @@ def _latest_facts(facts: DataFrame) -> DataFrame:
     return latest.select("base", "_page.*")
 
 
-def _walked_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> DataFrame:
-    """Facts of the visited pages, numbered in walk order."""
+def _walked_facts(
+    pages: DataFrame, job: CatalogueJob, sels: dict[str, str], seeds: DataFrame | None = None
+) -> DataFrame:
+    """Facts of the visited pages, numbered in walk order.
+
+    With a table of seeds each seed is a catalogue; a page that several walks
+    reach belongs to the nearest seed before it.
+    """
     if job.url_pattern:
         numbered = pattern_pages(pages, job.url_pattern, job.page_start, job.page_end)
         return _latest_facts(_page_facts(numbered, job, sels))
     if job.next_selector:
-        if not job.seed:
+        if seeds is None and not job.seed:
             raise ValueError("following next links needs a seed")
         facts = _latest_facts(_page_facts(pages, job, sels))
         links = facts.select(F.col("base").alias("url"), "next_url", "n_cards")
-        seeds = pages.sparkSession.range(1).select(F.lit(job.seed).alias("seed"))
-        walk = walk_next_links(links, seeds).select(
-            F.col("url").alias("base"), (F.col("position") + 1).alias("page_num")
-        )
-        return facts.drop("page_num").join(walk, "base")
+        of_job = pages.sparkSession.range(1).select(F.lit(job.seed).alias("seed"))
+        walk = walk_next_links(links, of_job if seeds is None else seeds)
+        catalogue = [] if seeds is None else [F.col("seed").alias("catalogue")]
+        walk = walk.select(F.col("url").alias("base"), (F.col("position") + 1).alias("page_num"), *catalogue)
+        return facts.drop(*walk.drop("base").columns).join(walk, "base")
+    if seeds is not None:
+        return _latest_facts(_page_facts(single_pages(pages, seeds), job, sels))
     if job.seed:
         return _latest_facts(_page_facts(single_page(pages, job.seed), job, sels))
     return _page_facts(pages, job, sels)
@@ -144,10 +155,11 @@ def accepted_cards(
     job: CatalogueJob,
     exported: DataFrame | None,
     products: DataFrame | None,
+    seeds: DataFrame | None = None,
 ) -> DataFrame:
     """New cards of the walk, with duplicates and exported handles removed."""
     sels = build_selectors(job.selectors)
-    facts = _walked_facts(pages, job, sels)
+    facts = _walked_facts(pages, job, sels, seeds)
     found = finish_cards(explode_records(facts, "cards", *CARD_PAGE))
     found = found.withColumn("handle", card_handle("title", card_name()))
     if job.dedup == "first":
@@ -184,17 +196,19 @@ def build_catalogue(
     exported: DataFrame | None = None,
     product_table: DataFrame | None = None,
     formatter: BatchFormatter | None = None,
+    seeds: DataFrame | None = None,
 ) -> CatalogueResult:
     """Run the job on a page table without writing files.
 
     ``product_table`` may hold product records extracted earlier; otherwise
-    they come from ``pages``.
+    they come from ``pages``. ``seeds`` (column ``seed``) may name any number
+    of catalogues in place of the job's one seed.
     """
     sels = build_selectors(job.selectors)
     products = product_table if job.use_product_pages else None
     if job.use_product_pages and job.dedup == "sequential" and products is None:
         products = cut_lineage(one_per_url(product_pages(loaded(pages), sels, job.strict_axes)))
-    new = accepted_cards(pages, job, exported, products)
+    new = accepted_cards(pages, job, exported, products, seeds)
     if job.limit is not None:
         # Each product has a row at least, so no card behind these can pass.
         new = cut_lineage(limit_products(new, job.limit, "products"))
@@ -235,25 +249,34 @@ def export_catalogue(
     summary_path: str | None = None,
     profile: str = "full",
     files: int | None = None,
+    seeds: DataFrame | None = None,
+    as_unit: bool = False,
 ) -> CatalogueResult:
     """Run the job and write both CSV outputs.
 
     A fresh run replaces both; a resumed run skips exported handles and
-    appends to both.
+    appends to both. With ``as_unit`` both become visible together or not at
+    all, and are read by ``read_committed``.
     """
     started_at = datetime.now(timezone.utc)
-    exported = exported_handles(pages.sparkSession, output) if job.resume else None
-    if exported is not None:
+    spark = pages.sparkSession
+    exported = None
+    if job.resume:
         # The append below changes the folder this table reads.
-        exported = cut_lineage(exported)
-    result = build_catalogue(pages, job, exported, formatter=formatter)
+        exported = cut_lineage(committed_handles(spark, output) if as_unit else exported_handles(spark, output))
+    result = build_catalogue(pages, job, exported, formatter=formatter, seeds=seeds)
     if profile.startswith("single_axis"):
         # The older files have one option axis: all values of a variant in one.
         merged = result.products.withColumn("variants", merge_axes(F.col("variants")))
         result = replace(result, rows=import_rows(merged))
     mode = "append" if job.resume else "overwrite"
-    write_import(result.rows, output, mode, profile, files)
-    write_review(result.rows, derive_review_path(output), mode, profile, files)
+    paths = [output, derive_review_path(output)]
+    run = uuid.uuid4().hex
+    import_path, review_path = [run_folder(p, run) for p in paths] if as_unit else paths
+    write_import(result.rows, import_path, mode, profile, files)
+    write_review(result.rows, review_path, mode, profile, files)
+    if as_unit:
+        commit_run(spark, output, run, fresh=not job.resume)
     if failed_path:
         write_failed_urls(result.failed, failed_path, mode)
     if summary_path:

@@ -9,6 +9,8 @@ from __future__ import annotations
 import posixpath
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,15 @@ from shelfmill.operators import running, stats, variants
 from shelfmill.plans.catalogue import CatalogueJob, build_catalogue, export_catalogue
 from shelfmill.schemas import DEFAULT_PRICE, VARIANT_FIELDS
 from shelfmill.session import cut_lineage, ensure_checkpoint_dir, spread, tune
-from shelfmill.sinks.files import append_to_export, derive_review_path, write_import, write_review
+from shelfmill.sinks import commits
+from shelfmill.sinks.files import (
+    append_to_export,
+    derive_review_path,
+    write_failed_urls,
+    write_import,
+    write_review,
+    write_summary,
+)
 from shelfmill.sources.tables import (
     exported_handles,
     read_export,
@@ -28,7 +38,8 @@ from shelfmill.sources.tables import (
     read_seeds,
     stream_pages,
 )
-from shelfmill.streaming.export import start_export, start_handle_export
+from shelfmill.streaming.export import distinct_handles as stream_distinct_handles
+from shelfmill.streaming.export import start_export, start_handle_export, use_disk_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -367,6 +378,31 @@ def export_and_resume(spark, sf_dir):
     )
 
 
+@query
+def committed_export(spark, sf_dir):
+    """Half of the lists exported, then a run that died between its files, then a resumed run.
+
+    What the dead run wrote of the second half is not read; the resumed run writes it to both files.
+    """
+    output = posixpath.join(_scratch(spark), "upload.csv")
+    crawl = _part_crawl(spark, sf_dir)
+    n = _table(spark, sf_dir, "part").count()
+    job = CatalogueJob(limit=None, url_pattern="https://shop.example/list/{}", page_end=n // 2)
+    export_catalogue(crawl, output, job, as_unit=True)
+    rest = replace(job, resume=True, page_start=n // 2 + 1, page_end=n)
+    lost = build_catalogue(crawl, rest, commits.committed_handles(spark, output))
+    write_import(lost.rows, commits.run_folder(output, "died"))
+    export_catalogue(crawl, output, rest, files=4, as_unit=True)
+    written = commits.read_committed(spark, output).na.fill("")
+    review = commits.read_committed(spark, output, derive_review_path(output)).na.fill("")
+    titles = review.groupBy(F.col("Product Handle (URL Slug)").alias("Handle")).agg(
+        F.count("*").alias("n_review_rows")
+    )
+    return written.join(titles, "Handle").select(
+        "Handle", "Title", "Body (HTML)", "Option1 Name", "Option1 Value", "Variant Price", "Image Src", "n_review_rows"
+    )
+
+
 @query
 def seed_list(spark, sf_dir):
     """A written seed list with odd lines: usable seeds and rejects."""
@@ -1234,6 +1270,25 @@ def next_chain(spark, sf_dir):
     return navigation.follow_links(links, seeds)
 
 
+@query
+def converging_seeds(spark, sf_dir):
+    """Chains of 500 parts that suppliers lead into; parts of size 1 and every second supplier are seeds."""
+    part, supplier = _table(spark, sf_dir, "part"), _table(spark, sf_dir, "supplier")
+    n = part.agg(F.max("p_partkey")).scalar()
+    parts = part.select(
+        _cat("/p/", _str("p_partkey")).alias("url"),
+        F.when(F.col("p_partkey") % 500 != 0, _cat("/p/", (F.col("p_partkey") + 1).cast("string"))).alias("next_url"),
+        (F.col("p_size") == 1).alias("is_seed"),
+    )
+    suppliers = supplier.select(
+        _cat("/s/", _str("s_suppkey")).alias("url"),
+        _cat("/p/", (F.col("s_suppkey") * 37 % n + 1).cast("string")).alias("next_url"),
+        (F.col("s_suppkey") % 2 == 0).alias("is_seed"),
+    )
+    links = cut_lineage(parts.unionByName(suppliers))
+    return navigation.nearest_seeds(links, links.where("is_seed").select(F.col("url").alias("seed")))
+
+
 def _run_products(spark, sf_dir) -> DataFrame:
     return _order_sizes(spark, sf_dir).select(
         "seq",
@@ -1253,6 +1308,39 @@ def run_failures(spark, sf_dir):
     return stats.failed_urls(_run_products(spark, sf_dir))
 
 
+@query
+def failed_file(spark, sf_dir):
+    """URLs of failed pages, written one a line and read back."""
+    path = _scratch(spark)
+    write_failed_urls(stats.failed_urls(_run_products(spark, sf_dir)), path)
+    return spark.read.text(path).withColumnRenamed("value", "url")
+
+
+@query
+def summary_file(spark, sf_dir):
+    """Counters of two runs appended to one table, with how many runs it holds."""
+    path = _scratch(spark)
+    products = _run_products(spark, sf_dir)
+    for part in (products.where(~F.col("used_ai")), products):
+        made = stats.run_stats(part, 20_000)
+        write_summary(made, path, datetime.now(timezone.utc))
+    runs = spark.read.schema(made.schema.add("finished_at", "timestamp")).json(path)
+    return runs.where("finished_at is not null").drop("finished_at")
+
+
+@query
+def distinct_handles(spark, sf_dir):
+    """Handles of a stream of pages, kept once in operator state on disk."""
+    folder = _scratch(spark)
+    use_disk_state(spark)
+    titles = _page_titles(stream_pages(spark, sf_dir, glob="pages.parquet"))
+    cards = titles.select(text.slugify("title").alias("handle"))
+    written = posixpath.join(folder, "handles")
+    stream = stream_distinct_handles(cards).writeStream.format("parquet").trigger(availableNow=True)
+    stream.option("checkpointLocation", posixpath.join(folder, "state")).start(written).awaitTermination()
+    return spark.read.schema("handle string").parquet(written)
+
+
 @query
 def acceptance_chain(spark, sf_dir):
     """Every part records the handle of the next one, so each hangs on the part before it."""

@@ -50,12 +50,12 @@ def stream_pages(
     return conform_pages(stream.parquet(path))
 
 
-def _empty_handles(spark: SparkSession) -> DataFrame:
+def empty_handles(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "handle string")
 
 
-def read_export(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
-    """A written import or review file, every column as string."""
+def read_export(spark: SparkSession, path: str | list[str], format: str = "csv") -> DataFrame:
+    """A written import or review file, or several, every column as string."""
     reader = spark.read
     if format == "csv":
         reader = reader.options(
@@ -71,6 +71,14 @@ def read_export(spark: SparkSession, path: str, format: str = "csv") -> DataFram
     return df.withColumnRenamed(first, first.lstrip(BOM)) if first.startswith(BOM) else df
 
 
+def export_handles(export: DataFrame, column: str = IMPORT_COLUMNS[0]) -> DataFrame:
+    """Distinct handles of a read export; without their column an empty set."""
+    if column not in export.columns:
+        return empty_handles(export.sparkSession)
+    handle = F.col(column).cast("string").alias("handle")
+    return export.select(handle).where(F.col("handle").isNotNull()).distinct()
+
+
 def exported_handles(
     spark: SparkSession, path: str, column: str = IMPORT_COLUMNS[0], format: str = "csv"
 ) -> DataFrame:
@@ -81,14 +89,8 @@ def exported_handles(
     try:
         export = read_export(spark, path, format)
     except AnalysisException:
-        return _empty_handles(spark)
-    if column not in export.columns:
-        return _empty_handles(spark)
-    return (
-        export.select(F.col(column).cast("string").alias("handle"))
-        .where(F.col("handle").isNotNull())
-        .distinct()
-    )
+        return empty_handles(spark)
+    return export_handles(export, column)
 
 
 def read_seeds(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from shelfmill.operators import dom, running
+from shelfmill.plans import catalogue
 from shelfmill.plans.catalogue import CatalogueJob, build_catalogue, export_catalogue
 from shelfmill.plans.oracle import ORACLE_SQL
 from shelfmill.plans.queries import QUERIES
 from shelfmill.schemas import IMPORT_COLUMNS, REVIEW_COLUMNS
+from shelfmill.sinks import commits
 from shelfmill.sinks.files import derive_review_path, write_failed_urls
-from shelfmill.sources.tables import exported_handles, page_schema, read_pages, read_seeds, stream_pages
+from shelfmill.sources.tables import exported_handles, page_schema, read_export, read_pages, read_seeds, stream_pages
 from shelfmill.streaming.export import distinct_handles, start_export, use_disk_state
 
 SHOP = "https://shop.example"
@@ -121,6 +123,60 @@ def test_resume_equals_one_run(spark, tmp_path):
     assert len(read_csv(split)) == fresh.rows.count() == len(read_csv(derive_review_path(split)))
 
 
+def test_a_run_that_dies_between_its_files_is_not_seen(spark, tmp_path, monkeypatch):
+    names = ["Ant", "Bee", "Cat"]
+    both, out = unique_titles(spark, names), str(tmp_path / "upload.csv")
+    job = CatalogueJob(limit=None)
+    resumed = CatalogueJob(limit=None, resume=True)
+
+    def rows(path):
+        return sorted(tuple(r) for r in commits.read_committed(spark, out, path).na.fill("").collect())
+
+    def die(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    assert commits.read_committed(spark, out) is None and commits.committed_handles(spark, out).count() == 0
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError, match="lost"):
+        broken.setattr(catalogue, "write_review", die)
+        export_catalogue(both, out, job, as_unit=True)
+    assert commits.read_committed(spark, out) is None
+    export_catalogue(unique_titles(spark, names[:1]), out, resumed, as_unit=True)
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError, match="lost"):
+        broken.setattr(catalogue, "write_review", die)
+        export_catalogue(both, out, resumed, as_unit=True)
+    assert len({r[0] for r in rows(out)}) == 1
+    export_catalogue(both, out, resumed, as_unit=True)
+    export_catalogue(both, out, resumed, as_unit=True)  # nothing new
+    once = str(tmp_path / "once.csv")
+    export_catalogue(both, once, job)
+    assert rows(out) == sorted(tuple(r) for r in read_export(spark, once).na.fill("").collect())
+    review = derive_review_path(out)
+    assert rows(review) == sorted(tuple(r) for r in read_export(spark, derive_review_path(once)).na.fill("").collect())
+    assert len(commits.committed_runs(spark, out)) == 3
+    export_catalogue(unique_titles(spark, names[:1]), out, job, as_unit=True)  # a fresh run replaces all
+    assert len(commits.committed_runs(spark, out)) == 1 and {r[0] for r in rows(out)} == {"ant"}
+
+
+def test_several_seeds(spark):
+    def page(n, names, link=""):
+        return (f"{SHOP}/l/{n}", list_page(names) + link)
+
+    pages = crawl(spark, [
+        page("a1", ["Ant"], '<a class="next" href="a2">n</a>'),
+        page("a2", ["Bee"], '<a class="next" href="a3">n</a>'),
+        page("a3", ["Cat", "Ant"]),
+        page("b1", ["Dog", "Cat"], '<a class="next" href="a3">n</a>'),
+        page("c1", ["Elk"]),
+    ])
+    seeds = spark.createDataFrame([(f"{SHOP}/l/a1",), (f"{SHOP}/l/b1",), (f"{SHOP}/l/none",)], "seed string")
+    job = CatalogueJob(limit=None, next_selector="a.next", use_product_pages=False)
+    got = build_catalogue(pages, job, seeds=seeds).products.orderBy("seq").collect()
+    # Page a3 is nearer to b1, so it is the second page of that catalogue.
+    assert [(r.title, r.seq.catalogue[-2:], r.page_num) for r in got] == [("Ant", "a1", 1), ("Bee", "a1", 2), ("Dog", "b1", 1), ("Cat", "b1", 1)]
+    single = build_catalogue(pages, CatalogueJob(limit=None, use_product_pages=False), seeds=seeds).products.orderBy("seq")
+    assert [r.title for r in single.collect()] == ["Ant", "Dog", "Cat"]
+
+
 def test_next_link_walk(spark):
     def page(n, names, link):
         return (f"{SHOP}/l/{n}", list_page(names) + link)

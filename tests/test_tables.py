@@ -173,6 +173,34 @@ def test_follow_links(spark):
     assert "missing" not in got
 
 
+def test_nearest_seeds_match_a_plain_walk(spark):
+    rng = random.Random(12)
+    for case in range(4):
+        n = 120
+        nexts = {i: rng.choice([None, rng.randrange(n), i + 1, i + 1, i + 1]) for i in range(n)}
+        chosen = rng.sample(range(n + 5), (3, 20, 60, 1)[case])
+        links = spark.createDataFrame([(f"u{i}", None if j is None else f"u{j}") for i, j in nexts.items()], "url string, next_url string")
+        seeds = spark.createDataFrame([(f"u{i}",) for i in chosen] * 2 + [(None,)], "seed string")
+        expected = {}
+        for seed in chosen:
+            at, position, seen = seed, 0, set()
+            while at in nexts and at not in seen:
+                seen.add(at)
+                expected[f"u{at}"] = min(expected.get(f"u{at}", (n, "")), (position, f"u{seed}"))
+                at, position = nexts[at], position + 1
+        rows = navigation.nearest_seeds(links, seeds).collect()
+        assert len(rows) == len(expected)
+        assert {r.url: (r.position, r.seed) for r in rows} == expected
+    assert navigation.nearest_seeds(links, seeds.limit(0)).count() == 0
+
+
+def test_many_seeds_on_one_chain_give_a_row_per_page(spark):
+    chain = spark.range(301).select(F.format_string("u%03d", "id").alias("url"), F.when(F.col("id") < 300, F.format_string("u%03d", F.col("id") + 1)).alias("next_url"))
+    seeds = chain.limit(100).select(F.col("url").alias("seed"))
+    got = navigation.nearest_seeds(chain, seeds).orderBy("url").collect()
+    assert [(r.seed, r.position) for r in got] == [(f"u{min(i, 99):03d}", max(0, i - 99)) for i in range(301)]
+
+
 def test_walk_stops_before_a_page_without_cards(spark):
     df = spark.createDataFrame(
         [("a", "b", 3), ("b", "c", 1), ("c", "d", 0), ("d", None, 4)],
