@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from shelfmill.session import stored
 
 
-
 @dataclass(frozen=True)
 class Fold:
     """Rows whose crc32 of the doc_id as text leaves ``remainder`` by ``modulus`` are held out."""
@@ -33,7 +32,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fold: F
     """At most ``per_class`` labelled texts of each class, the first by a hash of the doc_id.
 
     Rows of the held-out fold and rows without an id or label are left out. Of
-    several labels of one id the largest counts, of several texts any one.
+    several labels of one id the largest counts, of several texts the non-null one
+    with the smallest hash.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~fold.held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
@@ -41,5 +41,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fold: F
     order = [F.xxhash64("doc_id", F.lit(label)), F.col("doc_id")]
     chosen = [known.where(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])  # at most 2 * per_class pairs of numbers: small enough to send
-    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    return Sample(stored(texts.select("doc_id", "label", "text"), f"sample-{label}"), totals)
+    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    first = F.min(F.struct(F.col("text").isNull(), F.xxhash64("text"), F.col("text").alias("text")))
+    texts = texts.groupBy("doc_id", "label").agg(first.alias("first")).select("doc_id", "label", "first.text")
+    return Sample(stored(texts, f"sample-{label}"), totals)
