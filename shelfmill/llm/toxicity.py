@@ -10,9 +10,10 @@ over all documents.
 
 The examples form a block-max inverted index: the postings of a term are kept
 by blocks of examples, with the largest weight in each block. A text is held
-against the blocks in descending order of the bound that these maxima give; it
-stops where no block can hold one of the ``neighbours`` nearest any more, so
-the result is that of comparing all examples. Their votes count by the square of the
+against the few blocks with the highest bounds that these maxima give, and then
+only against those that can still hold one of the ``neighbours`` nearest, so
+the result is that of comparing all examples; many texts are held against a
+block at once. Their votes count by the square of the
 cosine, and by class so that the sample's shares become those of all labelled
 rows; with a weak prior the share of toxic votes is the score. The index's size
 is bounded by the sample.
@@ -156,51 +157,84 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class BlockMaxIndex:
-    """Inverted index of weighted examples by blocks, with exact nearest neighbours."""
+    """Inverted index of weighted examples by blocks, with exact nearest neighbours.
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int):
+    Examples with the same strongest term lie together, so that blocks differ.
+    Terms that come in over ``common`` of the examples are held as dense rows
+    with the largest weight in each block; they are read only in blocks that
+    may still hold a nearest example. Postings of the other terms are short.
+    """
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int, common: float = 1 / 24):
         """``vectors``: terms and weights of each example."""
-        self.block, self.examples = block, len(vectors)
-        self.blocks = -(-len(vectors) // block)
-        sizes = [len(ids) for ids, _ in vectors]
-        term, weight = (np.concatenate([v[k] for v in vectors]) if vectors else np.zeros(0, kind) for k, kind in ((0, np.int64), (1, np.float64)))
-        example = np.repeat(np.arange(len(vectors)), sizes)
-        order = np.lexsort((example, term))
-        term, self.weight, self.example = term[order], weight[order], example[order]
-        # An entry holds the postings of a term in a block, which lie together.
-        key = term * max(self.blocks, 1) + self.example // block
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        self.postings = np.append(starts, len(key))
-        self.entry_block = self.example[starts] // block
-        self.most = np.maximum.reduceat(self.weight, starts) if len(starts) else np.zeros(0)  # block maxima
-        self.entries = np.searchsorted(term[starts], np.arange(terms + 1))
+        self.examples = n = len(vectors)
+        self.blocks, self.block = -(-n // block), block
+        term, weight = (np.concatenate([v[k] for v in vectors]) if n else np.zeros(0, kind) for k, kind in ((0, np.int64), (1, np.float64)))
+        example = np.repeat(np.arange(n), [len(ids) for ids, _ in vectors])
+        used = np.bincount(term, minlength=terms)
+        rarer = used * 2 <= n
+        strongest = [int(ids[np.argmax(w * rarer[ids])]) if len(ids) else terms for ids, w in vectors]
+        self.number = np.argsort(strongest, kind="stable")  # the example at each place
+        place = np.argsort(self.number)[example]
+        dense = used > common * n
+        self.row = np.where(dense, np.cumsum(dense) - 1, -1)
+        self.rows = np.zeros((self.blocks, int(dense.sum()), block))
+        of_row = dense[term]
+        self.rows[place[of_row] // block, self.row[term[of_row]], place[of_row] % block] = weight[of_row]
+        self.most = self.rows.max(2, initial=0.0).T.copy()  # block maxima
+        term, place, weight = term[~of_row], place[~of_row], weight[~of_row]
+        order = np.lexsort((place, term))
+        self.place, self.weight = place[order], weight[order]
+        self.postings = np.searchsorted(term[order], np.arange(terms + 1))
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` nearest examples and their cosines, ties to the smaller number."""
-        entry, own = _ranges(self.entries[ids], self.entries[ids + 1])
-        own, block = weights[own], self.entry_block[entry]
-        bounds = np.bincount(block, own * self.most[entry], minlength=self.blocks)
-        order = np.argsort(-bounds, kind="stable")
-        best, scores = np.zeros(0, np.int64), np.zeros(0)
-        first, width = 0, 4
-        while first < len(order):
-            some = order[first : first + width]
-            if len(best) == k:
-                some = some[bounds[some] >= scores[-1] - 1e-9]
-                if not len(some):
-                    break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[some] = True
-            at = np.flatnonzero(chosen[block])
-            posting, part = _ranges(self.postings[entry[at]], self.postings[entry[at] + 1])
-            cosine = np.bincount(self.example[posting], own[at][part] * self.weight[posting], minlength=self.examples)
-            number = (some[:, None] * self.block + np.arange(self.block)).ravel()
-            number = number[number < self.examples]
-            best, scores = np.append(best, number), np.append(scores, np.round(cosine[number], 9))
-            top = np.lexsort((best, -scores))[:k]
-            best, scores = best[top], scores[top]
-            first, width = first + width, 2 * width
-        return best, scores
+        """The ``k`` nearest examples of a text and their cosines, ties to the smaller number."""
+        return self.nearest_of_all(np.zeros(len(ids), np.int64), ids, weights, 1, k)[1:]
+
+    def nearest_of_all(self, text: np.ndarray, ids: np.ndarray, weights: np.ndarray, texts: int, k: int, at_once: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, example, cosine) of the ``k`` nearest of each text, nearest first; ``text`` is sorted."""
+        k = min(k, self.examples)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for first in range(0, texts if k else 0, at_once):
+            last = min(first + at_once, texts)
+            a, b = np.searchsorted(text, (first, last))
+            own, example, cosine = self._nearest(text[a:b] - first, ids[a:b], weights[a:b], last - first, k)
+            found.append((own + first, example, cosine))
+        text, example, cosine = (np.concatenate(part) for part in zip(*found, strict=True))
+        return text, example, cosine
+
+    def _nearest(self, text: np.ndarray, ids: np.ndarray, weights: np.ndarray, texts: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = self.blocks * self.block
+        row = self.row[ids]
+        dense = row >= 0
+        query = np.zeros((texts, len(self.most)))
+        query[text[dense], row[dense]] = weights[dense]
+        text, ids, weights = text[~dense], ids[~dense], weights[~dense]
+        at, part = _ranges(self.postings[ids], self.postings[ids + 1])
+        rare = np.bincount(text[part] * size + self.place[at], weights[part] * self.weight[at], minlength=texts * size)
+        rare = rare.reshape(texts, self.blocks, self.block)
+        bounds = rare.max(2) + query @ self.most
+        cosine = np.full(rare.shape, -np.inf)
+
+        def read(wanted: np.ndarray) -> np.ndarray:
+            """Cosines in the wanted blocks; the ``k``th best of each text so far."""
+            for block in np.flatnonzero(wanted.any(0)):
+                some = np.flatnonzero(wanted[:, block])
+                exact = rare[some, block] + query[some] @ self.rows[block]
+                cosine[some, block, : self.examples - block * self.block] = np.round(exact, 9)[:, : self.examples - block * self.block]
+            return np.partition(cosine.reshape(texts, size), size - k, axis=1)[:, size - k]
+
+        best = min(self.blocks, 2 + -(-k // self.block))
+        wanted = np.zeros(bounds.shape, bool)
+        np.put_along_axis(wanted, np.argpartition(-bounds, best - 1, axis=1)[:, :best], True, axis=1)
+        least = read(wanted)
+        least = read(~wanted & (bounds >= least[:, None] - 1e-9))
+        own, place = np.nonzero(cosine.reshape(texts, size) >= least[:, None])
+        value, example = cosine.reshape(texts, size)[own, place], self.number[place]
+        order = np.lexsort((example, -value, own))
+        own = own[order]
+        kept = np.arange(len(own)) - np.searchsorted(own, np.arange(texts))[own] < k
+        return own[kept], example[order][kept], value[order][kept]
 
 
 @dataclass
@@ -214,21 +248,16 @@ class Model:
     prior: float
 
 
-def _vectors(found: tuple[np.ndarray, np.ndarray, np.ndarray], words: np.ndarray, unseen: np.ndarray, idf: np.ndarray, spec: NearestExamples) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Terms and weights of each text; ``idf`` is scaled, its last place is for the ``unseen`` words."""
+def _vectors(found: tuple[np.ndarray, np.ndarray, np.ndarray], words: np.ndarray, unseen: np.ndarray, idf: np.ndarray, spec: NearestExamples) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, weight), by text; ``idf`` is scaled, its last place is for the ``unseen`` words."""
     text, term, count = found
-    cuts = np.searchsorted(text, np.arange(len(words) + 1))
-    weight = (1 + np.log(count)) * idf[term]
-    rest = spec.background * np.log1p(words)
-    unseen = unseen * idf[-1] ** 2
-    out = []
-    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        if not words[k]:
-            out.append((term[:0], weight[:0]))
-            continue
-        w = np.append(weight[a:b], rest[k])
-        out.append((np.append(term[a:b], len(idf) - 1), w / np.sqrt((w * w).sum() + unseen[k])))
-    return out
+    some = np.flatnonzero(words)
+    text, term = np.append(text, some), np.append(term, np.full(len(some), len(idf) - 1))
+    weight = np.append((1 + np.log(count)) * idf[found[1]], spec.background * np.log1p(words[some]))
+    length = np.sqrt(np.bincount(text, weight**2, minlength=len(words)) + unseen * idf[-1] ** 2)
+    order = np.argsort(text, kind="stable")
+    text, term, weight = text[order], term[order], weight[order]
+    return text, term, weight / length[text]
 
 
 def fit(documents: DataFrame, sample: Sample, spec: NearestExamples) -> Model:
@@ -252,7 +281,9 @@ def fit(documents: DataFrame, sample: Sample, spec: NearestExamples) -> Model:
     rows = [r for r in rows if r.words]
     text = np.repeat(np.arange(len(rows)), [len(r.terms) // 4 for r in rows])
     term, n = (np.frombuffer(b"".join(r[name] for r in rows), np.int32).astype(np.int64) for name in ("terms", "counts"))
-    vectors = _vectors((text, term, n), np.array([r.words for r in rows], np.int64), np.zeros(len(rows)), idf, spec)
+    text, term, weight = _vectors((text, term, n), np.array([r.words for r in rows], np.int64), np.zeros(len(rows)), idf, spec)
+    cuts = np.searchsorted(text, np.arange(len(rows) + 1))
+    vectors = [(term[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
     toxic = np.array([r.label for r in rows], np.int64)
     used = np.bincount(toxic, minlength=2)
     total = np.array([sample.totals[0], sample.totals[1]])
@@ -268,22 +299,26 @@ def score(text: Column | str, documents: DataFrame, model: Model, spec: NearestE
     @F.arrow_udf("struct<score:double,evidence:array<struct<doc_id:long,cosine:double,toxic:int>>>")
     def nearest(texts: pa.Array) -> pa.Array:
         model = shared.value
-        out = []
+        scores, evidence, sizes = [np.zeros(0)], [(np.zeros(0, np.int64), np.zeros(0))], [np.zeros(0, np.int64)]
         for first, last, data, offsets in bs.blocks(texts):
             found, owner, words = _terms(data, offsets, spec)
-            n = words.sum()  # the words come before their beginnings
-            unseen = model.vocabulary.unseen(found[:n], owner[:n], last - first)
-            for ids, weights in _vectors(model.vocabulary.known(found, owner, last - first), words, unseen, model.idf, spec):
-                if not len(ids) or not model.index.examples:
-                    out.append({"score": model.prior, "evidence": []})
-                    continue
-                best, cosine = model.index.nearest(ids, weights, spec.neighbours)
-                toxic = model.toxic[best]
-                votes = cosine**2 * model.vote[toxic]
-                value = ((votes * toxic).sum() + spec.prior_votes * model.prior) / (votes.sum() + spec.prior_votes)
-                evidence = [{"doc_id": d, "cosine": c, "toxic": t} for d, c, t in zip(model.example_ids[best[:3]].tolist(), cosine[:3].tolist(), toxic[:3].tolist(), strict=True)]
-                out.append({"score": float(min(1.0, max(0.0, value))), "evidence": evidence})
-        return pa.array(out, pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])))]))
+            n, count = words.sum(), last - first  # the words come before their beginnings
+            unseen = model.vocabulary.unseen(found[:n], owner[:n], count)
+            text, term, weight = _vectors(model.vocabulary.known(found, owner, count), words, unseen, model.idf, spec)
+            text, example, cosine = model.index.nearest_of_all(text, term, weight, count, spec.neighbours)
+            some = words[text] > 0
+            text, example, cosine = text[some], example[some], cosine[some]
+            toxic = model.toxic[example]
+            votes = cosine**2 * model.vote[toxic]
+            against = np.bincount(text, votes, minlength=count) + spec.prior_votes
+            scores.append(np.clip((np.bincount(text, votes * toxic, minlength=count) + spec.prior_votes * model.prior) / against, 0, 1))
+            shown = np.arange(len(text)) - np.searchsorted(text, np.arange(count))[text] < 3
+            evidence.append((example[shown], cosine[shown]))
+            sizes.append(np.bincount(text[shown], minlength=count))
+        example, cosine = (np.concatenate(part) for part in zip(*evidence, strict=True))
+        rows = pa.StructArray.from_arrays([pa.array(model.example_ids[example], pa.int64()), pa.array(cosine), pa.array(model.toxic[example], pa.int32())], names=["doc_id", "cosine", "toxic"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.concatenate(sizes))), pa.int32()), rows)
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(scores)), lists], names=["score", "evidence"])
 
     return nearest(text)
 

@@ -7,18 +7,20 @@ import pytest
 
 from shelfmill.llm import toxicity
 from shelfmill.llm.queries import TOXIC_FOLD, op2_toxicity
+from shelfmill.llm.training import labelled_sample
 
 SF = "/root/testdata/sf0.01"
 
 
-def test_index_finds_what_comparing_all_finds():
+@pytest.mark.parametrize("common", [0, 1 / 24, 0.1, 1])
+def test_index_finds_what_comparing_all_finds(common):
     rng = np.random.default_rng(8)
     vectors = []
     for _ in range(333):
         ids = np.sort(rng.choice(60, rng.integers(1, 9), replace=False))
         w = rng.integers(1, 4, len(ids)).astype(float)
         vectors.append((ids, w / np.sqrt((w * w).sum())))
-    index = toxicity.BlockMaxIndex(vectors, 60, 16)
+    index = toxicity.BlockMaxIndex(vectors, 60, 16, common)
     dense = np.zeros((333, 60))
     for k, (ids, w) in enumerate(vectors):
         dense[k, ids] = w
@@ -32,6 +34,32 @@ def test_index_finds_what_comparing_all_finds():
         assert np.allclose(scores, cosine[expected])
 
 
+    text = np.repeat(np.arange(333), [len(ids) for ids, _ in vectors])
+    ids, weights = (np.concatenate([v[k] for v in vectors]) for k in (0, 1))
+    of, example, cosine = index.nearest_of_all(text, ids, weights, 334, 400, at_once=50)  # the last text has no terms
+    assert np.bincount(of).tolist() == [333] * 334
+    for k in range(0, 333, 20):
+        expected = np.round(dense @ dense[k], 9)
+        order = np.lexsort((np.arange(333), -expected))
+        assert example[of == k].tolist() == order.tolist() and np.allclose(cosine[of == k], expected[order])
+
+
+def test_index_without_examples():
+    index = toxicity.BlockMaxIndex([], 5, 4)
+    assert [len(part) for part in index.nearest_of_all(np.array([0]), np.array([2]), np.array([1.0]), 1, 3)] == [0, 0, 0]
+
+
+def test_repeated_ids_give_one_sample(spark):
+    """Of several texts of an id the same one is learnt from in any order of rows."""
+    rows = [(k, f"t{k} v{j}" if j else None) for k in range(30) for j in range(4)]
+    marked = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, toxic int")
+    got = []
+    for some in (rows, rows[::-1]):
+        documents = spark.createDataFrame(some, "doc_id long, text string").repartition(5)
+        got.append(sorted(labelled_sample(documents, marked, "toxic", TOXIC_FOLD, 100).texts.collect()))
+    assert got[0] == got[1] and all(r.text for r in got[0]) and len({r.doc_id for r in got[0]}) == len(got[0])
+
+
 def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = op2_toxicity(spark, SF).join(labels, "doc_id").collect()
