@@ -33,6 +33,7 @@ from shelfmill.operators.navigation import (
     loaded,
     next_link,
     page_status,
+    page_stops,
     pattern_pages,
     single_page,
     single_pages,
@@ -75,6 +76,8 @@ class CatalogueJob:
     next_selector: str | None = None
     seed: str | None = None
     strict_axes: bool = False
+    first_wave: int = 64  # numbered pages parsed at first if there is a limit
+    answers: str | None = None  # table of a formatter's answers that later runs use again
 
 
 @dataclass(frozen=True)
@@ -83,6 +86,7 @@ class CatalogueResult:
     rows: DataFrame
     stats: DataFrame
     failed: DataFrame
+    rejects: DataFrame | None = None  # catalogue pages without cards because they failed
 
 
 def _page_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> DataFrame:
@@ -92,7 +96,8 @@ def _page_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> Da
     """
     parsed = parse_pages(pages)
     unread = F.col("els").isNull() & (page_status(parsed) == "ok")
-    parsed = parsed.withColumn("status", F.when(unread, "error").otherwise(page_status(parsed)))
+    status = F.when(F.col("unread"), "error").otherwise(page_status(parsed))
+    parsed = parsed.withColumn("unread", unread).withColumn("status", status)
     carried = [c for c in ("fetched_at",) if c in parsed.columns]
     link = next_link(job.next_selector) if job.next_selector else F.lit(None).cast("string")
     loaded = F.col("status") == "ok"
@@ -101,6 +106,7 @@ def _page_facts(pages: DataFrame, job: CatalogueJob, sels: dict[str, str]) -> Da
             "page_id",
             F.col("url").alias("base"),
             "status",
+            "unread",
             *walk_columns(parsed),
             *carried,
             link.alias("next_url"),
@@ -158,8 +164,54 @@ def accepted_cards(
     seeds: DataFrame | None = None,
 ) -> DataFrame:
     """New cards of the walk, with duplicates and exported handles removed."""
+    return walk_cards(pages, job, exported, products, seeds)[0]
+
+
+def walk_cards(
+    pages: DataFrame,
+    job: CatalogueJob,
+    exported: DataFrame | None,
+    products: DataFrame | None,
+    seeds: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted cards, and the facts of the pages that were read for them.
+
+    Numbered pages of a job with a limit are parsed in waves: after each one
+    the walk ends if its cards fill the limit or one of its pages ends the
+    catalogue. What a page adds depends on pages before it only, so the cards
+    up to the limit are those of the whole walk. The next wave is as long as
+    the cards so far suggest; the least length doubles, so waves stay few.
+    """
     sels = build_selectors(job.selectors)
-    facts = _walked_facts(pages, job, sels, seeds)
+    if not job.url_pattern or job.limit is None or job.page_end - job.page_start < job.first_wave:
+        facts = _walked_facts(pages, job, sels, seeds)
+        new, per_page = _new_cards(facts, job, exported, products)
+        return (_before_end(new, per_page) if job.url_pattern else new), facts
+    # One scan of the crawl; in order, so that a wave reads little beyond its own pages.
+    own = pattern_pages(pages, job.url_pattern, job.page_start, job.page_end)
+    own = stored(own.sortWithinPartitions("page_num"), "numbered")
+    newest = own.agg(F.max("page_num").alias("n")).first().n
+    page_end = job.page_start if newest is None else newest  # the crawl holds none behind it
+    facts, start = None, job.page_start
+    length = least = job.first_wave
+    while True:
+        end = min(page_end, start + length - 1)
+        wave = _latest_facts(_page_facts(own.where(F.col("page_num").between(start, end)), job, sels))
+        facts = wave if facts is None else facts.unionByName(wave)
+        new, per_page = _new_cards(facts, job, exported, products)
+        stops = F.count_if(page_stops(per_page)).alias("stops")
+        seen = per_page.agg(stops, F.coalesce(F.sum("n_new"), F.lit(0)).alias("cards")).first()
+        if end == page_end or seen.stops or seen.cards >= job.limit:
+            return _before_end(new, per_page), facts
+        missing = (job.limit - seen.cards) * (end - job.page_start + 1) // max(seen.cards, 1)
+        start, least = end + 1, 2 * least
+        length = max(least, missing + 1)
+
+
+def _new_cards(
+    facts: DataFrame, job: CatalogueJob, exported: DataFrame | None, products: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted cards of the pages, stored, and how many each page brought."""
     found = finish_cards(explode_records(facts, "cards", *CARD_PAGE))
     found = found.withColumn("handle", card_handle("title", card_name()))
     if job.dedup == "first":
@@ -171,15 +223,24 @@ def accepted_cards(
         new = accept_in_order(finals).drop("final_handle")
     new = cut_lineage(new)
     if not job.url_pattern:
-        return new
-    per_page = new.groupBy("page_num").agg(F.count("*").alias("n_new"))
-    visited = end_of_catalogue(
-        facts.select("page_num", "n_cards", "status").join(per_page, "page_num", "left")
-    )
-    last = visited.agg(F.max("page_num").alias("last"))
+        return new, facts
+    counted = new.groupBy("page_num").agg(F.count("*").alias("n_new"))
+    return new, facts.select("page_num", "n_cards", "status").join(counted, "page_num", "left")
+
+
+def _before_end(new: DataFrame, per_page: DataFrame) -> DataFrame:
+    """Cards of the pages that are still visited."""
+    last = end_of_catalogue(per_page).agg(F.max("page_num").alias("last"))
     return new.where(F.col("page_num") <= last.scalar())
 
 
+def rejected_pages(facts: DataFrame) -> DataFrame:
+    """``page_id, url, reason`` of pages read in vain: unreadable, error or timeout."""
+    reason = F.when(F.col("unread"), "unreadable").otherwise(F.col("status"))
+    failed = facts.where(F.col("status") != "ok")
+    return failed.select("page_id", F.col("base").alias("url"), reason.alias("reason"))
+
+
 def wanted_pages(pages: DataFrame, cards: DataFrame) -> DataFrame:
     """Loaded product pages that the cards link to.
 
@@ -208,14 +269,14 @@ def build_catalogue(
     products = product_table if job.use_product_pages else None
     if job.use_product_pages and job.dedup == "sequential" and products is None:
         products = cut_lineage(one_per_url(product_pages(loaded(pages), sels, job.strict_axes)))
-    new = accepted_cards(pages, job, exported, products, seeds)
+    new, facts = walk_cards(pages, job, exported, products, seeds)
     if job.limit is not None:
         # Each product has a row at least, so no card behind these can pass.
         new = cut_lineage(limit_products(new, job.limit, "products"))
     if job.use_product_pages and products is None:
         candidates = wanted_pages(pages, new)
         products = one_per_url(product_pages(candidates, sels, job.strict_axes))
-    return finish_catalogue(new, products, job, formatter)
+    return replace(finish_catalogue(new, products, job, formatter), rejects=rejected_pages(facts))
 
 
 def finish_catalogue(
@@ -230,7 +291,7 @@ def finish_catalogue(
         merged = cut_lineage(merged)  # read more than once below
     if job.limit is not None:
         merged = limit_products(merged, job.limit, job.limit_unit)
-    final = cut_lineage(format_descriptions(merged, formatter))
+    final = cut_lineage(format_descriptions(merged, formatter, answers=job.answers))
     limit = job.limit if job.limit is not None else 0
     return CatalogueResult(
         products=final,
@@ -251,6 +312,7 @@ def export_catalogue(
     files: int | None = None,
     seeds: DataFrame | None = None,
     as_unit: bool = False,
+    rejects_path: str | None = None,
 ) -> CatalogueResult:
     """Run the job and write both CSV outputs.
 
@@ -279,6 +341,8 @@ def export_catalogue(
         commit_run(spark, output, run, fresh=not job.resume)
     if failed_path:
         write_failed_urls(result.failed, failed_path, mode)
+    if rejects_path:
+        result.rejects.write.mode(mode).json(rejects_path)
     if summary_path:
         write_summary(result.stats, summary_path, started_at)
     return result

@@ -558,6 +558,22 @@ def formatted_descriptions(spark, sf_dir):
     return done.select("doc_id", "body_html", "used_ai")
 
 
+@query
+def kept_answers(spark, sf_dir):
+    """A second run asks only for the texts that the first, on one language, did not."""
+    path = _scratch(spark)
+    docs = _spread(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("seq", F.col("doc_id"))
+
+    def run(products, name):
+        def fn(batch):
+            return [f"<p>{name} {len(t)}</p>" for t in batch]
+
+        return formatter.format_descriptions(products, fn, text="text", instructions="", answers=path)
+
+    run(docs.where(F.col("lang") == "en"), "first")
+    return run(docs, "second").select("doc_id", "body_html", "used_ai")
+
+
 @query
 def card_handles(spark, sf_dir):
     part = _table(spark, sf_dir, "part")
@@ -726,6 +742,19 @@ def catalogue_limited(spark, sf_dir):
     return build_catalogue(_part_crawl(spark, sf_dir), job).rows.select(*_CATALOGUE_COLUMNS)
 
 
+@query
+def catalogue_rejects(spark, sf_dir):
+    """Catalogue pages that a run could not use: no HTML, a failed or a late fetch."""
+    key = F.col("page_id")
+    pages = _pages(spark, sf_dir).select(
+        "page_id",
+        "url",
+        F.when(key % 7 > 0, F.col("html")).alias("html"),
+        F.when(key % 11 == 0, "timeout").when(key % 5 == 0, "Error").alias("status"),
+    )
+    return build_catalogue(pages, CatalogueJob(limit=None, use_product_pages=False)).rejects
+
+
 def _many_catalogues(spark, sf_dir) -> DataFrame:
     """List pages of several catalogues with equal page numbers, negative and very large ids.
 

@@ -4,6 +4,7 @@ import csv
 import glob
 import math
 import os
+from dataclasses import replace
 
 import duckdb
 import pytest
@@ -298,6 +299,51 @@ def test_formatter_in_a_job(spark, golden):
     assert (stats.ai_success, stats.ai_fallback, stats.ai_rate) == (4, 0, 100)
 
 
+def numbered_lists(spark, statuses):
+    """List page n holds the products n and n + 1, so each brings one that the page before lacks."""
+    rows = [
+        (n, f"{SHOP}/page/{n}/", list_page([f"P{n}", f"P{n + 1}"]), status)
+        for n, status in enumerate(statuses, 1)
+    ]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, status string")
+
+
+@pytest.mark.parametrize("dedup, limit", [("first", 1), ("first", 30), ("sequential", 9)])
+def test_walk_in_waves(spark, dedup, limit):
+    """The waves give the products of the whole walk; pages behind the last wave are never looked at."""
+    job = CatalogueJob(limit=limit, limit_unit="products", dedup=dedup, url_pattern=JOB.url_pattern, page_end=100, use_product_pages=False)
+    whole = replace(job, first_wave=1000)
+    pages = numbered_lists(spark, ["ok"] * 100)
+    expected = sorted(r.handle for r in build_catalogue(pages, whole).products.collect())
+    assert len(expected) == limit
+    # An unknown status raises as soon as a page is read.
+    unread = numbered_lists(spark, ["ok"] * (limit + 25) + ["never read"] * (75 - limit))
+    assert sorted(r.handle for r in build_catalogue(unread, replace(job, first_wave=5)).products.collect()) == expected
+    with pytest.raises(Exception, match="never read"):
+        build_catalogue(unread, whole).products.collect()
+
+
+def test_waves_end_with_the_catalogue(spark):
+    """A late page inside a wave ends the walk; failed pages are skipped, also at the end of a wave."""
+    statuses = ["ok", "ok", "error", "error", "ok", "timeout"] + ["ok"] * 3 + ["never read"] * 91
+    job = CatalogueJob(limit=8, url_pattern=JOB.url_pattern, page_end=100, use_product_pages=False, first_wave=3)
+    result = build_catalogue(numbered_lists(spark, statuses), job)
+    assert sorted(r.title for r in result.products.collect()) == ["P1", "P2", "P3", "P5", "P6"]
+    assert {r.page_id: r.reason for r in result.rejects.collect()} == {3: "error", 4: "error", 6: "timeout"}
+    empty = build_catalogue(numbered_lists(spark, []), job)
+    assert empty.products.count() == empty.rejects.count() == 0
+
+
+def test_rejects_of_a_run(spark, tmp_path):
+    rows = [(1, "a", list_page(["A"]), None), (2, "b", None, "ok"), (3, "c", None, "ERROR"), (4, "d", "<p>no card", "timeout")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, status string")
+    path = str(tmp_path / "rejects")
+    job = CatalogueJob(limit=None, use_product_pages=False)
+    export_catalogue(pages, str(tmp_path / "out.csv"), job, rejects_path=path)
+    got = {r.page_id: (r.url, r.reason) for r in spark.read.json(path).collect()}
+    assert got == {2: ("b", "unreadable"), 3: ("c", "error"), 4: ("d", "timeout")}
+
+
 def test_sequential_policy(spark):
     """A final handle recorded earlier skips a later card with that handle."""
     names = ["Ant", "Description", "Bee"]

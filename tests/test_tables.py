@@ -405,3 +405,49 @@ def test_a_hot_link_is_split(spark):
         assert merged.where("price = '2'").count() == 40_000
         merged.collect()
         assert "skew=true" in plan_text(merged)
+
+
+def test_failed_batches_are_halved():
+    """One bad prompt of 64 costs two calls for each halving, not one for each prompt."""
+    calls = []
+
+    def fn(batch):
+        calls.append(len(batch))
+        if "bad" in batch:
+            raise ValueError
+        return [t.upper() for t in batch]
+
+    prompts = [f"t{i}" for i in range(64)]
+    prompts[37] = "bad"
+    got = formatter._answers(fn, prompts)
+    assert got == [None if t == "bad" else t.upper() for t in prompts]
+    assert len(calls) == 1 + 2 * 6
+    assert formatter._answers(lambda b: b[:1], ["a", "b", "c"]) == ["a", "b", "c"]
+    assert formatter._answers(lambda b: [], ["a", "b"]) == [None, None]
+    assert formatter._answers(fn, []) == []
+
+
+def test_answers_are_kept_across_runs(spark, tmp_path):
+    """Only prompts without an answer are sent; failed ones are sent again."""
+    log, folder = tmp_path / "asked", str(tmp_path / "answers")
+    log.mkdir()
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, " "), (5, None)], "seq long, raw_desc string")
+
+    def run(products, word, fails=(), instructions=""):
+        def fn(batch, log=str(log)):
+            with open(f"{log}/{word}", "a") as out:
+                out.writelines(t + "\n" for t in batch)
+            return [None if t in fails else f"<p>{word}</p>" for t in batch]
+
+        done = formatter.format_descriptions(products, fn, instructions=instructions, answers=folder)
+        got = {r.seq: (r.body_html, r.used_ai) for r in done.collect()}
+        path = log / word
+        return got, sorted(path.read_text().split("\n")[:-1]) if path.exists() else []
+
+    got, asked = run(df, "one", fails=("b",))
+    assert asked == ["a", "b"] and got[1] == got[3] == ("<p>one</p>", True) and not got[2][1]
+    got, asked = run(df, "two")
+    assert asked == ["b"] and got[1] == ("<p>one</p>", True) and got[2] == ("<p>two</p>", True)
+    assert run(df, "three")[1] == []
+    got, asked = run(df, "four", instructions="say: ")  # another prompt
+    assert asked == ["say: a", "say: b"] and got[1] == ("<p>four</p>", True) and not got[4][1]
