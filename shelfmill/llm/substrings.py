@@ -120,27 +120,27 @@ _KEY_TYPE = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("keys", p
 
 
 class _Dealt:
-    """Unique keys of a block dealt by value over buckets numbered from ``first``."""
+    """Unique keys of a block dealt by value over buckets numbered from ``first``.
+
+    Work and memory go by the keys, not by the number of buckets.
+    """
 
     def __init__(self, keys: np.ndarray, buckets: int, first: int = 0):
         bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
         self._order = np.argsort(bucket, kind="stable")
-        self._cuts = np.searchsorted(bucket[self._order], np.arange(buckets + 1)).tolist()
-        self._keys, self._first, self._buckets = keys, first, buckets
+        present, starts = np.unique(bucket[self._order], return_index=True)
+        self._parts = list(zip((present.astype(np.int64) + first).tolist(), np.split(self._order, starts[1:]), strict=True)) if len(keys) else []
+        self._keys = keys
 
     def rows(self, block: int, values: np.ndarray | None = None) -> list[dict]:
-        keys, cuts, order = self._keys, self._cuts, self._order
-        spans = [(k, order[cuts[k] : cuts[k + 1]]) for k in range(self._buckets) if cuts[k] < cuts[k + 1]]
-        return [{"block": block, "bucket": self._first + k, "keys": keys[o].tobytes(), "values": None if values is None else values[o].tobytes()} for k, o in spans]
+        return [{"block": block, "bucket": k, "keys": self._keys[o].tobytes(), "values": None if values is None else values[o].tobytes()} for k, o in self._parts]
 
     def answers(self, answers: dict[int, tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Which keys came more than once, and which were the first of their kind."""
         out = np.zeros((2, len(self._keys)), bool)
-        for k in range(self._buckets):
-            n = self._cuts[k + 1] - self._cuts[k]
-            if n:
-                for row, bits in zip(out, answers[self._first + k], strict=True):
-                    row[self._order[self._cuts[k] : self._cuts[k + 1]]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n)
+        for k, o in self._parts:
+            for row, bits in zip(out, answers[k], strict=True):
+                row[o] = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(o))
         return out[0], out[1]
 
 
@@ -265,14 +265,23 @@ def covered_bytes(documents: DataFrame, spec: Repeats = Repeats()) -> tuple[Data
                 heads = np.flatnonzero(maybe)
                 state = zstandard.compress(np.concatenate([np.packbits(sure), np.packbits(maybe)]).tobytes())
                 keys = np.unique(hashes(heads, heads + spec.length))
-                yield _rows([{"block": row["block"], "bucket": -1, "keys": state, "values": None}, *_Dealt(keys, buckets).rows(row["block"])])
+                whole_block = [{"block": row["block"], "bucket": bucket, "keys": blob, "values": None} for bucket, blob in ((-1, state), (0, keys.tobytes()))]
+                yield _rows(whole_block if len(keys) else whole_block[:1])
 
     joined = blocks.join(runs, blocks.block == runs._b, "left").select("block", "lengths", "packed", "answers")
     heads = stored(joined.mapInArrow(head_keys, _KEYS), "heads")
+    n_heads = heads.where("bucket = 0").agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0)).alias("n")).first().n // 8
+    head_buckets = max(spec.least_buckets, -(-n_heads // spec.bucket_keys))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield _rows(_Dealt(np.frombuffer(row["keys"], np.uint64), head_buckets).rows(row["block"]))
+
     states = heads.where("bucket = -1").select(F.col("block").alias("_s"), F.col("keys").alias("state"))
-    answers = _look_up(heads.where("bucket >= 0"))
+    answers = _look_up(heads.where("bucket = 0").mapInArrow(deal, _KEYS))
     joined = states.join(answers, states._s == answers._b, "left").select("_s", "state", "answers")
-    return blocks.join(joined, blocks.block == joined._s).drop("_s"), {"buckets": buckets}
+    return blocks.join(joined, blocks.block == joined._s).drop("_s"), {"buckets": buckets, "head_buckets": head_buckets}
 
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
@@ -286,7 +295,7 @@ def remove_repeats(documents: DataFrame, spec: Repeats = Repeats(), texts: bool
     be whole characters.
     """
     found, plan = covered_bytes(documents, spec)
-    buckets = plan["buckets"]
+    buckets = plan["head_buckets"]
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,3 +66,15 @@ def test_levels_find_all_repeated_keys():
     assert other.marked[:at].tolist() == [len(seen[k]) > 1 or 0 in seen[k] for k in arrived]
     sizes = [len(level[0]) for level in levels._levels]
     assert all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
+
+
+def test_keys_are_dealt_over_many_buckets_by_keys_alone():
+    """Of 10**12 buckets only those present take room, and answers come back to their keys."""
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 5000).astype(np.uint64))
+    dealt = substrings._Dealt(keys, 10**12, 7)
+    rows = dealt.rows(4, keys + np.uint64(1))
+    assert len(rows) <= len(keys) and sum(len(r["keys"]) for r in rows) == 8 * len(keys)
+    odd = {r["bucket"]: [np.packbits(np.frombuffer(r["keys"], np.uint64) % np.uint64(2) == k).tobytes() for k in (1, 0)] for r in rows}
+    marked, first = dealt.answers(odd)
+    assert (marked == (keys % np.uint64(2) == 1)).all() and (first == ~marked).all()
+    assert substrings._Dealt(keys[:0], 64).rows(1) == []
