@@ -1257,7 +1257,8 @@ def page_range(spark, sf_dir):
         F.col("o_orderkey").alias("page_id"),
         _cat("https://shop.example/c/", _str("o_custkey"), "/page/").alias("url"),
     )
-    found = navigation.pattern_pages(orders, "https://shop.example/c/{}/page/", 10, 500)
+    last = _table(spark, sf_dir, "customer").count() // 2
+    found = navigation.pattern_pages(orders, "https://shop.example/c/{}/page/", 10, last)
     return found.select("page_id", "page_num")
 
 
