@@ -512,3 +512,12 @@ def test_equal_page_numbers_and_any_page_ids(spark, policy):
         job = CatalogueJob(limit=limit, dedup=policy)
         got = build_catalogue(pages, job).products.orderBy("seq").collect()
         assert [r.title for r in got] == ["Elk", "Fox", "Ant"][:limit]
+
+
+@pytest.mark.parametrize("name", ["stream_export", "stream_catalogue", "distinct_handles"])
+def test_streams_read_page_tables_that_are_folders(spark, tmp_path, name):
+    """Large tables are folders of part files; a table in one file gives the same rows."""
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    pages.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    of_file, of_folder = (QUERIES[name](spark, folder).collect() for folder in (SMALL, str(tmp_path)))
+    assert of_folder and sorted(map(tuple, of_folder)) == sorted(map(tuple, of_file))
