@@ -521,3 +521,15 @@ def test_streams_read_page_tables_that_are_folders(spark, tmp_path, name):
     pages.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
     of_file, of_folder = (QUERIES[name](spark, folder).collect() for folder in (SMALL, str(tmp_path)))
     assert of_folder and sorted(map(tuple, of_folder)) == sorted(map(tuple, of_file))
+
+
+def test_an_empty_handle_counts_as_exported(spark, tmp_path):
+    """Titles without any letter or digit of a handle share the empty one."""
+    pages = crawl(spark, [(f"{SHOP}/page/1/", list_page(["日本", "Ant"])), (f"{SHOP}/page/2/", list_page(["中国", "Bee"]))])
+    out = str(tmp_path / "out.csv")
+    job = CatalogueJob(limit=None, url_pattern=JOB.url_pattern, use_product_pages=False)
+    export_catalogue(pages, out, replace(job, page_end=1))
+    assert {r.handle for r in exported_handles(spark, out).collect()} == {"", "ant"}
+    export_catalogue(pages, out, replace(job, page_start=2, page_end=2, resume=True))
+    rows = read_export(spark, out).select("Handle", "Title", "Variant SKU").collect()
+    assert sorted(map(tuple, rows)) == [("", "日本", None), ("ant", "Ant", None), ("bee", "Bee", None)]
