@@ -334,3 +334,27 @@ def test_older_image_and_variant_rules(spark):
     assert [x.opt1_value for x in row.m] == ["S / Slim", "Default"]
     assert [x.opt3_value for x in row.m] == ["", ""]
     assert row.t[0].opt1_value == "Own title"
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "p", "li", "table", "template", "UL"])
+def test_runs_of_equal_tags_are_read_like_single_ones(tag):
+    """A comment between the tags keeps them from being read as a run."""
+    def page(gap):
+        return f"<p>a{gap}<i>" + f"<{tag}>{gap}" * 30 + "x<h1>y</h1>" + f"</{tag}>{gap}" * 40 + "z"
+
+    run, single = (page_builder.parse_batch(pa.array([page(gap)]))[0].as_py() for gap in ("", "<!---->"))
+    positions = ("html_from", "html_to")
+    plain = [[{k: v for k, v in e.items() if k not in positions} for e in p["els"]] for p in (run, single)]
+    assert plain[0] == plain[1] and run["texts"] == single["texts"]
+    html = page("")
+    inner = [html[e["html_from"]:e["html_to"]].replace("<!---->", "") for e in run["els"]]
+    spaced = page("<!---->")
+    assert inner == [spaced[e["html_from"]:e["html_to"]].replace("<!---->", "") for e in single["els"]]
+
+
+def test_deep_nests_are_read_fast():
+    """100 pages of 5,000 nested blocks took 6.9 s tag by tag."""
+    pages = pa.array(["<div>" * 5000 + "x" + "</div>" * 5000] * 100)
+    began = time.process_time()
+    page_builder.parse_batch(pages)
+    assert time.process_time() - began < 3
