@@ -2,8 +2,11 @@
 
 A batch begins behind the one before it, so where batches lie follows from a
 chain: each product that could begin one leads to the product behind the one
-that would close it. That next start is found by an equi-join on slices of the
-running row count, the chain from the first product by pointer doubling.
+that would close it. The chain is followed inside blocks of rows first, for
+every number of rows that the batch open at a block's begin may still need. What
+leads from block to block is followed by pointer doubling: a few states a block,
+not a link a product. Batches longer than a block may be are found from links of
+products, by an equi-join on slices of the running row count.
 """
 
 from __future__ import annotations
@@ -12,13 +15,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from shelfmill.operators.blocks import block_steps, number_blocks
 from shelfmill.operators.navigation import follow_links
 from shelfmill.operators.running import sum_before
 from shelfmill.session import stored
 
 # Rows of a slice: a start is compared with no more products than that.
 SLICE = 64
+# Rows of a block, which one task follows at a time; batches may have a quarter of that.
+BLOCK = 1 << 18
 
 
 def _next_starts(counted: DataFrame, size: int) -> DataFrame:
@@ -65,6 +72,39 @@ def form_batches(
     group = F.xxhash64(*by) if by else F.lit(0).cast("bigint")
     counted = stored(counted.withColumn("_group", group), "counted")
 
+    number = _number_in_blocks if size <= BLOCK // 4 else _number_by_links
+    return number(counted, size, order, by, products.columns)
+
+
+def _number_in_blocks(counted: DataFrame, size: int, order: str, by: Sequence[str], columns: list[str]) -> DataFrame:
+    keys = ["_group", "_block"]
+    placed = counted.withColumn("_block", F.floor(F.col("_before") / BLOCK))
+
+    def in_blocks(df: DataFrame) -> DataFrame:
+        return df.repartition(*keys).sortWithinPartitions(*keys, "_before")
+
+    steps = in_blocks(placed.select(*keys, "_before", "_n")).mapInArrow(
+        block_steps(size), "_group bigint, _block bigint, state bigint, to_state bigint, n_starts bigint"
+    )
+    steps = stored(steps, "steps")
+    # One row a block.
+    after = F.lead("_block").over(Window.partitionBy("_group").orderBy("_block"))
+    following = steps.where("state = 0").select(*keys, after.alias("_after"))
+    url = F.struct("_group", "_block", "state")
+    next_url = F.struct("_group", F.col("_after").alias("_block"), F.col("to_state").alias("state"))
+    links = steps.join(following, keys).select(url.alias("url"), F.when(F.col("_after").isNotNull(), next_url).alias("next_url"))
+    seeds = steps.where("_block = 0").select(url.alias("seed"))
+    walk = follow_links(stored(links, "block-links"), seeds).select("url.*", "position")
+    before = Window.partitionBy("_group").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    entered = walk.join(steps, [*keys, "state"]).select(
+        *keys, F.col("state").alias("_state"), F.coalesce(F.sum("n_starts").over(before), F.lit(0)).alias("_earlier")
+    )
+    known = placed.join(stored(entered, "entered"), keys)
+    schema = counted.select(*columns).schema.add("batch", "long")
+    return in_blocks(known).mapInArrow(number_blocks(size, columns), schema)
+
+
+def _number_by_links(counted: DataFrame, size: int, order: str, by: Sequence[str], columns: list[str]) -> DataFrame:
     links = _next_starts(counted, size)
     ends = counted.select(F.struct(F.col("_group").alias("g"), F.col("_before").alias("start")).alias("url"))
     links = ends.join(links.select(F.col("start").alias("url"), F.col("next").alias("next_url")), "url", "left")
@@ -75,9 +115,9 @@ def form_batches(
     )
     marked = counted.join(
         starts, (F.col("_group") == F.col("_g")) & (F.col("_before") == F.col("_start")), "left"
-    ).select(*products.columns, F.coalesce("_starts", F.lit(0)).alias("_starts"))
+    ).select(*columns, F.coalesce("_starts", F.lit(0)).alias("_starts"))
     numbered = sum_before(stored(marked, "starts"), order, "_starts", "_earlier", by)
-    return numbered.withColumn("batch", F.col("_earlier") + F.col("_starts") - 1).select(*products.columns, "batch")
+    return numbered.withColumn("batch", F.col("_earlier") + F.col("_starts") - 1).select(*columns, "batch")
 
 
 def batch_report(batched: DataFrame, handle: str = "handle", n_rows: str = "n_rows", by: Sequence[str] = ()) -> DataFrame:

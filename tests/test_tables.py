@@ -451,3 +451,23 @@ def test_answers_are_kept_across_runs(spark, tmp_path):
     assert run(df, "three")[1] == []
     got, asked = run(df, "four", instructions="say: ")  # another prompt
     assert asked == ["say: a", "say: b"] and got[1] == ("<p>four</p>", True) and not got[4][1]
+
+
+def test_batches_in_blocks_agree_with_links_and_take_few_links(spark, monkeypatch):
+    """Products larger than blocks, blocks smaller than batches; a link a block's state, not a product."""
+    rng = random.Random(9)
+    rows = [(g, i, rng.choice([1, 1, 2, 5, 40]), "h") for g in ("x", "y") for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, seq bigint, n_rows int, handle string").repartition(5)
+    followed = []
+    real = batches.follow_links
+    monkeypatch.setattr(batches, "follow_links", lambda links, seeds: followed.append(links.count()) or real(links, seeds))
+    for size in (1, 3, 17):
+        per_size = []
+        for block in (1, 24, 300, 1 << 18):  # a block of one row: links of products
+            monkeypatch.setattr(batches, "BLOCK", block if block == 1 else max(block, 4 * size))
+            got = batches.form_batches(df, size, by=["g"]).collect()
+            per_size.append(sorted((r.g, r.seq, r.batch) for r in got))
+        assert per_size[0] == per_size[1] == per_size[2] == per_size[3]
+        assert followed[-1] == 2 and len(per_size[0]) == 800
+        for g in ("x", "y"):
+            assert [b for h, _, b in per_size[0] if h == g] == plain_batches([n for h, _, n, _ in rows if h == g], size)
