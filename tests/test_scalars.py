@@ -211,3 +211,21 @@ def test_long_runs_take_linear_time(evaluate):
     start = time.perf_counter()
     assert evaluate(text.strip_tags, long) == ["<" * 400_000, "x", "a b"]
     assert time.perf_counter() - start < 20
+
+
+def test_plain_references_take_the_short_way(spark):
+    """Without taking both addresses apart, and with the result of doing so."""
+    bases = ["https://shop.example" + p for p in ("/", "/list", "/list/7", "/a/b/c", "/a/b/")]
+    refs = ["p", "p/1", "/p/1.html", "../p/1", "p/?a=b&c=d", "/p"]
+    odd = ["./p", "../../p", "/../p", "p;q", "a b", "c:d", "?x", "#f", "/", "//h/p", "p//q", "", "p/..", "p/.", "/p#f"]
+    rows = [(h, b) for h in refs + odd for b in [*bases, "https://shop.example", "/rel", "https://h/a//b", "https://h/a/../b", "https://h/?q=/x"]]
+    df = spark.createDataFrame(rows, "h string, b string")
+    found = df.select("h", "b", urls.resolve_url("h", "b").alias("u"), urls._plain_url(F.col("h"), F.col("b")).alias("plain")).collect()
+    for r in found:
+        assert r.plain in (None, r.u)
+        expected = urljoin(r.b, r.h)
+        if r.h and r.b.startswith("http") and r.plain is not None:
+            assert r.plain == expected, (r.h, r.b)
+    short = {(r.h, r.b) for r in found if r.plain is not None}
+    assert {h for h, b in short} == set(refs) and ("../p/1", "https://shop.example/list") not in short
+    assert len(short) >= 20
