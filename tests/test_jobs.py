@@ -533,3 +533,19 @@ def test_an_empty_handle_counts_as_exported(spark, tmp_path):
     export_catalogue(pages, out, replace(job, page_start=2, page_end=2, resume=True))
     rows = read_export(spark, out).select("Handle", "Title", "Variant SKU").collect()
     assert sorted(map(tuple, rows)) == [("", "日本", None), ("ant", "Ant", None), ("bee", "Bee", None)]
+
+
+def test_sequential_rule_reads_only_linked_pages(spark, monkeypatch):
+    """Every loaded page, lists too, was read as a product page."""
+    from shelfmill.plans import catalogue
+
+    card = '<li data-product-id="1"><a href="/p/{0}"><h1>C{0}</h1></a></li>'
+    rows = [(1, "https://s.example/list", "".join(card.format(k) for k in (1, 2, 3)))]
+    rows += [(10 + k, f"https://s.example/p/{k}", f'<h1 class="product-title">T{k % 2}</h1>') for k in range(1, 6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen, read = [], catalogue.product_pages
+    monkeypatch.setattr(catalogue, "product_pages", lambda p, *rest: seen.append(sorted(r.url for r in p.collect())) or read(p, *rest))
+    job = CatalogueJob(limit=None, dedup="sequential", seed="https://s.example/list")
+    rows = build_catalogue(pages, job).products.orderBy("seq").collect()
+    assert seen == [[f"https://s.example/p/{k}" for k in (1, 2, 3)]]
+    assert [(r.card_handle, r.handle) for r in rows] == [("c1", "t1"), ("c2", "t0"), ("c3", "t1")]
