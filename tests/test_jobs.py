@@ -549,3 +549,31 @@ def test_sequential_rule_reads_only_linked_pages(spark, monkeypatch):
     rows = build_catalogue(pages, job).products.orderBy("seq").collect()
     assert seen == [[f"https://s.example/p/{k}" for k in (1, 2, 3)]]
     assert [(r.card_handle, r.handle) for r in rows] == [("c1", "t1"), ("c2", "t0"), ("c3", "t1")]
+
+
+def test_jobs_that_differ_in_limit_or_policy_parse_the_pages_once(spark, golden, monkeypatch):
+    parsed, parse = [], catalogue.parse_pages
+
+    def counted(pages):
+        parsed.append(pages)
+        return parse(pages)
+
+    monkeypatch.setattr(catalogue, "parse_pages", counted)
+    shared = catalogue.SharedWalk()
+    for dedup in ("first", "sequential"):
+        for limit, unit in ((None, "rows"), (8, "rows"), (2, "products")):
+            job = CatalogueJob(limit=limit, limit_unit=unit, dedup=dedup)
+            ours = build_catalogue(golden, job, shared=shared).rows.collect()
+            before = len(parsed)
+            alone = build_catalogue(golden, job).rows.collect()
+            assert len(parsed) == before + 1
+            parsed.pop()
+            assert sorted(map(str, ours)) == sorted(map(str, alone)) and ours
+    assert len(parsed) == 1
+
+
+def test_policies_over_several_catalogues_parse_the_pages_once(spark, monkeypatch):
+    parsed, parse = [], catalogue.parse_pages
+    monkeypatch.setattr(catalogue, "parse_pages", lambda pages: parsed.append(pages) or parse(pages))
+    assert QUERIES["multi_catalogue_rows"](spark, entry_point.FLAGSHIP_DIR).count() > 0
+    assert len(parsed) == 1
