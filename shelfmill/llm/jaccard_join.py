@@ -22,9 +22,10 @@ others get new centres as long as that settles lists. Then the members of
 different components that still share a list are compared with each other.
 Sizes, places in the order and parity bitmaps of the sets give sure bounds that
 drop pairs before shingles are compared, and each link is proven on the whole
-sets. Sets travel only for classes in a pair that may link, picked by a bitmap
-of at most ``2**26`` bits; above some tens of millions of such classes it lets
-more sets through, which the join then drops.
+sets. Sets travel only for classes in a pair that may link, and list members
+only for lists with two classes, both picked by a bitmap of at most ``2**26``
+bits; above some tens of millions of such classes or lists it lets more
+through, which the joins then drop.
 
 Defined cases: a text of fewer words than ``shingle`` is one shingle; null and
 word-less texts have empty sets and are their own component. Rows stay as they
@@ -216,8 +217,19 @@ def _prints(documents: DataFrame, order: Order, spec: JaccardJoin) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, {_PRINTS}")
 
 
-def _members(prints: DataFrame) -> DataFrame:
-    """``list, key, n, rest``, a row for each list of each class."""
+def _bitmap(keys: DataFrame, n: int) -> np.ndarray:
+    """Bitmap with a bit for each of about ``n`` values of ``key``, as 64-bit words."""
+    bits = 1 << min(26, max(10, (16 * n).bit_length()))
+    bit = F.pmod("key", F.lit(bits))
+    words = keys.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(pmod(key, {bits}L) & 63))")).alias("word")).toArrow()  # at most 2**20 rows
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[words["at"].to_numpy()] = words["word"].to_numpy()
+    return bitmap
+
+
+def _members(prints: DataFrame, bitmap: np.ndarray | None = None) -> DataFrame:
+    """``list, key, n, rest``, a row for each list of each class, or for those lists that a bitmap lets through."""
+    chosen = None if bitmap is None else prints.sparkSession.sparkContext.broadcast(bitmap)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,6 +238,10 @@ def _members(prints: DataFrame) -> DataFrame:
                 names = np.frombuffer(b"".join(lists.to_pylist()), np.int64)
                 sizes = np.array([len(x) // 8 for x in lists.to_pylist()], np.int64)
                 columns = [names, np.repeat(key.to_numpy(), sizes), np.repeat(n.to_numpy(), sizes).astype(np.int32), np.frombuffer(b"".join(rest.to_pylist()), np.int32)]
+                if chosen is not None:
+                    at = names & (64 * len(chosen.value) - 1)
+                    inside = (chosen.value[at >> 6] >> (at & 63) & 1).astype(bool)
+                    columns = [c[inside] for c in columns]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["list", "key", "n", "rest"])
 
     return prints.where("lists is not null").select("key", "n", "lists", "rest").mapInArrow(unpack, "list long, key long, n int, rest int")
@@ -248,15 +264,8 @@ def _with_distance(pairs: DataFrame, classes: DataFrame, spec: JaccardJoin) -> D
 
 
 def _chosen_keys(pairs: DataFrame) -> np.ndarray:
-    """Bitmap with a bit for each class in ``pairs``, as 64-bit words."""
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    n = 2 * pairs.count()
-    bits = 1 << min(26, max(10, (16 * n).bit_length()))
-    bit = F.pmod("key", F.lit(bits))
-    words = keys.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(pmod(key, {bits}L) & 63))")).alias("word")).toArrow()  # at most 2**20 rows
-    bitmap = np.zeros(bits // 64, np.int64)
-    bitmap[words["at"].to_numpy()] = words["word"].to_numpy()
-    return bitmap
+    """Bitmap with a bit for each class in ``pairs``."""
+    return _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("key")), 2 * pairs.count())
 
 
 def _proven(pairs: DataFrame, documents: DataFrame, spec: JaccardJoin) -> DataFrame:
@@ -295,10 +304,16 @@ def _proven(pairs: DataFrame, documents: DataFrame, spec: JaccardJoin) -> DataFr
     return pairs.join(one, "a").join(two, "b").where(similar("sa", "sb")).select("a", "b")
 
 
-def _shared(members: DataFrame) -> DataFrame:
-    """``list, key, n, rest, centre`` of the members of lists with two classes or more; the centre is the one with the smallest key."""
+def _shared(members: DataFrame, prints: DataFrame | None = None) -> DataFrame:
+    """``list, key, n, rest, centre`` of the members of lists with two classes or more; the centre is the one with the smallest key.
+
+    Most lists have one member. Members that come straight from ``prints`` are
+    held against a bitmap of the others before they travel to their centres.
+    """
     ends = members.groupBy("list").agg(F.min("key").alias("centre"), F.max("key").alias("high"))
     ends = stored(ends.where("centre < high").drop("high"), "ends")
+    if prints is not None:
+        members = _members(prints, _bitmap(ends.select(F.col("list").alias("key")), ends.count()))
     return stored(members.join(ends, "list"), "lists")
 
 
@@ -348,7 +363,7 @@ def _remaining(named: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataF
 def links(prints: DataFrame, documents: DataFrame, spec: JaccardJoin = JaccardJoin()) -> DataFrame:
     """Links ``a, b`` between classes that connect every component of similar sets."""
     classes = stored(prints.where("parity is not null").select("key", "n", "parity", *[f"p{k}" for k in range(_WORDS)]).dropDuplicates(["key"]), "classes")
-    lists = _shared(_by_size(_shared(_members(prints)), spec))
+    lists = _shared(_by_size(_shared(_members(prints), prints), spec))
     pairs = lists.where("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b"))
     tried = _nearest_centres(pairs, classes, spec)
     found = stored(_proven(tried, documents, spec), "links")

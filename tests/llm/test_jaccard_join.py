@@ -119,3 +119,21 @@ def test_boundary_follows_the_cost():
     short, long = np.ones(1024, np.int64), np.ones(1024, np.int64)
     long[:4] = 5000
     assert jj.boundary(sizes, short, spec) < jj.boundary(sizes, long, spec)
+
+
+def test_members_of_lists_with_one_class_do_not_travel(spark):
+    """Of the members, those of shared lists all pass the bitmap, and few others."""
+    rows = [(i, text) for i, text in corpus(7, [20, 47, 80, 150], 10)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    spec = jj.JaccardJoin()
+    prints = jj._prints(documents, jj._order(documents.select("text"), spec), spec).cache()
+    members = [tuple(r) for r in jj._members(prints).collect()]
+    classes = {}
+    for name, key, _, _ in members:
+        classes.setdefault(name, set()).add(key)
+    shared = {name for name, keys in classes.items() if len(keys) > 1}
+    ends = spark.createDataFrame([(name,) for name in shared], "key long")
+    passed = [tuple(r) for r in jj._members(prints, jj._bitmap(ends, len(shared))).collect()]
+    wanted = [m for m in members if m[0] in shared]
+    assert wanted and not set(wanted) - set(passed)
+    assert len(passed) - len(wanted) < 0.2 * (len(members) - len(wanted))
