@@ -57,6 +57,8 @@ class JaccardJoin:
     buckets: int = 1 << 20
     largest_light: int = 1024  # the boundary is looked for up to this size
     check_cost: float = 0.01  # of a partner in a scanned list, against a row of a list
+    centres: int = 4  # of a list at first, twice as many in later turns
+    worth: float = 0.25  # share of centres that must prove similar for another turn
 
     def least_shared(self, size):
         """Shingles that a set of ``size`` shares at least with any partner."""
@@ -122,21 +124,44 @@ def boundary(sizes: np.ndarray, counts: np.ndarray, spec: JaccardJoin) -> int:
     return int(np.argmin(cost))
 
 
+_CHUNK = 1 << 12  # counters in a row between tasks
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, f"u{len(packed) // n}").astype(np.int64)
+
+
 def _order(texts: DataFrame, spec: JaccardJoin) -> Order:
+    length = spec.buckets + spec.largest_light + 1
+    ends = range(0, length, _CHUNK)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, sizes = np.zeros(spec.buckets, np.int64), np.zeros(spec.largest_light + 1, np.int64)
+        both = np.zeros(length, np.int64)
         for batch in batches:
             for _, found in _sets(batch.column(0), spec):
-                np.add.at(counts, (found & np.uint64(spec.buckets - 1)).astype(np.int64), 1)
+                np.add.at(both, (found & np.uint64(spec.buckets - 1)).astype(np.int64), 1)
                 if len(found) <= spec.largest_light:
-                    sizes[len(found)] += 1
-        both = np.append(counts, sizes)
-        at = np.flatnonzero(both)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(both[at])], names=["at", "n"])
-
-    rows = texts.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # a number for each counter
-    both = np.zeros(spec.buckets + spec.largest_light + 1, np.int64)
-    both[rows["at"].to_numpy()] = rows["n"].to_numpy()
+                    both[spec.buckets + len(found)] += 1
+        if both.any():
+            yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int32()), pa.array([_packed(both[k : k + _CHUNK]) for k in ends], pa.binary())], names=["at", "counts"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        at = rows["at"][0].as_py()
+        n = min(_CHUNK, length - at)
+        total = np.zeros(n, np.int64)
+        for packed in rows["counts"]:
+            total += _unpacked(packed.as_py(), n)
+        return pa.table({"at": pa.array([at], pa.int32()), "counts": pa.array([_packed(total)], pa.binary())})
+
+    kind = "at int, counts binary"
+    rows = texts.mapInArrow(count, kind).groupBy("at").applyInArrow(add, kind).toArrow()  # a number for each counter
+    both = np.zeros(length, np.int64)
+    for at, packed in zip(rows["at"].to_pylist(), rows["counts"].to_pylist(), strict=True):
+        both[at : at + _CHUNK] = _unpacked(packed, min(_CHUNK, length - at))
     counts = both[: spec.buckets]
     return Order(counts, boundary(both[spec.buckets :], counts, spec))
 
@@ -227,24 +252,153 @@ def _bitmap(keys: DataFrame, n: int) -> np.ndarray:
     return bitmap
 
 
+def _unpack(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """``list, key, n, rest`` for each list of the classes ``key, n, lists, rest``, some classes at a time."""
+    for first in range(0, batch.num_rows, 1024):
+        key, n, lists, rest = batch.slice(first, 1024).columns
+        names = np.frombuffer(b"".join(lists.to_pylist()), np.int64)
+        sizes = np.array([len(x) // 8 for x in lists.to_pylist()], np.int64)
+        yield names, np.repeat(key.to_numpy(), sizes), np.repeat(n.to_numpy(), sizes), np.frombuffer(b"".join(rest.to_pylist()), np.int32)
+
+
+def _inside(names: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    at = names & (64 * len(bitmap) - 1)
+    return (bitmap[at >> 6] >> (at & 63) & 1).astype(bool)
+
+
+def _each_list(prints: DataFrame, rows, kind: str) -> DataFrame:
+    """Arrow rows that ``rows(list, key, n, rest)`` gives for the lists of the classes."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for members in _unpack(batch):
+                yield pa.RecordBatch.from_pydict(rows(*members))
+
+    return prints.where("lists is not null").select("key", "n", "lists", "rest").mapInArrow(unpack, kind)
+
+
 def _members(prints: DataFrame, bitmap: np.ndarray | None = None) -> DataFrame:
     """``list, key, n, rest``, a row for each list of each class, or for those lists that a bitmap lets through."""
     chosen = None if bitmap is None else prints.sparkSession.sparkContext.broadcast(bitmap)
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(names, key, n, rest):
+        columns = {"list": names, "key": key, "n": n.astype(np.int32), "rest": rest}
+        inside = slice(None) if chosen is None else _inside(names, chosen.value)
+        return {name: column[inside] for name, column in columns.items()}
+
+    return _each_list(prints, rows, "list long, key long, n int, rest int")
+
+
+def _by_size(names: np.ndarray, n: np.ndarray, rest: np.ndarray, spec: JaccardJoin) -> tuple[np.ndarray, ...]:
+    """``row, list, guest, least`` of the members of lists: rows of the lists when these are cut by size.
+
+    Sets whose sizes allow a link are in one band of sizes or in two that follow
+    one another. A set is in the list of its band, and as a guest in that of the
+    band below. Any two members of a list are compared in one part of it, where
+    the smaller one is no guest: so two guests are not. Rows without room for
+    the least partner there are left out. The smaller one of a link shares at
+    least what two sets of its size must; ``least`` tells who may be it.
+    """
+    step = np.log(100.0 / spec.percent)
+    band = np.floor(np.log(n) / step + 1e-9).astype(np.int64)
+    partner = spec.least_shared(n)  # the smallest
+    lowest = np.floor(np.exp(step * (np.stack([band, band - 1]) - 1e-6))).astype(np.int64)
+    room = rest >= spec.needed(n + np.maximum(partner, lowest))
+    guest, row = np.nonzero(room)
+    cut = bs.mix(names[row].view(np.uint64) + bs.mix((band[row] - guest).astype(np.uint64))).view(np.int64)
+    return row, cut, guest.astype(bool), (guest == 0) & (rest[row] >= spec.needed(2 * n[row]))
+
+
+_LIST, _MARK = np.uint64(24), np.uint64((1 << 24) - 2)  # where a list's 40 bits begin, and the bits of a mark
+
+
+def _marks(names: np.ndarray, key: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Short names in one number: the list, a mark of the member that is another one in each list, and ``least``."""
+    names = names.view(np.uint64)
+    mark = bs.mix(names ^ bs.mix(key.view(np.uint64))) & _MARK
+    return names << _LIST | mark | least.astype(np.uint64)
+
+
+def _spans(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last mark of each list, both with ``least`` if any of its marks has it."""
+    marks = np.sort(marks)
+    new = np.flatnonzero(np.append(True, marks[1:] >> _LIST != marks[:-1] >> _LIST))[: len(marks)]
+    if not len(new):
+        return marks, marks
+    least = np.bitwise_or.reduceat(marks & np.uint64(1), new)
+    return marks[new] | least, marks[np.append(new[1:], len(marks)) - 1] | least
+
+
+def _shared_lists(prints: DataFrame, rows, buckets: int) -> np.ndarray:
+    """Bitmap of the lists with two marks and with a member that may be the smaller one of a link.
+
+    ``rows(list, key, n, rest)`` gives the marks. Tasks send two of a list at
+    most at a time; a list's marks meet in a bucket.
+    """
+
+    def deal(marks: list[np.ndarray]) -> pa.RecordBatch:
+        low, high = _spans(np.concatenate(marks))
+        sent = np.concatenate([low, high[low != high]])
+        bucket = (sent >> _LIST) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        bucket, sent = bucket[order], sent[order]
+        new = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))[: len(sent)]
+        blobs = [sent[x:y].tobytes() for x, y in zip(new, [*new[1:], len(sent)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[new].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "marks"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            for first in range(0, batch.num_rows, 1024):
-                key, n, lists, rest = batch.slice(first, 1024).columns
-                names = np.frombuffer(b"".join(lists.to_pylist()), np.int64)
-                sizes = np.array([len(x) // 8 for x in lists.to_pylist()], np.int64)
-                columns = [names, np.repeat(key.to_numpy(), sizes), np.repeat(n.to_numpy(), sizes).astype(np.int32), np.frombuffer(b"".join(rest.to_pylist()), np.int32)]
-                if chosen is not None:
-                    at = names & (64 * len(chosen.value) - 1)
-                    inside = (chosen.value[at >> 6] >> (at & 63) & 1).astype(bool)
-                    columns = [c[inside] for c in columns]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["list", "key", "n", "rest"])
+            for members in _unpack(batch):
+                held.append(rows(*members))
+                n += len(held[-1])
+                if n > 1 << 20:
+                    yield deal(held)
+                    held, n = [], 0
+        if n:
+            yield deal(held)
+
+    def meet(sent: pa.Table) -> pa.Table:
+        low, high = _spans(np.frombuffer(b"".join(sent["marks"].to_pylist()), np.uint64))
+        several = low[(low != high) & (low & np.uint64(1) == 1)]
+        return pa.table({"key": (several >> _LIST).astype(np.int64)})
+
+    sent = prints.where("lists is not null").select("key", "n", "lists", "rest").mapInArrow(send, "bucket int, marks binary")
+    several = stored(sent.groupBy("bucket").applyInArrow(meet, "key long"), "ends")
+    return _bitmap(several, several.count())
+
+
+def _shared(prints: DataFrame, spec: JaccardJoin) -> DataFrame:
+    """``list, key, n, rest, guest`` of the members of lists by size; nearly all lists have two classes or more.
+
+    Most lists have one member. First the lists, then their parts by size are
+    counted by short names; only members that two bitmaps let through are kept.
+    """
+    context = prints.sparkSession.sparkContext
+    buckets = 64 + ((prints.agg(F.sum(F.length("lists"))).first()[0] or 0) >> 23)  # a million members in each
+
+    def whole(names, key, n, rest):
+        return _marks(names, key, rest >= spec.needed(2 * n))
+
+    lists = context.broadcast(_shared_lists(prints, whole, buckets))
 
-    return prints.where("lists is not null").select("key", "n", "lists", "rest").mapInArrow(unpack, "list long, key long, n int, rest int")
+    def parts(names, key, n, rest):
+        names, key, n, rest = (c[_inside(names, lists.value)] for c in (names, key, n, rest))
+        row, cut, guest, least = _by_size(names, n, rest, spec)
+        return cut, key[row], n[row].astype(np.int32), rest[row], guest, least
+
+    def counted(names, key, n, rest):
+        cut, key, _, _, _, least = parts(names, key, n, rest)
+        return _marks(cut, key, least)
+
+    cuts = context.broadcast(_shared_lists(prints, counted, buckets))
+
+    def kept(names, key, n, rest):
+        cut, key, n, rest, guest, _ = parts(names, key, n, rest)
+        inside = _inside(cut, cuts.value)
+        return {name: c[inside] for name, c in zip(("list", "key", "n", "rest", "guest"), (cut, key, n, rest, guest), strict=True)}
+
+    return stored(_each_list(prints, kept, "list long, key long, n int, rest int, guest boolean"), "lists")
 
 
 def _with_distance(pairs: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataFrame:
@@ -268,8 +422,8 @@ def _chosen_keys(pairs: DataFrame) -> np.ndarray:
     return _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("key")), 2 * pairs.count())
 
 
-def _proven(pairs: DataFrame, documents: DataFrame, spec: JaccardJoin) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are similar enough."""
+def _sets_of(pairs: DataFrame, documents: DataFrame, spec: JaccardJoin) -> DataFrame:
+    """``key, shingles``, the whole sets of the classes in ``pairs``."""
     bitmap = documents.sparkSession.sparkContext.broadcast(_chosen_keys(pairs))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,6 +441,14 @@ def _proven(pairs: DataFrame, documents: DataFrame, spec: JaccardJoin) -> DataFr
                     sets.append(found.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["key", "shingles"])
 
+    found = documents.select("text").mapInArrow(chosen, "key long, shingles binary")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    return stored(found.join(needed, "key", "left_semi").dropDuplicates(["key"]), "sets")
+
+
+def _proven(pairs: DataFrame, sets: DataFrame, spec: JaccardJoin) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets are similar enough."""
+
     @F.arrow_udf("boolean")
     def similar(x: pa.Array, y: pa.Array) -> pa.Array:
         out = []
@@ -297,50 +459,40 @@ def _proven(pairs: DataFrame, documents: DataFrame, spec: JaccardJoin) -> DataFr
             out.append(100 * shared >= spec.percent * (len(both) - shared))
         return pa.array(out, pa.bool_())
 
-    found = documents.select("text").mapInArrow(chosen, "key long, shingles binary")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = stored(found.join(needed, "key", "left_semi").dropDuplicates(["key"]), "sets")
     one, two = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
+    two = two.join(pairs.select("b").distinct(), "b", "left_semi")
     return pairs.join(one, "a").join(two, "b").where(similar("sa", "sb")).select("a", "b")
 
 
-def _shared(members: DataFrame, prints: DataFrame | None = None) -> DataFrame:
-    """``list, key, n, rest, centre`` of the members of lists with two classes or more; the centre is the one with the smallest key.
-
-    Most lists have one member. Members that come straight from ``prints`` are
-    held against a bitmap of the others before they travel to their centres.
-    """
-    ends = members.groupBy("list").agg(F.min("key").alias("centre"), F.max("key").alias("high"))
-    ends = stored(ends.where("centre < high").drop("high"), "ends")
-    if prints is not None:
-        members = _members(prints, _bitmap(ends.select(F.col("list").alias("key")), ends.count()))
-    return stored(members.join(ends, "list"), "lists")
-
-
-def _by_size(lists: DataFrame, spec: JaccardJoin) -> DataFrame:
-    """Lists cut by size: any two members whose sizes allow a link are in one list together again."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / spec.percent)) + 1e-9)
-    return lists.select(F.explode(F.array(F.xxhash64("list", band), F.xxhash64("list", band + 1))).alias("list"), "key", "n", "rest")
-
-
 def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """``list, key, n, rest, root`` of the members of lists whose members are not all in one component."""
+    """``list, key, n, rest, guest, root`` of the members of lists whose members are not all in one component."""
     roots = stored(components(found), "roots")
-    named = lists.select("list", "key", "n", "rest").join(roots, lists["key"] == roots["node"], "left")
-    named = stored(named.select("list", "key", "n", "rest", F.coalesce("root", "key").alias("root")), "named")
+    named = lists.drop("root").join(roots, lists["key"] == roots["node"], "left")
+    named = stored(named.select("list", "key", "n", "rest", "guest", F.coalesce("root", "key").alias("root")), "named")
     mixed = stored(named.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("list"), "mixed")
     return stored(named.join(mixed, "list", "left_semi"), "named")
 
 
-def _open_pairs(named: DataFrame) -> int:
-    """Pairs of members of different components, over all lists."""
+def _open_pairs(named: DataFrame) -> tuple[int, int]:
+    """Pairs of members of different components, over all lists, and the members."""
     parts = named.groupBy("list", "root").agg(F.count("*").cast("double").alias("c")).groupBy("list").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    return int(parts.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("n")).first().n or 0)
+    seen = parts.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs"), F.sum("s").alias("members")).first()
+    return int(seen.pairs or 0), int(seen.members or 0)
+
 
+def _stars(lists: DataFrame, classes: DataFrame, spec: JaccardJoin, turn: int, centres: int, tests: int) -> DataFrame:
+    """Pairs of a set ``a`` with the ``tests`` nearest ``b`` of the centres of its lists that lie in other components.
 
-def _nearest_centres(pairs: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataFrame:
-    """Of the pairs of a set ``a`` with centres ``b`` the one with the least distance."""
-    return stored(_with_distance(pairs.distinct(), classes, spec).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("s")).select("a", "s.b"), "stars")
+    Each list has up to ``centres`` of them, others in each turn.
+    """
+    home = F.when(~F.col("guest"), F.struct("key", "root"))
+    picks = [F.min_by(home, F.when(~F.col("guest"), F.xxhash64("key", F.lit(turn), F.lit(k)))) for k in range(centres)]
+    middles = lists.groupBy("list").agg(F.array_distinct(F.array(*picks)).alias("c"))
+    middles = stored(middles.select("list", F.explode("c").alias("c")).select("list", F.col("c.key").alias("centre"), F.col("c.root").alias("other")), "centres")
+    pairs = lists.join(middles, "list").where("root != other").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
+    near = F.slice(F.sort_array(F.collect_list(F.struct("distance", "b"))), 1, tests)
+    nearest = _with_distance(pairs, classes, spec).groupBy("a").agg(near.alias("s"))
+    return stored(nearest.select("a", F.explode("s.b").alias("b")), "stars")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -355,7 +507,7 @@ def _remaining(named: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataF
     difference = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in folds), F.lit(0))
     total = F.col("x.n") + F.col("y.n")
     need = F.ceil(spec.percent * total / F.lit(100 + spec.percent))
-    may_link = (F.col("x.root") < F.col("y.root")) & (F.least("x.rest", "y.rest") >= need) & (difference <= total - 2 * need)
+    may_link = (F.col("x.root") < F.col("y.root")) & ~(F.col("x.guest") & F.col("y.guest")) & (F.least("x.rest", "y.rest") >= need) & (difference <= total - 2 * need)
     pairs = one.join(two, (F.col("x.list") == F.col("y.list")) & may_link)
     return _ordered(pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))).distinct()
 
@@ -363,27 +515,26 @@ def _remaining(named: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataF
 def links(prints: DataFrame, documents: DataFrame, spec: JaccardJoin = JaccardJoin()) -> DataFrame:
     """Links ``a, b`` between classes that connect every component of similar sets."""
     classes = stored(prints.where("parity is not null").select("key", "n", "parity", *[f"p{k}" for k in range(_WORDS)]).dropDuplicates(["key"]), "classes")
-    lists = _shared(_by_size(_shared(_members(prints), prints), spec))
-    pairs = lists.where("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b"))
-    tried = _nearest_centres(pairs, classes, spec)
-    found = stored(_proven(tried, documents, spec), "links")
-    tried, before, turn = _ordered(tried), None, 0
+    lists = _shared(prints, spec)
+    tried = _stars(lists.withColumn("root", F.col("key")), classes, spec, 0, spec.centres, 1)
+    sets = _sets_of(tried, documents, spec)
+    found = stored(_proven(tried, sets, spec), "links")
+    # More turns are held among the sets at hand.
+    near, tried, turn = stored(lists.join(sets.select("key"), "key", "left_semi"), "near"), _ordered(tried), 0
     while True:
-        lists = _mixed(lists, found)
-        left = _open_pairs(lists)
-        if not left:
-            return found
-        if before is not None and left > 0.7 * before:
+        near = _mixed(near, found)
+        pairs, members = _open_pairs(near)
+        if pairs <= members:
+            break
+        turn += 1
+        stars = _stars(near, classes, spec, turn, 2 * spec.centres, spec.centres)
+        proven = stored(_proven(stars, sets, spec), "links")
+        found, tried = stored(found.unionByName(proven), "links"), tried.unionByName(_ordered(stars))
+        if proven.count() <= spec.worth * stars.count():
             break  # other centres hardly help: what is left is mostly unlike
-        before, turn = left, turn + 1
-        centres = stored(lists.groupBy("list").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("turn"), "key", "root")).alias("c")).select("list", F.col("c.key").alias("centre"), F.col("c.root").alias("other")), "centres")
-        pairs = lists.join(centres, "list").where("root != other").select(F.col("key").alias("a"), F.col("centre").alias("b"))
-        stars = _nearest_centres(pairs, classes, spec)
-        found = stored(found.unionByName(_proven(stars, documents, spec)), "links")
-        tried = tried.unionByName(_ordered(stars))
-    pairs = _remaining(lists, classes, spec).join(tried, ["a", "b"], "left_anti")
+    pairs = _remaining(_mixed(lists, found), classes, spec).join(tried, ["a", "b"], "left_anti")
     pairs = stored(_with_distance(pairs, classes, spec).select("a", "b"), "pairs")
-    return found.unionByName(_proven(pairs, documents, spec))
+    return found.unionByName(_proven(pairs, _sets_of(pairs, documents, spec), spec))
 
 
 def similar_texts(documents: DataFrame, spec: JaccardJoin = JaccardJoin()) -> DataFrame:

@@ -137,3 +137,53 @@ def test_members_of_lists_with_one_class_do_not_travel(spark):
     wanted = [m for m in members if m[0] in shared]
     assert wanted and not set(wanted) - set(passed)
     assert len(passed) - len(wanted) < 0.2 * (len(members) - len(wanted))
+
+
+def test_cut_lists_hold_each_link_once():
+    """Any two members of a list whose sizes and places allow a link meet in one part of it, the smaller one at home."""
+    rng = np.random.default_rng(5)
+    spec = jj.JaccardJoin()
+    n = np.concatenate([rng.integers(2, 400, 300), [85, 100, 170, 200, 17, 20, 34, 40]])
+    rest = np.maximum(1, n - rng.integers(0, 1 + n // 8))
+    row, cut, guest, least = jj._by_size(np.full(len(n), 77, np.int64), n, rest, spec)
+    parts = [{} for _ in n]
+    for r, c, g, s in zip(row.tolist(), cut.tolist(), guest.tolist(), least.tolist(), strict=True):
+        parts[r][c] = g, s
+    met = 0
+    for x in range(len(n)):
+        for y in range(len(n)):
+            if x == y or n[x] < n[y] or 100 * n[y] < 85 * n[x] or min(rest[x], rest[y]) < spec.needed(n[x] + n[y]):
+                continue
+            shared = [c for c in parts[x].keys() & parts[y].keys() if not (parts[x][c][0] and parts[y][c][0])]
+            met += 1
+            assert len(shared) == 1 and parts[y][shared[0]] == (False, True)
+    assert met > 1000
+
+
+def test_counts_between_tasks_are_packed():
+    for counts in ([0, 3, 255], [0, 256, 1], [70000, 0, 0], [1 << 40, 5, 0]):
+        packed = jj._packed(np.array(counts, np.int64))
+        assert jj._unpacked(packed, 3).tolist() == counts
+    assert len(jj._packed(np.array([0, 3, 255]))) == 3
+
+
+def test_many_near_copies_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies that link with some others only are joined by centres before pairs are made."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(200):
+        words = list(base)
+        for at in rng.sample(range(120), 3):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    left, remaining = [], jj._remaining
+
+    def counted(*args):
+        pairs = remaining(*args)
+        left.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jj, "_remaining", counted)
+    assert similar(spark, rows) == plain(rows)
+    assert left and left[0] <= 4 * len(rows)
