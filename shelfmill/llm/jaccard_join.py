@@ -57,8 +57,8 @@ class JaccardJoin:
     buckets: int = 1 << 20
     largest_light: int = 1024  # the boundary is looked for up to this size
     check_cost: float = 0.01  # of a partner in a scanned list, against a row of a list
-    centres: int = 4  # of a list at first, twice as many in later turns
-    worth: float = 0.25  # share of centres that must prove similar for another turn
+    centres: int = 4  # of a list at first, four times as many in later turns
+    worth: float = 0.1  # share of centres that must prove similar for another turn
 
     def least_shared(self, size):
         """Shingles that a set of ``size`` shares at least with any partner."""
@@ -193,13 +193,18 @@ def _choices(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(n, 1)
 
 
-def _lists(shingles: np.ndarray, order: Order, spec: JaccardJoin) -> tuple[np.ndarray, np.ndarray]:
+def _front(shingles: np.ndarray, order: Order, spec: JaccardJoin) -> np.ndarray:
+    n = len(shingles)
+    return order.front(shingles, min(n, n - spec.least_shared(n) + 2))
+
+
+def _lists(shingles: np.ndarray, order: Order, spec: JaccardJoin, front: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Lists that a set is in, and the most that it can share there with a partner."""
     n = len(shingles)
     if n < 2:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     spare = n - spec.least_shared(n)
-    front = order.front(shingles, min(n, spare + 2))
+    front = _front(shingles, order, spec) if front is None else front
     names, rest = [], []
     if n <= order.light:
         i, j = _choices(len(front))
@@ -213,11 +218,13 @@ def _lists(shingles: np.ndarray, order: Order, spec: JaccardJoin) -> tuple[np.nd
 
 _WORDS = 8  # of 64 bits in a coarse parity bitmap
 
-_PRINTS = "n long, key long, parity binary, lists binary, rest binary, " + ", ".join(f"p{k} long" for k in range(_WORDS))
+_HEAD = 32  # shingles at most of the front that a set carries to its pairs
+
+_PRINTS = "n long, key long, parity binary, lists binary, rest binary, head array<long>, " + ", ".join(f"p{k} long" for k in range(_WORDS))
 
 
 def _prints(documents: DataFrame, order: Order, spec: JaccardJoin) -> DataFrame:
-    """``doc_id, n, key, parity, lists, rest`` of each row; of equal sets in a task one has the lists."""
+    """``doc_id, n, key, parity, lists, rest, head`` of each row; of equal sets in a task one has the lists."""
     shared = documents.sparkSession.sparkContext.broadcast(order)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
@@ -225,7 +232,7 @@ def _prints(documents: DataFrame, order: Order, spec: JaccardJoin) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             n, key = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            parity, lists, rest = ([None] * batch.num_rows for _ in range(3))
+            parity, lists, rest, head = ([None] * batch.num_rows for _ in range(4))
             coarse = np.zeros((batch.num_rows, _WORDS), np.int64)
             for k, found in _sets(batch.column(1), spec):
                 n[k], key[k] = len(found), _key(found)
@@ -233,11 +240,13 @@ def _prints(documents: DataFrame, order: Order, spec: JaccardJoin) -> DataFrame:
                     if len(seen) > 1 << 20:
                         seen.clear()  # a set that is described twice does no harm
                     seen.add(int(key[k]))
-                    names, left = _lists(found, shared.value, spec)
+                    front = _front(found, shared.value, spec)
+                    names, left = _lists(found, shared.value, spec, front)
+                    head[k] = front[:_HEAD].view(np.int64)
                     parity[k], lists[k], rest[k] = _parity(found), names.tobytes(), left.astype(np.int32).tobytes()
                     coarse[k] = _coarse(found)
-            columns = [batch.column(0), pa.array(n), pa.array(key), *(pa.array(x, pa.binary()) for x in (parity, lists, rest)), *map(pa.array, coarse.T)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "key", "parity", "lists", "rest", *(f"p{k}" for k in range(_WORDS))])
+            columns = [batch.column(0), pa.array(n), pa.array(key), *(pa.array(x, pa.binary()) for x in (parity, lists, rest)), pa.array(head, pa.list_(pa.int64())), *map(pa.array, coarse.T)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "key", "parity", "lists", "rest", "head", *(f"p{k}" for k in range(_WORDS))])
 
     return documents.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, {_PRINTS}")
 
@@ -499,16 +508,24 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _remaining(named: DataFrame, classes: DataFrame, spec: JaccardJoin) -> DataFrame:
-    """Pairs ``a, b`` of members of different components of a list that sizes, places and coarse parities allow."""
+def _remaining(named: DataFrame, classes: DataFrame, prints: DataFrame, spec: JaccardJoin) -> DataFrame:
+    """Pairs ``a, b`` of members of different components of a list that sizes, places and coarse parities allow.
+
+    A pair that shares many lists is made in the first few: ``n - rest`` is the
+    number of shingles before the list's (before the last but one of a subset),
+    and two of them in common already put the pair into an earlier list.
+    """
     folds = [f"p{k}" for k in range(_WORDS)]
-    named = named.join(classes.select("key", *folds), "key")
+    heads = prints.where("parity is not null").select("key", "head").join(named.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    named = named.join(classes.select("key", *folds), "key").join(heads, "key")
     one, two = named.alias("x"), named.alias("y")
     difference = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in folds), F.lit(0))
     total = F.col("x.n") + F.col("y.n")
     need = F.ceil(spec.percent * total / F.lit(100 + spec.percent))
     may_link = (F.col("x.root") < F.col("y.root")) & ~(F.col("x.guest") & F.col("y.guest")) & (F.least("x.rest", "y.rest") >= need) & (difference <= total - 2 * need)
-    pairs = one.join(two, (F.col("x.list") == F.col("y.list")) & may_link)
+    ahead = [F.slice(F.col(f"{s}.head"), F.lit(1), F.col(f"{s}.n") - F.col(f"{s}.rest")) for s in "xy"]
+    fresh = F.size(F.array_intersect(*ahead)) < 2
+    pairs = one.join(two, (F.col("x.list") == F.col("y.list")) & may_link & fresh)
     return _ordered(pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))).distinct()
 
 
@@ -527,12 +544,12 @@ def links(prints: DataFrame, documents: DataFrame, spec: JaccardJoin = JaccardJo
         if pairs <= members:
             break
         turn += 1
-        stars = _stars(near, classes, spec, turn, 2 * spec.centres, spec.centres)
+        stars = _stars(near, classes, spec, turn, 4 * spec.centres, 2 * spec.centres)
         proven = stored(_proven(stars, sets, spec), "links")
         found, tried = stored(found.unionByName(proven), "links"), tried.unionByName(_ordered(stars))
         if proven.count() <= spec.worth * stars.count():
             break  # other centres hardly help: what is left is mostly unlike
-    pairs = _remaining(_mixed(lists, found), classes, spec).join(tried, ["a", "b"], "left_anti")
+    pairs = _remaining(_mixed(lists, found), classes, prints, spec).join(tried, ["a", "b"], "left_anti")
     pairs = stored(_with_distance(pairs, classes, spec).select("a", "b"), "pairs")
     return found.unionByName(_proven(pairs, _sets_of(pairs, documents, spec), spec))
 
