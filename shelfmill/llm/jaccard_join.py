@@ -318,7 +318,7 @@ def _by_size(names: np.ndarray, n: np.ndarray, rest: np.ndarray, spec: JaccardJo
     return row, cut, guest.astype(bool), (guest == 0) & (rest[row] >= spec.needed(2 * n[row]))
 
 
-_LIST, _MARK = np.uint64(24), np.uint64((1 << 24) - 2)  # where a list's 40 bits begin, and the bits of a mark
+_LIST, _MARK = np.uint64(30), np.uint64((1 << 30) - 2)  # where a list's 34 bits begin, and the bits of a mark
 
 
 def _marks(names: np.ndarray, key: np.ndarray, least: np.ndarray) -> np.ndarray:
